@@ -132,7 +132,7 @@ SELECT b.USER_ID, LAST_ORDER_DATE, LIFETIME_ORDER_COUNT, AVG_DAYS_BETWEEN_ORDERS
   {money('CURRENT_CENTS')} AS CURRENT_30_DAY_SPEND, {money('PREVIOUS_CENTS')} AS PREVIOUS_30_DAY_SPEND,
   CAST(date_diff('day', LAST_ORDER_DATE, AD) AS INT) AS DAYS_SINCE_LAST_ORDER,
   CASE WHEN PREVIOUS_CENTS <> 0 THEN
-    {money(half_up(half_up('(CURRENT_CENTS - PREVIOUS_CENTS) * 1000000', 'PREVIOUS_CENTS'), '100'), 12)} END AS SPEND_CHANGE_PCT,
+    {money(half_up(half_up('(CURRENT_CENTS - PREVIOUS_CENTS) * 10000000', 'PREVIOUS_CENTS'), '1000'), 12)} END AS SPEND_CHANGE_PCT,
   CASE WHEN date_diff('day', LAST_ORDER_DATE, AD) > 45 THEN 'AT_RISK' ELSE 'NOT_AT_RISK' END AS CHURN_STATUS
 FROM buyers b CROSS JOIN last_day JOIN mean_gaps g ON b.USER_ID = g.USER_ID JOIN spend s ON b.USER_ID = s.USER_ID""",
     "sales": """
