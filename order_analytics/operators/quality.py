@@ -89,12 +89,18 @@ def duplicate_keys(df: DataFrame, key) -> DataFrame:
     return df.groupBy(*key).agg(F.count(F.lit(1)).alias("ROWS")).filter("ROWS > 1")
 
 
-def count_duplicate_keys(df: DataFrame, key, rule: str) -> DataFrame:
-    return duplicate_keys(df, key).agg(F.count(F.lit(1)).alias("VIOLATIONS")).select(
-        F.lit(rule).alias("RULE"), "VIOLATIONS"
+def key_summary(df: DataFrame, key) -> DataFrame:
+    """One row: all rows, and the number of keys that more than one row carries."""
+    sizes = df.groupBy(*key).agg(F.count(F.lit(1)).alias("SIZE"))
+    return sizes.agg(
+        F.coalesce(F.sum("SIZE"), F.lit(0)).alias("ROWS"), F.count_if(F.col("SIZE") > 1).alias("DUPLICATE_KEYS")
     )
 
 
+def count_duplicate_keys(df: DataFrame, key, rule: str) -> DataFrame:
+    return key_summary(df, key).select(F.lit(rule).alias("RULE"), F.col("DUPLICATE_KEYS").alias("VIOLATIONS"))
+
+
 def conflicting_records(df: DataFrame, key, keys_shown: int = 20) -> DataFrame:
     """All records of the first conflicting keys, sorted. The sample is bounded, hence the broadcast."""
     shown = duplicate_keys(df, key).select(*key).orderBy(*key).limit(keys_shown)
@@ -142,15 +148,28 @@ def rfm_segment_counts(rfm: DataFrame) -> DataFrame:
     return counts.orderBy(F.desc("USER_COUNT"), "RFM_SEGMENT")
 
 
-def enforce(checks: DataFrame, table: str) -> dict[str, int]:
-    """Run the checks; raise when any of them found a violation. Reads one row per rule."""
-    found = {row["RULE"]: row["VIOLATIONS"] for row in checks.collect()}
+def require_none(found: dict[str, int], table: str) -> dict[str, int]:
     broken = {rule: count for rule, count in found.items() if count}
     if broken:
         raise QualityError(f"{table}: {broken}")
     return found
 
 
+def enforce(checks: DataFrame, table: str) -> dict[str, int]:
+    """Run the checks; raise when any of them found a violation. Reads one row per rule."""
+    return require_none({row["RULE"]: row["VIOLATIONS"] for row in checks.collect()}, table)
+
+
+def enforce_rows(df: DataFrame, rules: dict[str, Column], table: str) -> dict[str, int]:
+    """Row rules and the row count from one pass; raise on violations."""
+    counts = df.agg(
+        F.count(F.lit(1)).alias("ROWS"), *[F.count_if(condition).alias(rule) for rule, condition in rules.items()]
+    )
+    found = counts.first().asDict()
+    require_none({rule: found[rule] for rule in rules}, table)
+    return found
+
+
 def assert_row_count(observed: int, expected: int, table: str) -> None:
     if observed != expected:
         raise QualityError(f"{table}: expected {expected} rows, found {observed}")

@@ -55,23 +55,27 @@ def sync(
     spec: TableSpec,
     compare: Sequence[str] | None = None,
 ) -> dict[str, int]:
-    """Bring the snapshot at ``path`` to the state of ``source``, a complete and gated snapshot.
+    """Bring the snapshot at ``path`` to the state of ``source``, a complete snapshot.
 
-    Writes a new version when anything changed, checks its row count and key, and returns the summary.
+    The source is written once, as the next version, and everything else reads that: the key gate, the
+    comparison with the current version, the row counts. The version is published only when all hold,
+    and discarded when ``compare`` shows that nothing changed.
     """
-    if snapshots.current_version(spark, path) is None:
-        version, rows = snapshots.write_version(source, path)
-        summary = dict.fromkeys((f"{action}_ROWS" for action in ACTIONS), 0)
-        summary |= {"INSERT_ROWS": rows, "TARGET_ROWS": 0, "FINAL_ROWS": rows, "VERSION": version}
-    else:
-        target = snapshots.read_current(spark, path, spec.schema)
-        summary = change_summary(snapshot_changes(target, source, spec.key, compare)).first().asDict()
-        if summary["UNCHANGED_ROWS"] == max(summary["TARGET_ROWS"], summary["FINAL_ROWS"]):
-            return summary | {"VERSION": snapshots.current_version(spark, path)}
-        version, rows = snapshots.write_version(source, path)
-        summary["VERSION"] = version
-        quality.assert_row_count(rows, summary["FINAL_ROWS"], spec.name)
-    written = snapshots.read_current(spark, path, spec.schema)
-    rule = f"DUPLICATE_KEY_{spec.name.upper()}"
-    quality.enforce(quality.count_duplicate_keys(written, spec.key, rule), spec.name)
-    return summary
+    current = snapshots.current_version(spark, path)
+    version, rows = snapshots.write_candidate(source, path)
+    candidate = snapshots.read_version(spark, path, version, spec.schema)
+    summary = dict.fromkeys((f"{action}_ROWS" for action in ACTIONS), 0)
+    summary |= {"INSERT_ROWS": rows, "TARGET_ROWS": 0, "FINAL_ROWS": rows}
+    keys = quality.key_summary(candidate, spec.key).first()
+    quality.require_none({f"DUPLICATE_KEY_{spec.name.upper()}": keys["DUPLICATE_KEYS"]}, spec.name)
+    if current is not None:
+        target = snapshots.read_version(spark, path, current, spec.schema)
+        changes = snapshot_changes(target, candidate, spec.key, compare)
+        summary = change_summary(changes).first().asDict()
+    quality.assert_row_count(keys["ROWS"], summary["FINAL_ROWS"], spec.name)
+    quality.assert_row_count(keys["ROWS"], rows, spec.name)
+    if current is not None and summary["UNCHANGED_ROWS"] == summary["TARGET_ROWS"] == summary["FINAL_ROWS"]:
+        snapshots.discard(spark, path, version)
+        return summary | {"VERSION": current}
+    snapshots.publish(spark, path, version)
+    return summary | {"VERSION": version}

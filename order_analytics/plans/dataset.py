@@ -15,8 +15,8 @@ from order_analytics.plans import facts, marts
 class OrderDataset:
     """Facts and marts over ``items`` and ``options``.
 
-    The three facts that several marts read (order categories, orders, customer profile) and the daily
-    trend are staged; the rest are plans on top of them. ``release`` frees what was staged.
+    What several marts read is staged: the order categories (with the orders in them), the customer
+    profile and the daily trend. The rest are plans on top. ``release`` frees what was staged.
     """
 
     def __init__(self, items: DataFrame, options: DataFrame):
@@ -39,7 +39,7 @@ class OrderDataset:
 
     @cached_property
     def orders(self) -> DataFrame:
-        return self.stage.keep(facts.order_fact(self.order_categories), "orders")
+        return facts.order_fact(self.order_categories)
 
     @cached_property
     def analysis_date(self) -> date:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from order_analytics.functions.columns import MONEY, is_identified, loyalty_flag, money_ratio
@@ -50,42 +50,50 @@ def orphan_options(items: DataFrame, options: DataFrame) -> DataFrame:
 
 
 def order_category_fact(lines: DataFrame) -> DataFrame:
-    """One row per order and item category, carrying the time of the whole order.
+    """One row per order and item category, with the figures of the whole order beside it.
 
     It serves the order fact and all trend marts. Lines are summed per order, category, user and flag
-    with partial sums ahead of the shuffle (so an order with very many lines collapses early). The rest
-    is local to one repartitioning by order: merging users and flags, and the order's earliest time.
+    with partial sums ahead of the shuffle, so an order with very many lines collapses early. All the
+    rest is local to one repartitioning by order: the order's figures come from a window over its few
+    summed rows, and LEADS_ORDER marks one row per order.
     """
     summed = lines.groupBy(*ORDER_KEY, "ITEM_CATEGORY", "USER_ID", "LOYALTY_FLAG").agg(
         F.min("CREATION_TIME_UTC").alias("FIRST_TIME"),
         F.sum("LINE_REVENUE").cast(MONEY).alias("REVENUE"),
-        F.max("HAS_ZERO_PRICE_OPTION").alias("HAS_DISCOUNT"),
+        F.max("HAS_ZERO_PRICE_OPTION").alias("HAS_ZERO_PRICE_OPTION"),
         F.sum(F.coalesce("ITEM_QUANTITY", F.lit(0))).alias("ITEM_QUANTITY"),
     )
-    by_order = summed.repartition(*ORDER_KEY)
-    merged = by_order.groupBy(*ORDER_KEY, "ITEM_CATEGORY").agg(
-        F.min("USER_ID").alias("USER_ID"),
-        F.min("LOYALTY_FLAG").alias("LOYALTY_FLAG"),
-        F.min("FIRST_TIME").alias("FIRST_TIME"),
+    order = Window.partitionBy(*ORDER_KEY)
+    whole_order = {
+        "ORDER_USER": F.min("USER_ID").over(order),
+        "ORDER_LOYALTY": F.min("LOYALTY_FLAG").over(order),
+        "ORDER_TIMESTAMP": F.min("FIRST_TIME").over(order),
+        "ORDER_REVENUE": F.sum("REVENUE").over(order).cast(MONEY),
+        "HAS_DISCOUNT": F.max("HAS_ZERO_PRICE_OPTION").over(order),
+        "TOTAL_ITEM_QUANTITY": F.sum("ITEM_QUANTITY").over(order),
+        "LEADS_ORDER": F.col("ITEM_CATEGORY").eqNullSafe(
+            F.first("ITEM_CATEGORY").over(order.orderBy(F.asc_nulls_first("ITEM_CATEGORY")))
+        ),
+    }
+    placed = summed.repartition(*ORDER_KEY).withColumns(whole_order)
+    return placed.groupBy(*ORDER_KEY, "ITEM_CATEGORY", *whole_order).agg(
         F.sum("REVENUE").cast(MONEY).alias("REVENUE"),
-        F.max("HAS_DISCOUNT").alias("HAS_DISCOUNT"),
         F.sum("ITEM_QUANTITY").alias("ITEM_QUANTITY"),
     )
-    order_time = F.expr("min(FIRST_TIME) OVER (PARTITION BY ORDER_ID, RESTAURANT_ID)")
-    return merged.withColumn("ORDER_TIMESTAMP", order_time).drop("FIRST_TIME")
 
 
 def order_fact(order_categories: DataFrame) -> DataFrame:
-    """One row per order, that is per ORDER_ID and RESTAURANT_ID."""
-    orders = order_categories.groupBy(*ORDER_KEY).agg(
-        F.min("USER_ID").alias("USER_ID"),
-        F.min("LOYALTY_FLAG").alias("LOYALTY_FLAG"),
-        F.min("ORDER_TIMESTAMP").alias("ORDER_TIMESTAMP"),
-        F.sum("REVENUE").cast(MONEY).alias("ORDER_REVENUE"),
-        F.max("HAS_DISCOUNT").alias("HAS_DISCOUNT"),
-        F.sum("ITEM_QUANTITY").alias("TOTAL_ITEM_QUANTITY"),
+    """One row per order, that is per ORDER_ID and RESTAURANT_ID: the leading category rows."""
+    return order_categories.filter("LEADS_ORDER").select(
+        *ORDER_KEY,
+        F.col("ORDER_USER").alias("USER_ID"),
+        F.col("ORDER_LOYALTY").alias("LOYALTY_FLAG"),
+        "ORDER_TIMESTAMP",
+        "ORDER_REVENUE",
+        "HAS_DISCOUNT",
+        "TOTAL_ITEM_QUANTITY",
+        F.to_date("ORDER_TIMESTAMP").alias("ORDER_DATE"),
     )
-    return orders.withColumn("ORDER_DATE", F.to_date("ORDER_TIMESTAMP"))
 
 
 def line_sales_fact(lines: DataFrame, orders: DataFrame) -> DataFrame:

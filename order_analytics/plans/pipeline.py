@@ -10,7 +10,6 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from order_analytics import session
 from order_analytics.operators import conform, quality, sync
-from order_analytics.operators.staging import Stage
 from order_analytics.plans import facts
 from order_analytics.plans.dataset import OrderDataset
 from order_analytics.schemas import ORDER_ITEM_OPTIONS, ORDER_ITEMS, TABLES, TableSpec
@@ -48,44 +47,45 @@ def snapshot_tables(
     for name, source in sources.items():
         path = f"{root}/{name}"
         stamped = snapshots.add_lineage(source, batch_time, name, load_type)
-        _, rows = snapshots.write_version(stamped, path)
-        stored = snapshots.read_current(source.sparkSession, path).count()
+        version, rows = snapshots.write_candidate(stamped, path)
+        stored = snapshots.read_version(source.sparkSession, path, version).count()
         quality.assert_row_count(stored, rows, name)
+        snapshots.publish(source.sparkSession, path, version)
         summary.add("ingest", name, ROWS=rows)
 
 
-def conform_table(raw: DataFrame, spec: TableSpec, stage: Stage, summary: RunSummary) -> DataFrame:
-    """Typed, gated and deduplicated rows of one raw table."""
+def conform_table(raw: DataFrame, spec: TableSpec, summary: RunSummary) -> DataFrame:
+    """Typed and deduplicated rows of one raw table, once its row rules hold."""
     named = conform.normalize_columns(raw)
     quality.check_columns(named, spec)
     cast = conform.cast_to_schema(named, spec, keep_originals=True)
-    gates = quality.enforce(quality.run_checks(cast, quality.cast_rules(spec) | quality.key_rules(spec)), spec.name)
-    typed = stage.keep(conform.drop_exact_duplicates(conform.drop_originals(cast)), spec.name)
-    rule = f"DUPLICATE_KEY_{spec.name.upper()}"
-    gates |= quality.enforce(quality.count_duplicate_keys(typed, spec.key, rule), spec.name)
-    summary.add("conform", spec.name, RAW_ROWS=raw.count(), TYPED_ROWS=typed.count(), **gates)
-    return typed
+    rules = quality.cast_rules(spec) | quality.key_rules(spec)
+    summary.add("conform", spec.name, **quality.enforce_rows(cast, rules, spec.name))
+    return conform.drop_exact_duplicates(conform.drop_originals(cast))
 
 
 def conform_tables(spark: SparkSession, raw_root: str, typed_root: str, summary: RunSummary) -> None:
     """Gate every raw snapshot and sync it into its typed snapshot."""
     session.use_utc(spark)
     for name, spec in TABLES.items():
-        stage = Stage(spark)
-        typed = conform_table(snapshots.read_current(spark, f"{raw_root}/{name}"), spec, stage, summary)
+        typed = conform_table(snapshots.read_current(spark, f"{raw_root}/{name}"), spec, summary)
         summary.add("sync", name, **sync.sync(spark, f"{typed_root}/{name}", typed, spec))
-        stage.release()
 
 
 def gate_mart_inputs(items: DataFrame, options: DataFrame) -> dict[str, int]:
-    """What the facts rely on: unique option join keys, complete prices, known loyalty words."""
-    found = quality.enforce(
-        quality.count_duplicate_keys(items, facts.LINE_KEY, "UNSAFE_OPTION_JOIN_KEY"), "order_items"
-    )
-    found |= quality.enforce(
-        quality.run_checks(items, quality.item_revenue_rules() | quality.loyalty_rules()), "order_items"
-    )
-    found |= quality.enforce(quality.run_checks(options, quality.option_revenue_rules()), "order_item_options")
+    """What the facts rely on: unique option join keys, complete prices, known loyalty words, one user
+    and one loyalty value per order."""
+    item_rules = quality.item_revenue_rules() | quality.loyalty_rules()
+    keys = quality.count_duplicate_keys(items, facts.LINE_KEY, "UNSAFE_OPTION_JOIN_KEY")
+    checks = [
+        (keys, "order_items"),
+        (quality.run_checks(items, item_rules), "order_items"),
+        (quality.run_checks(options, quality.option_revenue_rules()), "order_item_options"),
+        (quality.order_consistency_checks(facts.with_loyalty_flag(items)), "orders"),
+    ]
+    found: dict[str, int] = {}
+    for check, table in checks:
+        found |= quality.enforce(check, table)
     return found
 
 
@@ -96,7 +96,6 @@ def build_marts(spark: SparkSession, typed_root: str, mart_root: str, summary: R
     items, options = items.select(ORDER_ITEMS.business_columns), options.select(ORDER_ITEM_OPTIONS.business_columns)
     summary.add("gate", "mart inputs", **gate_mart_inputs(items, options))
     dataset = OrderDataset(items, options)
-    summary.add("gate", "orders", **quality.enforce(quality.order_consistency_checks(dataset.lines), "orders"))
     summary.add("profile", "orders", **quality.user_id_diagnostics(dataset.orders).first().asDict())
     summary.add("profile", "order_item_options", ORPHANS=facts.orphan_options(items, options).count())
     gated = {"customer_rfm": quality.rfm_rules(), "restaurant_performance": quality.span_rules()}

@@ -1,7 +1,8 @@
 """Versioned snapshot tables on Parquet.
 
-A version is a folder ``v=<n>``. The current one is the highest that carries Spark's success marker, so
-readers never see a half-written version, and a version is never overwritten.
+A version is a folder ``v=<n>``, written as a candidate and published by a marker file once its checks
+have passed. The current version is the highest published one, so readers never see a version that is
+half written or failed its checks, and no version is ever overwritten.
 """
 
 from __future__ import annotations
@@ -13,52 +14,64 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 PREFIX = "v="
+PUBLISHED = "_PUBLISHED"
 
 
-def _listing(spark: SparkSession, path: str):
+def _file_system(spark: SparkSession, path: str):
     location = spark._jvm.org.apache.hadoop.fs.Path(path)
-    files = location.getFileSystem(spark._jsc.hadoopConfiguration())
-    return files, (files.listStatus(location) if files.exists(location) else [])
-
-
-def current_version(spark: SparkSession, path: str) -> int | None:
-    files, entries = _listing(spark, path)
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path
-    committed = [
-        int(entry.getPath().getName().removeprefix(PREFIX))
-        for entry in entries
-        if entry.getPath().getName().startswith(PREFIX) and files.exists(hadoop_path(entry.getPath(), "_SUCCESS"))
+    return location.getFileSystem(spark._jsc.hadoopConfiguration()), location
+
+
+def _versions(spark: SparkSession, path: str, published_only: bool) -> list[int]:
+    files, location = _file_system(spark, path)
+    if not files.exists(location):
+        return []
+    folders = [entry.getPath() for entry in files.listStatus(location) if entry.getPath().getName().startswith(PREFIX)]
+    marker = spark._jvm.org.apache.hadoop.fs.Path
+    return [
+        int(folder.getName().removeprefix(PREFIX))
+        for folder in folders
+        if not published_only or files.exists(marker(folder, PUBLISHED))
     ]
-    return max(committed, default=None)
 
 
-def _newest_folder(spark: SparkSession, path: str) -> int:
-    _, entries = _listing(spark, path)
-    names = [entry.getPath().getName() for entry in entries]
-    return max((int(name.removeprefix(PREFIX)) for name in names if name.startswith(PREFIX)), default=0)
+def current_version(spark: SparkSession, path: str) -> int | None:
+    return max(_versions(spark, path, published_only=True), default=None)
 
 
 def version_path(path: str, version: int) -> str:
     return f"{path.rstrip('/')}/{PREFIX}{version}"
 
 
-def write_version(df: DataFrame, path: str) -> tuple[int, int]:
-    """Write the next version; return its number and the rows written (counted during the write)."""
-    version = _newest_folder(df.sparkSession, path) + 1
+def write_candidate(df: DataFrame, path: str) -> tuple[int, int]:
+    """Write the next version, unpublished; return its number and the rows counted during the write."""
+    version = max(_versions(df.sparkSession, path, published_only=False), default=0) + 1
     written = Observation()
-    observed = df.observe(written, F.count(F.lit(1)).alias("ROWS"))
-    observed.write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "true").parquet(
-        version_path(path, version)
-    )
+    df.observe(written, F.count(F.lit(1)).alias("ROWS")).write.parquet(version_path(path, version))
     return version, written.get["ROWS"]
 
 
+def publish(spark: SparkSession, path: str, version: int) -> None:
+    files, marker = _file_system(spark, f"{version_path(path, version)}/{PUBLISHED}")
+    files.create(marker, False).close()
+
+
+def discard(spark: SparkSession, path: str, version: int) -> None:
+    """Remove a candidate that is not needed."""
+    files, location = _file_system(spark, version_path(path, version))
+    files.delete(location, True)
+
+
+def read_version(spark: SparkSession, path: str, version: int, schema: StructType | None = None) -> DataFrame:
+    reader = spark.read.schema(schema) if schema else spark.read
+    return reader.parquet(version_path(path, version))
+
+
 def read_current(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
     version = current_version(spark, path)
     if version is None:
         raise FileNotFoundError(f"No snapshot at {path}")
-    reader = spark.read.schema(schema) if schema else spark.read
-    return reader.parquet(version_path(path, version))
+    return read_version(spark, path, version, schema)
 
 
 def add_lineage(df: DataFrame, ingested_at: datetime, source_table: str, load_type: str) -> DataFrame:
