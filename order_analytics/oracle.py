@@ -9,8 +9,8 @@ import re
 
 CREATED = "o_orderdate + to_minutes(l_orderkey % 1440) + to_seconds(l_linenumber)"
 LINE_ID = (
-    "'L' || concat_ws('-', l_linenumber, l_partkey, l_suppkey, strftime(l_shipdate, '%Y%m%d'),"
-    " CAST(round(l_extendedprice * 100) AS BIGINT))"
+    "'L' || l_linenumber || '-' || l_partkey || '-' || l_suppkey || '-'"
+    " || date_diff('day', DATE '1970-01-01', CAST(l_shipdate AS DATE))"
 )
 FLOAT_CENTS = "CAST(round(CAST(CAST(l_extendedprice AS FLOAT) AS DOUBLE) * 100) AS BIGINT)"
 SEVERAL = "ITEM_CATEGORY IN ('ECONOMY', 'SMALL', 'UNKNOWN')"

@@ -10,8 +10,7 @@ CREATED = (
     " + make_interval(0, 0, 0, 0, 0, CAST(l_orderkey % 1440 AS int), l_linenumber)"
 )
 LINE_ID = (
-    "concat('L', concat_ws('-', l_linenumber, l_partkey, l_suppkey, date_format(l_shipdate, 'yyyyMMdd'),"
-    " CAST(round(l_extendedprice * 100) AS bigint)))"
+    "concat('L', l_linenumber, '-', l_partkey, '-', l_suppkey, '-', unix_date(CAST(l_shipdate AS date)))"
 )
 COARSE_LINE_ID = "concat('L', l_linenumber)"
 
@@ -92,22 +91,18 @@ def coarse_order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def order_item_options(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A size option on taxed lines and a promotion on small lines, from one scan."""
-    size = F.expr(
-        "CASE WHEN l_tax > 0 THEN named_struct('OPTION_GROUP_NAME', 'SIZE', 'OPTION_NAME', l_returnflag,"
-        " 'OPTION_PRICE', CAST(round(l_tax * 100) AS decimal(18,0)),"
-        " 'OPTION_QUANTITY', CAST(l_linenumber AS decimal(18,0))) END"
-    )
-    promotion = F.expr(
-        "CASE WHEN l_quantity <= 10 THEN named_struct('OPTION_GROUP_NAME', 'PROMO', 'OPTION_NAME', l_linestatus,"
-        " 'OPTION_PRICE', CAST(round(l_discount * 100) AS decimal(18,0)),"
-        " 'OPTION_QUANTITY', CAST(1 AS decimal(18,0))) END"
+    both = F.expr(
+        "stack(2,"
+        " 'SIZE', l_returnflag, CAST(round(l_tax * 100) AS decimal(18,0)), CAST(l_linenumber AS decimal(18,0)),"
+        " 'PROMO', l_linestatus, CAST(round(l_discount * 100) AS decimal(18,0)), CAST(1 AS decimal(18,0)))"
+        " AS (OPTION_GROUP_NAME, OPTION_NAME, OPTION_PRICE, OPTION_QUANTITY)"
     )
     options = table(spark, sf_dir, "lineitem").select(
-        F.expr("concat('O', l_orderkey)").alias("ORDER_ID"),
-        F.expr(LINE_ID).alias("LINEITEM_ID"),
-        F.explode(F.array_compact(F.array(size, promotion))).alias("OPTION"),
+        F.expr("concat('O', l_orderkey)").alias("ORDER_ID"), F.expr(LINE_ID).alias("LINEITEM_ID"), "l_tax", "l_quantity", both
+    )
+    return options.filter("CASE OPTION_GROUP_NAME WHEN 'SIZE' THEN l_tax > 0 ELSE l_quantity <= 10 END").drop(
+        "l_tax", "l_quantity"
     )
-    return options.select("ORDER_ID", "LINEITEM_ID", "OPTION.*")
 
 
 def date_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
