@@ -36,13 +36,15 @@ def skewed(tmp_path_factory):
         connection.execute(f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{SMALL}/{name}.parquet')")
     moved = {
         "part": "SELECT * FROM part",
-        "orders": "SELECT * REPLACE (CASE WHEN o_orderkey % 3 = 0 THEN 7 ELSE o_custkey END AS o_custkey) FROM orders",
+        "orders": "SELECT * REPLACE ((CASE WHEN o_orderkey % 3 = 0 THEN 7 ELSE o_custkey END) AS o_custkey) FROM orders",
         "lineitem": """
-            SELECT * REPLACE (CASE WHEN hot THEN 8 ELSE l_orderkey END AS l_orderkey,
-              CASE WHEN hot THEN 3 ELSE l_suppkey END AS l_suppkey, CASE WHEN hot THEN 5 ELSE l_partkey END AS l_partkey,
-              CASE WHEN hot THEN TIMESTAMP '1995-01-01' + to_days(CAST(n AS INT)) ELSE l_shipdate END AS l_shipdate)
-            EXCLUDE (hot, n) FROM (
-              SELECT *, row_number() OVER (ORDER BY ALL) AS n, row_number() OVER (ORDER BY ALL) % 3 = 0 AS hot FROM lineitem)""",
+            WITH numbered AS (SELECT *, row_number() OVER (ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey, l_shipdate) AS n FROM lineitem)
+            SELECT CASE WHEN n % 3 = 0 THEN 8 ELSE l_orderkey END AS l_orderkey,
+              CASE WHEN n % 3 = 0 THEN 5 ELSE l_partkey END AS l_partkey,
+              CASE WHEN n % 3 = 0 THEN 3 ELSE l_suppkey END AS l_suppkey,
+              l_linenumber, l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus,
+              CASE WHEN n % 3 = 0 THEN TIMESTAMP '1995-01-01' + to_days(CAST(n AS INT)) ELSE l_shipdate END AS l_shipdate
+            FROM numbered""",
     }
     for name, sql in moved.items():
         connection.execute(f"COPY ({sql}) TO '{folder}/{name}.parquet' (FORMAT parquet)")
