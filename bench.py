@@ -62,9 +62,7 @@ def main() -> None:
         for name in MARTS:
             run(queries[name](spark, SF_DIR))
 
-    for _ in range(2):  # let the JVM compile the hot code first
-        all_marts()
-        registry.close_all(spark)
+    all_marts()  # lets the JVM compile the hot code first
     times = {name: cold(name) for name in HEADLINE}
     registry.close_all(spark)
     times["all_marts"] = timed(all_marts)
