@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import re
+
 import duckdb
 import pytest
 from conftest import SMALL
 from oracle_check import connect, differences
 
 import __spark_entry__ as contract
+from order_analytics import registry
 
 NAMES = (
     "order_fact",
@@ -55,3 +58,27 @@ def skewed(tmp_path_factory):
 def test_skewed_tables(spark, skewed, name):
     df = contract.queries()[name](spark, skewed)
     assert differences(df, contract.oracle_sql()[name], connect(skewed)) is None
+
+
+def test_adaptive_execution_splits_the_hot_order(spark, skewed):
+    """The join of lines to their order is split where one order holds a third of the lines."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "4k",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k",
+    }
+    registry.close_all(spark)
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        df = contract.queries()["line_sales_fact"](spark, skewed)
+        assert differences(df, contract.oracle_sql()["line_sales_fact"], connect(skewed)) is None
+        plan = df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for key in settings:
+            spark.conf.unset(key)
+        registry.close_all(spark)
+    assert re.search(r"SortMergeJoin\(skew=true\) \[ORDER_ID#\d+, RESTAURANT_ID#", plan)
