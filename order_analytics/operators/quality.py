@@ -44,6 +44,13 @@ def cast_rules(spec: TableSpec) -> dict[str, Column]:
     return {f"CAST_{name}": cast_failure(name) for name in spec.watched_casts}
 
 
+def rounding_rules(spec: TableSpec) -> dict[str, Column]:
+    """Decimals that the cast rounded, such as a price below one unit. Reported, not fatal."""
+    return {
+        f"ROUNDED_{name}": F.col(ORIGINAL + name).try_cast("decimal(38,10)") != F.col(name) for name in spec.decimals
+    }
+
+
 def key_rules(spec: TableSpec) -> dict[str, Column]:
     return {f"NULL_KEY_{spec.name.upper()}": any_null(spec.key)}
 
@@ -160,10 +167,13 @@ def enforce(checks: DataFrame, table: str) -> dict[str, int]:
     return require_none({row["RULE"]: row["VIOLATIONS"] for row in checks.collect()}, table)
 
 
-def enforce_rows(df: DataFrame, rules: dict[str, Column], table: str) -> dict[str, int]:
-    """Row rules and the row count from one pass; raise on violations."""
+def enforce_rows(
+    df: DataFrame, rules: dict[str, Column], table: str, reported: dict[str, Column] | None = None
+) -> dict[str, int]:
+    """The row count and all rules from one pass; raise on violations of ``rules``, only count ``reported``."""
+    counted = rules | (reported or {})
     counts = df.agg(
-        F.count(F.lit(1)).alias("ROWS"), *[F.count_if(condition).alias(rule) for rule, condition in rules.items()]
+        F.count(F.lit(1)).alias("ROWS"), *[F.count_if(condition).alias(rule) for rule, condition in counted.items()]
     )
     found = counts.first().asDict()
     require_none({rule: found[rule] for rule in rules}, table)

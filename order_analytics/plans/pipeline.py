@@ -60,7 +60,8 @@ def conform_table(raw: DataFrame, spec: TableSpec, summary: RunSummary) -> DataF
     quality.check_columns(named, spec)
     cast = conform.cast_to_schema(named, spec, keep_originals=True)
     rules = quality.cast_rules(spec) | quality.key_rules(spec)
-    summary.add("conform", spec.name, **quality.enforce_rows(cast, rules, spec.name))
+    counts = quality.enforce_rows(cast, rules, spec.name, reported=quality.rounding_rules(spec))
+    summary.add("conform", spec.name, **counts)
     return conform.drop_exact_duplicates(conform.drop_originals(cast))
 
 

@@ -18,14 +18,17 @@ from order_analytics.sources import fixtures
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+MOST_OPEN = 4
 _open: dict[tuple, OrderDataset] = {}
 
 
 def dataset(spark: SparkSession, sf_dir: str) -> OrderDataset:
-    """The dataset of one folder, shared by the queries of a session. Only the latest stays open."""
+    """The dataset of one folder, shared by the queries of a session. The oldest of many is released."""
     name = (spark.sparkContext.applicationId, id(spark), sf_dir)
     if name not in _open:
-        close_all(spark)
+        running = [opened for opened in _open if opened[0] == name[0]]
+        for oldest in running[: len(running) - MOST_OPEN + 1]:
+            _open.pop(oldest).release()
         session.use_utc(spark)
         _open[name] = OrderDataset(
             fixtures.order_items(spark, sf_dir), fixtures.order_item_options(spark, sf_dir)

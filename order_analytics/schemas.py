@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import types as T
 
@@ -68,6 +68,15 @@ class TableSpec:
     def business_columns(self) -> list[str]:
         return [field.name for field in self.fields]
 
+    def with_types(self, **types: T.DataType) -> TableSpec:
+        """The same table with other column types, e.g. prices as decimals with cents."""
+        fields = [T.StructField(field.name, types.get(field.name, field.dataType)) for field in self.fields]
+        return replace(self, fields=tuple(fields))
+
+    @property
+    def decimals(self) -> list[str]:
+        return [field.name for field in self.fields if isinstance(field.dataType, T.DecimalType)]
+
     @property
     def watched_casts(self) -> list[str]:
         """Columns whose conversion can fail: all that are not text."""

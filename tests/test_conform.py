@@ -9,11 +9,12 @@ import pytest
 from builders import ITEM_SCHEMA, OPTION_SCHEMA, item, option
 from conftest import SMALL
 from pyspark.sql import functions as F
+from pyspark.sql.types import DecimalType
 
 from order_analytics.functions.columns import offset_timestamp, short_id
 from order_analytics.operators import conform, quality
 from order_analytics.plans import facts
-from order_analytics.schemas import DATE_DIM, ORDER_ITEM_OPTIONS, ORDER_ITEMS
+from order_analytics.schemas import DATE_DIM, LINEAGE, ORDER_ITEM_OPTIONS, ORDER_ITEMS
 from order_analytics.sources import fixtures
 
 RAW_DATE = "`Date Key` string, year string, `Month ` string, WEEK string, `day-of-week` string, is_weekend string," \
@@ -67,8 +68,24 @@ def test_small_option_prices_round_half_up(frame):
     schema = "ORDER_ID string, LINEITEM_ID string, OPTION_GROUP_NAME string, OPTION_NAME string, OPTION_PRICE double," \
              " OPTION_QUANTITY int, _INGESTED_AT string, _SOURCE_TABLE string, _LOAD_TYPE string"
     rows = [("O", "L", "g", str(price), price, 1, None, "s", "l") for price in (0.4, 0.5)]
-    typed = conform.cast_to_schema(frame(rows, schema), ORDER_ITEM_OPTIONS)
+    typed = conform.cast_to_schema(frame(rows, schema), ORDER_ITEM_OPTIONS, keep_originals=True)
     assert {row["OPTION_NAME"]: row["OPTION_PRICE"] for row in typed.collect()} == {"0.4": Decimal(0), "0.5": Decimal(1)}
+    counts = quality.enforce_rows(typed, {}, "options", quality.rounding_rules(ORDER_ITEM_OPTIONS))
+    assert counts == {"ROWS": 2, "ROUNDED_OPTION_PRICE": 2, "ROUNDED_OPTION_QUANTITY": 0}
+    exact = conform.cast_to_schema(frame(rows, schema), ORDER_ITEM_OPTIONS.with_types(OPTION_PRICE=DecimalType(18, 2)))
+    assert {str(row["OPTION_PRICE"]) for row in exact.collect()} == {"0.40", "0.50"}
+
+
+def test_large_item_prices_lose_cents_only_as_float(frame):
+    raw = frame([item()], ITEM_SCHEMA).withColumn("ITEM_PRICE", F.lit("16777217.01"))
+    lineage = {name: F.lit(None).cast("string") for name in LINEAGE}
+    raw = raw.withColumns(lineage | {name: F.lit("x") for name in ("APP_NAME", "PRINTED_CARD_NUMBER", "CURRENCY")})
+    exact = ORDER_ITEMS.with_types(ITEM_PRICE=DecimalType(24, 2))
+    as_float, as_decimal = (
+        conform.cast_to_schema(raw, spec).select(F.col("ITEM_PRICE").cast("decimal(24,2)")).first()[0]
+        for spec in (ORDER_ITEMS, exact)
+    )
+    assert (str(as_float), str(as_decimal)) == ("16777218.00", "16777217.01")
 
 
 @pytest.mark.parametrize(
