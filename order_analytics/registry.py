@@ -27,7 +27,7 @@ def dataset(spark: SparkSession, sf_dir: str) -> OrderDataset:
     name = (spark.sparkContext.applicationId, id(spark), sf_dir)
     if name not in _open:
         running = [opened for opened in _open if opened[0] == name[0]]
-        for oldest in running[: len(running) - MOST_OPEN + 1]:
+        for oldest in running[: max(0, len(running) - MOST_OPEN + 1)]:
             _open.pop(oldest).release()
         session.use_utc(spark)
         _open[name] = OrderDataset(

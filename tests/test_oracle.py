@@ -7,6 +7,7 @@ from conftest import SMALL
 from oracle_check import connect, differences
 
 import __spark_entry__ as contract
+from order_analytics import registry
 
 QUERIES, SQL = contract.queries(), contract.oracle_sql()
 
@@ -27,3 +28,12 @@ def test_query_equals_sql(spark, tables, name):
 
 def test_entry_returns_rows(spark):
     assert contract.entry(spark).limit(1).count() == 1
+
+
+def test_datasets_stay_open_up_to_a_limit(spark):
+    registry.close_all(spark)
+    folders = ["/root/testdata/sf0.001" + "/" * extra for extra in range(registry.MOST_OPEN + 1)]
+    opened = [registry.dataset(spark, folder) for folder in folders]
+    assert [registry.dataset(spark, folder) for folder in folders[1:]] == opened[1:]
+    assert registry.dataset(spark, folders[0]) is not opened[0]
+    registry.close_all(spark)
