@@ -14,10 +14,15 @@ from pyspark.sql import DataFrame, SparkSession
 from order_analytics import session
 
 
+def new_path(spark: SparkSession, label: str) -> str:
+    """A folder under the staging folder that does not exist yet."""
+    return f"{session.staging_folder(spark)}/staged/{label}-{uuid.uuid4().hex}"
+
+
 def write_table(df: DataFrame, label: str) -> tuple[DataFrame, str]:
     """Write ``df`` to a new folder under the staging folder; return it read back, and the path."""
     spark = df.sparkSession
-    path = f"{session.staging_folder(spark)}/staged/{label}-{uuid.uuid4().hex}"
+    path = new_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path), path
 
