@@ -12,7 +12,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from order_analytics.llm import byte_bpe
+from order_analytics.llm import byte_bpe, packing, repetition, sharding, simhash, vector_tree, warc
+from order_analytics.operators.staging import new_path
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
@@ -32,7 +33,40 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_repetition_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repetition.judge(_table(spark, sf_dir, "documents"))
+
+
+def op6_golay_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.components(_table(spark, sf_dir, "documents"), shingle=3)
+
+
+def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(_table(spark, sf_dir, "documents"))
+
+
+def op8_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    archives = new_path(spark, "warc")
+    warc.write_archives(_table(spark, sf_dir, "pages"), archives, least_bytes=0)
+    return warc.read_archives(spark, archives).drop("intact")
+
+
+def op9_vector_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard(_table(spark, sf_dir, "documents"), shards=40)
+
+
+def op10_vector_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = _table(spark, sf_dir, "embeddings")
+    return vector_tree.nearest(vectors, vectors.filter("vec_id % 20 = 0"), k=20)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_byte_bpe": op1_byte_bpe,
+        "op4_repetition_rules": op4_repetition_rules,
+        "op6_golay_simhash": op6_golay_simhash,
+        "op7_best_fit_packing": op7_best_fit_packing,
+        "op8_warc_revisits": op8_warc_revisits,
+        "op9_vector_sharding": op9_vector_sharding,
+        "op10_vector_tree": op10_vector_tree,
     }
