@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from order_analytics.llm import byte_bpe, packing, repetition, sharding, simhash, vector_tree, warc
+from order_analytics.llm import byte_bpe, byte_dedup, packing, repetition, sharding, simhash, vector_tree, warc, word_dedup
 from order_analytics.operators.staging import new_path
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -33,10 +33,20 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    removed = byte_dedup.remove(_table(spark, sf_dir, "documents"))
+    return removed.select("row.doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op4_repetition_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repetition.judge(_table(spark, sf_dir, "documents"))
 
 
+def op5_suffix_tree_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    removed = word_dedup.remove(_table(spark, sf_dir, "documents"))
+    return removed.select("row.doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op6_golay_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.components(_table(spark, sf_dir, "documents"), shingle=3)
 
@@ -63,7 +73,9 @@ def op10_vector_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_byte_bpe": op1_byte_bpe,
+        "op3_suffix_array_dedup": op3_suffix_array_dedup,
         "op4_repetition_rules": op4_repetition_rules,
+        "op5_suffix_tree_dedup": op5_suffix_tree_dedup,
         "op6_golay_simhash": op6_golay_simhash,
         "op7_best_fit_packing": op7_best_fit_packing,
         "op8_warc_revisits": op8_warc_revisits,
