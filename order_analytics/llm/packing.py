@@ -25,7 +25,7 @@ from __future__ import annotations
 from bisect import bisect_left, insort
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -148,16 +148,17 @@ def pack(
     lots = max(1, -(-total // lot_length))
     lot = F.pmod(F.xxhash64("doc_id", "piece", "cluster"), F.lit(lots))
 
-    def pack_group(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(["length", "cluster", "doc_id", "piece"], ascending=[False, True, True, True], kind="stable")
-        sources = pd.factorize(rows["source"], use_na_sentinel=False)[0]
-        clusters = pd.factorize(rows["cluster"])[0]
-        packed = pack_lot(rows["length"].to_numpy(), sources, clusters, capacity, per_source)
-        # lots are numbered, and no lot has more bins than pieces
-        rows["bin"] = packed[:, 0] * lots + key[0]
-        rows["place"], rows["offset"] = packed[:, 1].astype("int32"), packed[:, 2].astype("int32")
-        return rows.drop(columns="lot")
+    def pack_group(key: tuple, rows: pa.Table) -> pa.Table:
+        order = [("length", "descending"), *((name, "ascending") for name in ("cluster", "doc_id", "piece", "source"))]
+        rows = rows.sort_by(order).drop_columns("lot")
+        sources = rows.column("source").combine_chunks().dictionary_encode("encode").indices.to_numpy()
+        clusters = rows.column("cluster").combine_chunks().dictionary_encode().indices.fill_null(-1).to_numpy()
+        packed = pack_lot(rows.column("length").to_numpy(), sources, clusters, capacity, per_source)
+        # bins of all lots are numbered without a clash
+        rows = rows.append_column("bin", pa.array(packed[:, 0] * lots + key[0].as_py()))
+        rows = rows.append_column("place", pa.array(packed[:, 1].astype(np.int32)))
+        return rows.append_column("offset", pa.array(packed[:, 2].astype(np.int32)))
 
     kind = documents.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, source string, cluster bigint, {PACKED}"
-    return pieces.withColumn("lot", lot).groupBy("lot").applyInPandas(pack_group, schema)
+    return pieces.withColumn("lot", lot).groupBy("lot").applyInArrow(pack_group, schema)

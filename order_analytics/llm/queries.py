@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from order_analytics.llm import byte_bpe, byte_dedup, packing, repetition, sharding, simhash, vector_tree, warc, word_dedup
+from order_analytics.llm import backoff_lm, byte_bpe, byte_dedup, packing, repetition, sharding, simhash, vector_tree, warc, word_dedup
 from order_analytics.operators.staging import new_path
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -33,6 +33,10 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_backoff_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return backoff_lm.score(_table(spark, sf_dir, "documents"))
+
+
 def op3_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     removed = byte_dedup.remove(_table(spark, sf_dir, "documents"))
     return removed.select("row.doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
@@ -73,6 +77,7 @@ def op10_vector_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_byte_bpe": op1_byte_bpe,
+        "op2_backoff_lm": op2_backoff_lm,
         "op3_suffix_array_dedup": op3_suffix_array_dedup,
         "op4_repetition_rules": op4_repetition_rules,
         "op5_suffix_tree_dedup": op5_suffix_tree_dedup,
