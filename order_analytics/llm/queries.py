@@ -12,7 +12,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from order_analytics.llm import backoff_lm, byte_bpe, byte_dedup, packing, repetition, sharding, simhash, vector_tree, warc, word_dedup
+from order_analytics.llm.shipping import ship
 from order_analytics.operators.staging import new_path
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -43,7 +45,8 @@ def op3_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_repetition_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return repetition.judge(_table(spark, sf_dir, "documents"))
+    judged = repetition.judge(_table(spark, sf_dir, "documents"))
+    return judged.select("row.doc_id", *(name for name in judged.columns if name != "row"))
 
 
 def op5_suffix_tree_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -74,8 +77,16 @@ def op10_vector_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_tree.nearest(vectors, vectors.filter("vec_id % 20 = 0"), k=20)
 
 
+def _shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship(spark)
+        return query(spark, sf_dir)
+
+    return run
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {
+    found = {
         "op1_byte_bpe": op1_byte_bpe,
         "op2_backoff_lm": op2_backoff_lm,
         "op3_suffix_array_dedup": op3_suffix_array_dedup,
@@ -86,4 +97,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_warc_revisits": op8_warc_revisits,
         "op9_vector_sharding": op9_vector_sharding,
         "op10_vector_tree": op10_vector_tree,
+        "pipeline": corpus_pipeline.run,
     }
+    return {name: _shipped(query) for name, query in found.items()}

@@ -11,7 +11,7 @@ characters covered for n are at most that share of all word characters, and thos
 most ``line_percent`` % of them.
 
 A null text has no words and fails the base rule, as do an empty one and one of white space. Rows may repeat; each
-is judged by itself, so ties do not arise. Other columns are ignored. An empty table gives no rows. Very
+is judged by itself, so ties do not arise. Other columns are carried if named, else ignored. An empty table gives no rows. Very
 long texts are worked on whole.
 """
 
@@ -23,6 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from order_analytics.llm.batches import MULTIPLIER, SubstringHash, Texts, Words, mix, steps, words_of
 
@@ -108,25 +109,26 @@ def measure(texts: Texts, lengths: tuple[int, ...]) -> dict[str, np.ndarray]:
 
 def judge(
     documents: DataFrame,
+    carried: tuple[str, ...] = ("doc_id",),
     least_words: int = LEAST_WORDS,
     repeat_percent: int = REPEAT_PERCENT,
     coverage_percent: dict[int, int] | None = None,
     line_percent: int = LINE_PERCENT,
 ) -> DataFrame:
-    """doc_id, the counts, ``base_failed`` and ``kept`` of every row."""
+    """``row`` (the carried columns), the counts, ``base_failed`` and ``kept`` of every row."""
     coverage = COVERAGE_PERCENT if coverage_percent is None else coverage_percent
     lengths = tuple(coverage)
 
     def measure_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, texts in steps(batches, "text"):
             found = measure(texts, lengths)
-            columns = [rows.column("doc_id"), *(pa.array(values, pa.int64()) for values in found.values())]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", *found])
+            columns = [rows.column("row"), *(pa.array(values, pa.int64()) for values in found.values())]
+            yield pa.RecordBatch.from_arrays(columns, ["row", *found])
 
     names = [*COUNTS, *(f"dup_chars_{n}" for n in lengths), "dup_line_chars"]
-    kind = documents.schema["doc_id"].dataType.simpleString()
-    schema = ", ".join([f"doc_id {kind}", *(f"{name} bigint" for name in names)])
-    counted = documents.select("doc_id", F.col("text").cast("string").alias("text")).mapInArrow(measure_batches, schema)
+    rows = documents.select(F.struct(*carried).alias("row"), F.col("text").cast("string").alias("text"))
+    schema = T.StructType([rows.schema["row"], *(T.StructField(name, T.LongType()) for name in names)])
+    counted = rows.mapInArrow(measure_batches, schema)
     base_failed = (F.col("n_words") < least_words) | (100 * F.col("n_repeat_words") > repeat_percent * F.col("n_words"))
     passed = 100 * F.col("dup_line_chars") <= line_percent * F.col("word_chars")
     for n, percent in coverage.items():

@@ -15,6 +15,12 @@ A key of more than ``CROWDED`` fingerprints would make too many comparisons. Its
 halfway: each gives itself and its 64 neighbours at one bit; two that share a value differ in at most two
 bits, and all that differ in at most two share one. That is exact too and has 65 rows for each.
 
+``near_copies`` is for texts that share most of their word shingles. Its fingerprint is that of the set of
+words, which an edit changes least. Two of the three segments of fingerprints at most five bits apart differ in two
+bits at most, so the pairs of Golay keys of two segments meet all of them, and most of those up to ``NEAR`` bits apart.
+Of the fingerprints under a key, each is paired with its ``PARTNERS`` nearest and with the first it is near to: the rest of a dense group is reached
+through them. Pairs are verified by the Jaccard similarity of their shingle sets.
+
 Null text: no words. Rows with a null doc_id take part and get a component, but never name one; a
 component without any id has a null name. Rows may repeat; each is returned. An empty table gives no rows.
 Other columns are ignored.
@@ -37,6 +43,8 @@ from order_analytics.llm.components import connected_components
 from order_analytics.operators import staging
 
 SEED = 42
+#: Bits within which words' fingerprints are candidates, and nearest candidates kept under one key.
+NEAR, PARTNERS = 8, 16
 DISTANCE = 2
 CROWDED = 2_000
 
@@ -46,22 +54,37 @@ SEGMENTS = ((0, 23, 23), (23, 23, 0), (46, 18, 0))
 _words = re.compile(rb"[^ \t-\r]+").findall
 
 
+def majority(hashes: list[int]) -> int:
+    """The bits that are 1 in over half of the hashes."""
+    bits = np.unpackbits(np.array(hashes, "<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+    chosen = bits.sum(axis=0, dtype=np.int64) * 2 > len(hashes)
+    return int(np.packbits(chosen, bitorder="little").view("<u8")[0])
+
+
+def word_fingerprint(text: bytes) -> int:
+    """The fingerprint of the set of words of one text."""
+    words = set(_words(text.lower()))
+    return majority([xxhash.xxh64_intdigest(word, SEED) for word in words]) if words else 0
+
+
 def fingerprint(text: bytes, shingle: int) -> int:
     """The 64-bit fingerprint of one text."""
+    hashes = shingle_hashes(text, shingle)
+    return majority(hashes) if hashes else 0
+
+
+def shingle_hashes(text: bytes, shingle: int) -> list[int]:
+    """The hash of each shingle of one text, in order."""
     words = _words(text.lower())  # of bytes: only A-Z change
     if not words:
-        return 0
+        return []
     joined = b" ".join(words)
     if len(words) <= shingle:
-        hashes = [xxhash.xxh64_intdigest(joined, SEED)]
-    else:
-        ends = np.cumsum([len(word) + 1 for word in words]) - 1
-        starts = [0, *(ends[:-1] + 1).tolist()]
-        digest = xxhash.xxh64_intdigest
-        hashes = [digest(joined[a:b], SEED) for a, b in zip(starts, ends[shingle - 1 :].tolist(), strict=False)]
-    bits = np.unpackbits(np.array(hashes, "<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-    chosen = bits.sum(axis=0, dtype=np.int64) * 2 > len(hashes)
-    return int(np.packbits(chosen, bitorder="little").view("<u8")[0])
+        return [xxhash.xxh64_intdigest(joined, SEED)]
+    ends = np.cumsum([len(word) + 1 for word in words]) - 1
+    starts = [0, *(ends[:-1] + 1).tolist()]
+    digest = xxhash.xxh64_intdigest
+    return [digest(joined[a:b], SEED) for a, b in zip(starts, ends[shingle - 1 :].tolist(), strict=False)]
 
 
 def fingerprints(documents: DataFrame, shingle: int) -> DataFrame:
@@ -183,3 +206,125 @@ def components(documents: DataFrame, shingle: int = 3, crowded: int = CROWDED) -
     return printed.join(by_print, "print").select(
         "doc_id", F.lower(F.lpad(F.hex("print"), 16, "0")).alias("fingerprint"), "component_id"
     )
+
+
+def _word_keyed(nodes: DataFrame) -> DataFrame:
+    """(key, print, node): the pairs of Golay keys of each two segments of the words' fingerprint."""
+
+    def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            prints, ids = batch.column("print").to_numpy().view(np.uint64), batch.column("node").to_numpy()
+            near = []
+            for shift, _, _ in SEGMENTS:
+                segment = (prints >> np.uint64(shift) & np.uint64((1 << golay.LENGTH) - 1)).astype(np.uint32)
+                found = golay.keys(segment).astype(np.uint64)
+                fresh = np.ones(found.shape, bool)
+                fresh[:, 1:] = found[:, 1:] != found[:, :1]
+                near.append((found, fresh))
+            for place, (one, two) in enumerate(((0, 1), (0, 2), (1, 2))):
+                keys = (near[one][0][:, :, None] << np.uint64(23) | near[two][0][:, None, :]) << np.uint64(2) | np.uint64(place)
+                fresh = near[one][1][:, :, None] & near[two][1][:, None, :]
+                rows = np.broadcast_to(np.arange(len(prints))[:, None, None], keys.shape)[fresh]
+                columns = [pa.array(signed(keys[fresh])), pa.array(signed(prints[rows])), pa.array(ids[rows])]
+                yield pa.RecordBatch.from_arrays(columns, ["key", "print", "node"])
+
+    return nodes.select("print", "node").mapInArrow(of_batches, "key bigint, print bigint, node bigint")
+
+
+def near_pairs(prints: np.ndarray, partners: int = PARTNERS) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of places under one key: each with its nearest and with the first it is near to."""
+    firsts, seconds = [], []
+    for low in range(0, len(prints), CROWDED):
+        distance = np.bitwise_count(prints[low : low + CROWDED, None] ^ prints[None, :])
+        own = np.arange(low, low + len(distance))
+        distance[own - low, own] = 255
+        if len(prints) <= partners + 1:
+            one, two = np.nonzero(distance <= NEAR)
+        else:
+            closest = np.argpartition(distance, partners, axis=1)[:, :partners]
+            closest = np.concatenate([closest, (distance <= NEAR).argmax(axis=1)[:, None]], axis=1)
+            one, place = np.nonzero(np.take_along_axis(distance, closest, axis=1) <= NEAR)
+            two = closest[one, place]
+        firsts.append(one + low)
+        seconds.append(two)
+    one, two = np.concatenate(firsts), np.concatenate(seconds)
+    return np.minimum(one, two), np.maximum(one, two)
+
+
+def _candidates(nodes: DataFrame) -> DataFrame:
+    """(node, other): pairs of texts to verify."""
+
+    def pair_runs(keys: np.ndarray, prints: np.ndarray, ids: np.ndarray) -> pa.RecordBatch:
+        starts = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+        sizes = np.diff(np.append(starts, len(keys)))
+        two = starts[sizes == 2]
+        close = two[np.bitwise_count(prints[two] ^ prints[two + 1]) <= NEAR]
+        firsts, seconds = [close], [close + 1]
+        for start, size in zip(starts[sizes > 2].tolist(), sizes[sizes > 2].tolist(), strict=True):
+            one, other = near_pairs(prints[start : start + size])
+            firsts.append(one + start)
+            seconds.append(other + start)
+        one, other = ids[np.concatenate(firsts)], ids[np.concatenate(seconds)]
+        pairs = np.unique(np.stack([np.minimum(one, other), np.maximum(one, other)]), axis=1)
+        return pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], ["node", "other"])
+
+    def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [np.zeros(0, np.int64)] * 3
+        for batch in batches:
+            held = [np.concatenate([kept, batch.column(name).to_numpy()]) for kept, name in zip(held, ("key", "print", "node"), strict=True)]
+            done = int(np.searchsorted(held[0], held[0][-1])) if len(held[0]) else 0
+            if done:
+                yield pair_runs(held[0][:done], held[1][:done].view(np.uint64), held[2][:done])
+                held = [kept[done:] for kept in held]
+        if len(held[0]):
+            yield pair_runs(held[0], held[1].view(np.uint64), held[2])
+
+    keyed = _word_keyed(nodes).repartition("key").sortWithinPartitions("key", "print", "node")
+    return keyed.mapInArrow(of_batches, "node bigint, other bigint").distinct()
+
+
+def _shingle_sets(texts: DataFrame, shingle: int) -> DataFrame:
+    """(node, shingles): the distinct shingle hashes of each text."""
+
+    def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows, _ in steps(batches, "text"):
+            found = [np.unique(np.array(shingle_hashes(text or b"", shingle), np.uint64)).view(np.int64) for text in rows.column("text").cast(pa.binary()).to_pylist()]
+            yield pa.RecordBatch.from_arrays([rows.column("node"), pa.array(found, pa.list_(pa.int64()))], ["node", "shingles"])
+
+    return texts.mapInArrow(of_batches, "node bigint, shingles array<bigint>")
+
+
+def near_copies(documents: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
+    """(doc_id, component_id): classes of texts that are equal or linked by ``percent`` % of their shingles.
+
+    Rows are handled as by ``components``. Texts without words equal each other.
+    """
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    texts = documents.select("doc_id", F.xxhash64(text).alias("node"), text.alias("text"))
+
+    def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows, _ in steps(batches, "text"):
+            prints = [word_fingerprint(text) for text in rows.column("text").cast(pa.binary()).to_pylist()]
+            columns = [rows.column("doc_id"), rows.column("node"), pa.array(signed(np.array(prints, np.uint64)))]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "node", "print"])
+
+    kind = documents.schema["doc_id"].dataType.simpleString()
+    printed, _ = staging.write_table(texts.mapInArrow(of_batches, f"doc_id {kind}, node bigint, print bigint"), "word-fingerprints")
+    nodes = printed.groupBy("node").agg(F.min("doc_id").alias("least_id"), F.min("print").alias("print"))
+    nodes, _ = staging.write_table(nodes, "distinct-texts")
+    pairs, _ = staging.write_table(_candidates(nodes), "candidate-pairs")
+    asked = pairs.select("node").union(pairs.select(F.col("other").alias("node"))).distinct()
+    found = texts.select("node", "text").join(asked, "node", "left_semi")
+    sets, _ = staging.write_table(_shingle_sets(found, shingle), "shingle-sets")
+    sets = sets.dropDuplicates(["node"])
+    ours = sets.select("node", F.col("shingles").alias("ours"))
+    theirs = sets.select(F.col("node").alias("other"), F.col("shingles").alias("theirs"))
+    shared = F.size(F.array_intersect("ours", "theirs"))
+    either = F.size("ours") + F.size("theirs") - shared
+    verified = pairs.join(ours, "node").join(theirs, "other").filter(shared * 100 >= either * percent).select("node", "other")
+    verified, _ = staging.write_table(verified, "verified-pairs")
+    roots = connected_components(verified)
+    rooted = nodes.join(roots, "node", "left").select("node", "least_id", F.coalesce("root", "node").alias("root"))
+    named = rooted.groupBy("root").agg(F.min("least_id").alias("component_id"))
+    by_node = rooted.join(named, "root").select("node", "component_id")
+    return printed.join(by_node, "node").select("doc_id", "component_id")
