@@ -1,7 +1,169 @@
-"""The queries of the subpackage that SQL can express, in DuckDB's dialect."""
+"""The queries of the subpackage that SQL can express, in DuckDB's dialect.
+
+Not here: encoding (its merges), fingerprints (their hash), packing and sharding (greedy), the vector tree
+(approximate) and the pipeline (it has stages of these). Tests hold those against plain versions.
+"""
 
 from __future__ import annotations
 
+from order_analytics.llm import backoff_lm, byte_dedup, repetition, word_dedup
+
+WORD = r"[^\x20\x09-\x0D]+"
+
+#: Each word of each document with its place.
+WORDS = rf"""
+    lists AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '{WORD}') AS list FROM documents),
+    words AS (SELECT doc_id, unnest(list) AS word, unnest(range(len(list))) AS place FROM lists)"""
+
+
+def _backoff_lm() -> str:
+    backoff = backoff_lm.BACKOFF
+    return f"""
+WITH {WORDS},
+pairs AS (SELECT *, lag(word) OVER (PARTITION BY doc_id ORDER BY place) AS lead FROM words),
+counts AS (
+    SELECT doc_id, lead,
+        count(*) OVER (PARTITION BY word) - count(*) OVER (PARTITION BY doc_id, word) AS of_word,
+        count(*) OVER (PARTITION BY lead, word) - count(*) OVER (PARTITION BY doc_id, lead, word) AS of_pair,
+        count(*) OVER (PARTITION BY lead) - count(*) OVER (PARTITION BY doc_id, lead) AS of_lead,
+        greatest(count(*) OVER () - count(*) OVER (PARTITION BY doc_id), 1) AS others
+    FROM pairs
+),
+single AS (SELECT *, CASE WHEN of_word > 0 THEN of_word / others ELSE {backoff} / others END AS alone FROM counts),
+scores AS (
+    SELECT doc_id, CASE WHEN lead IS NULL THEN alone WHEN of_pair > 0 THEN of_pair / of_lead ELSE {backoff} * alone END AS score
+    FROM single
+),
+sums AS (SELECT doc_id, count(*) AS n_words, sum(ln(score)) AS total FROM scores GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n_words, 0) AS n_words, round(coalesce(total, 0.0), 4) AS log_score, round(total / n_words, 4) AS mean_log
+FROM documents d LEFT JOIN sums USING (doc_id)"""
+
+
+def _repetition_rules() -> str:
+    lengths = sorted({repetition.BASE_WINDOW, *repetition.COVERAGE_PERCENT})
+    grams = ", ".join(
+        "CASE WHEN lead(word, {1}) OVER text IS NOT NULL THEN concat_ws(' ', {0}) END AS gram_{2}".format(
+            ", ".join(f"lead(word, {k}) OVER text" for k in range(n)), n - 1, n
+        )
+        for n in lengths
+    )
+    twice = ", ".join(f"gram_{n} IS NOT NULL AND count(*) OVER (PARTITION BY doc_id, gram_{n}) > 1 AS twice_{n}" for n in lengths)
+    covered = ", ".join(
+        f"bool_or(twice_{n}) OVER (PARTITION BY doc_id ORDER BY place ROWS BETWEEN {n - 1} PRECEDING AND CURRENT ROW) AS in_{n}"
+        for n in lengths
+    )
+    chars = ", ".join(f"coalesce(sum(length(word)) FILTER (in_{n}), 0)::BIGINT AS dup_chars_{n}" for n in repetition.COVERAGE_PERCENT)
+    names = ", ".join(f"coalesce(dup_chars_{n}, 0) AS dup_chars_{n}" for n in repetition.COVERAGE_PERCENT)
+    passed = " AND ".join(f"100 * dup_chars_{n} <= {percent} * word_chars" for n, percent in repetition.COVERAGE_PERCENT.items())
+    failed = f"(n_words < {repetition.LEAST_WORDS} OR 100 * n_repeat_words > {repetition.REPEAT_PERCENT} * n_words)"
+    return f"""
+WITH {WORDS},
+grams AS (SELECT *, {grams} FROM words WINDOW text AS (PARTITION BY doc_id ORDER BY place)),
+marked AS (SELECT *, {twice} FROM grams),
+covered AS (SELECT *, {covered} FROM marked),
+counted AS (
+    SELECT doc_id, count(*) AS n_words, sum(length(word))::BIGINT AS word_chars,
+        count(*) FILTER (in_{repetition.BASE_WINDOW}) AS n_repeat_words, {chars}
+    FROM covered GROUP BY doc_id
+),
+pieces AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents),
+lines AS (SELECT doc_id, unnest(parts) AS line, unnest(range(len(parts))) AS place FROM pieces),
+repeats AS (
+    SELECT doc_id, length(array_to_string(regexp_extract_all(line, '{WORD}'), '')) AS chars,
+        row_number() OVER (PARTITION BY doc_id, line ORDER BY place) > 1 AS again
+    FROM lines WHERE regexp_matches(line, '{WORD}')
+),
+by_line AS (
+    SELECT doc_id, count(*) FILTER (again) AS n_dup_lines, coalesce(sum(chars) FILTER (again), 0)::BIGINT AS dup_line_chars
+    FROM repeats GROUP BY doc_id
+),
+measures AS (
+    SELECT d.doc_id, coalesce(n_words, 0) AS n_words, coalesce(word_chars, 0) AS word_chars,
+        length(regexp_replace(coalesce(text, ''), '[^#*$%&|<>]', '', 'g')) AS n_symbols,
+        coalesce(n_dup_lines, 0) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words, {names},
+        coalesce(dup_line_chars, 0) AS dup_line_chars
+    FROM documents d LEFT JOIN counted USING (doc_id) LEFT JOIN by_line USING (doc_id)
+)
+SELECT *, {failed} AS base_failed,
+    NOT {failed} AND {passed} AND 100 * dup_line_chars <= {repetition.LINE_PERCENT} * word_chars AS kept
+FROM measures"""
+
+
+def _byte_dedup() -> str:
+    length = byte_dedup.LENGTH
+    return f"""
+WITH texts AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS digits FROM documents),
+bytes AS (
+    SELECT doc_id, place, substr(digits, 2 * place + 1, 2) AS digit,
+        CASE WHEN 2 * (place + {length}) <= length(digits) THEN md5_number(substr(digits, 2 * place + 1, {2 * length})) END AS string
+    FROM (SELECT *, unnest(range(length(digits) // 2)) AS place FROM texts)
+),
+repeats AS (
+    SELECT *, string IS NOT NULL AND row_number() OVER (PARTITION BY string ORDER BY doc_id, place) > 1 AS again FROM bytes
+),
+covered AS (
+    SELECT *, bool_or(again) OVER (PARTITION BY doc_id ORDER BY place ROWS BETWEEN {length - 1} PRECEDING AND CURRENT ROW) AS gone
+    FROM repeats
+),
+edges AS (SELECT *, gone AND NOT coalesce(lag(gone) OVER (PARTITION BY doc_id ORDER BY place), false) AS opens FROM covered),
+sums AS (
+    SELECT doc_id, count(*) AS n_bytes, count(*) FILTER (gone) AS n_removed, count(*) FILTER (opens) AS n_spans,
+        sha256(unhex(coalesce(string_agg(digit, '' ORDER BY place) FILTER (NOT gone), ''))) AS kept_sha256
+    FROM edges GROUP BY doc_id
+)
+SELECT doc_id, coalesce(n_bytes, 0) AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+    coalesce(kept_sha256, sha256('')) AS kept_sha256
+FROM documents LEFT JOIN sums USING (doc_id)"""
+
+
+def _word_dedup() -> str:
+    length = word_dedup.LENGTH
+    return f"""
+WITH {WORDS},
+windows AS (
+    SELECT doc_id, place, array_to_string(list[place + 1 : place + {length}], ' ') AS window_words
+    FROM (SELECT *, unnest(range(len(list) - {length - 1})) AS place FROM lists)
+),
+repeats AS (
+    SELECT doc_id, place, min(doc_id) OVER (PARTITION BY window_words) < doc_id AS again FROM windows
+),
+marked AS (SELECT words.*, coalesce(again, false) AS again FROM words LEFT JOIN repeats USING (doc_id, place)),
+covered AS (
+    SELECT *, bool_or(again) OVER (PARTITION BY doc_id ORDER BY place ROWS BETWEEN {length - 1} PRECEDING AND CURRENT ROW) AS gone
+    FROM marked
+),
+sums AS (
+    SELECT doc_id, count(*) AS n_words, count(*) FILTER (gone) AS n_removed,
+        sha256(coalesce(string_agg(word, ' ' ORDER BY place) FILTER (NOT gone), '')) AS kept_sha256
+    FROM covered GROUP BY doc_id
+)
+SELECT doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_removed, 0) AS n_removed, coalesce(kept_sha256, sha256('')) AS kept_sha256
+FROM documents LEFT JOIN sums USING (doc_id)"""
+
+
+def _warc_revisits() -> str:
+    # each hexadecimal digit is four bits, each five bits are one base-32 digit
+    return """
+WITH pages_of AS (SELECT page_id, coalesce(html, '') AS payload FROM pages),
+digests AS (SELECT *, sha1(payload) AS digest, max(page_id) OVER (PARTITION BY payload) AS original FROM pages_of),
+bits AS (
+    SELECT *, list_aggregate(list_transform(range(1, 41), lambda k: right(bin(strpos('0123456789abcdef', substr(digest, k, 1)) + 15), 4)), 'string_agg', '') AS bits
+    FROM digests
+)
+SELECT page_id, octet_length(encode(payload)) AS payload_bytes,
+    list_aggregate(list_transform(range(0, 32), lambda k: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+        1 + 16 * substr(bits, 5 * k + 1, 1)::INT + 8 * substr(bits, 5 * k + 2, 1)::INT + 4 * substr(bits, 5 * k + 3, 1)::INT
+        + 2 * substr(bits, 5 * k + 4, 1)::INT + substr(bits, 5 * k + 5, 1)::INT, 1)), 'string_agg', '') AS payload_digest,
+    CASE WHEN page_id = original THEN 'response' ELSE 'revisit' END AS record_type,
+    CASE WHEN page_id <> original THEN original END AS refers_to
+FROM bits"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "op2_backoff_lm": _backoff_lm(),
+        "op3_suffix_array_dedup": _byte_dedup(),
+        "op4_repetition_rules": _repetition_rules(),
+        "op5_suffix_tree_dedup": _word_dedup(),
+        "op8_warc_revisits": _warc_revisits(),
+    }

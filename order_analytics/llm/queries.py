@@ -36,7 +36,8 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_backoff_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return backoff_lm.score(_table(spark, sf_dir, "documents"))
+    scored = backoff_lm.score(_table(spark, sf_dir, "documents"))
+    return scored.withColumns({name: F.round(name, 4) for name in ("log_score", "mean_log")})
 
 
 def op3_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -44,7 +44,7 @@ from order_analytics.operators import staging
 
 SEED = 42
 #: Bits within which words' fingerprints are candidates, and nearest candidates kept under one key.
-NEAR, PARTNERS = 8, 16
+NEAR, PARTNERS = 10, 16
 DISTANCE = 2
 CROWDED = 2_000
 
