@@ -1,14 +1,14 @@
 """Reuse of intermediate results.
 
 A staged result is written to the shared folder and read back, so it cuts the lineage and survives the
-loss of executors. Where the session names no shared folder the result is persisted instead.
+loss of executors.
 """
 
 from __future__ import annotations
 
+import gc
 import uuid
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 from order_analytics import session
@@ -33,22 +33,25 @@ def drop_table(spark: SparkSession, path: str) -> None:
     location.getFileSystem(spark._jsc.hadoopConfiguration()).delete(location, True)
 
 
+def forget_shuffles(spark: SparkSession) -> None:
+    """Let Spark drop the shuffle files of plans whose results are written.
+
+    It does so when the plans are collected as garbage, which a driver with memory to spare may put off.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 class Stage:
     """Keeps the staged results of one dataset, to be released together."""
 
     def __init__(self, spark: SparkSession):
         self._spark = spark
-        self._use_tables = session.shared_folder(spark) is not None
-        self._persisted: list[DataFrame] = []
         self._paths: list[str] = []
 
     def keep(self, df: DataFrame, label: str) -> DataFrame:
-        if self._use_tables:
-            staged, path = write_table(df, label)
-            self._paths.append(path)
-            return staged
-        staged = df.persist(StorageLevel.MEMORY_AND_DISK)
-        self._persisted.append(staged)
+        staged, path = write_table(df, label)
+        self._paths.append(path)
         return staged
 
     def track(self, path: str) -> None:
@@ -56,8 +59,6 @@ class Stage:
         self._paths.append(path)
 
     def release(self) -> None:
-        for df in self._persisted:
-            df.unpersist()
         for path in self._paths:
             drop_table(self._spark, path)
-        self._persisted, self._paths = [], []
+        self._paths = []

@@ -63,19 +63,26 @@ def sync(
     """
     current = snapshots.current_version(spark, path)
     version, rows = snapshots.write_candidate(source, path)
-    candidate = snapshots.read_version(spark, path, version, spec.schema)
-    summary = dict.fromkeys((f"{action}_ROWS" for action in ACTIONS), 0)
-    summary |= {"INSERT_ROWS": rows, "TARGET_ROWS": 0, "FINAL_ROWS": rows}
-    keys = quality.key_summary(candidate, spec.key).first()
-    quality.require_none({f"DUPLICATE_KEY_{spec.name.upper()}": keys["DUPLICATE_KEYS"]}, spec.name)
-    if current is not None:
-        target = snapshots.read_version(spark, path, current, spec.schema)
-        changes = snapshot_changes(target, candidate, spec.key, compare)
-        summary = change_summary(changes).first().asDict()
-    quality.assert_row_count(keys["ROWS"], summary["FINAL_ROWS"], spec.name)
-    quality.assert_row_count(keys["ROWS"], rows, spec.name)
+    with snapshots.candidate(spark, path, version):
+        candidate = snapshots.read_version(spark, path, version, spec.schema)
+        summary = dict.fromkeys((f"{action}_ROWS" for action in ACTIONS), 0)
+        summary |= {"INSERT_ROWS": rows, "TARGET_ROWS": 0, "FINAL_ROWS": rows}
+        keys = key_check(candidate, spec)
+        if current is not None:
+            target = snapshots.read_version(spark, path, current, spec.schema)
+            changes = snapshot_changes(target, candidate, spec.key, compare)
+            summary = change_summary(changes).first().asDict()
+        quality.assert_row_count(keys["ROWS"], summary["FINAL_ROWS"], spec.name)
+        quality.assert_row_count(keys["ROWS"], rows, spec.name)
     if current is not None and summary["UNCHANGED_ROWS"] == summary["TARGET_ROWS"] == summary["FINAL_ROWS"]:
         snapshots.discard(spark, path, version)
         return summary | {"VERSION": current}
     snapshots.publish(spark, path, version)
     return summary | {"VERSION": version}
+
+
+def key_check(candidate: DataFrame, spec: TableSpec) -> dict[str, int]:
+    """Rows and conflicting keys of a merged table; raises on a conflict."""
+    keys = quality.key_summary(candidate, spec.key).first().asDict()
+    quality.require_none({f"DUPLICATE_KEY_{spec.name.upper()}": keys["DUPLICATE_KEYS"]}, spec.name)
+    return keys

@@ -390,9 +390,9 @@ QUERIES = {
     "gate_invalid_loyalty": """SELECT IS_LOYALTY, count(*) AS VIOLATIONS FROM flawed
   WHERE upper(trim(IS_LOYALTY)) NOT IN ('TRUE', 'FALSE') GROUP BY 1""",
     "gate_order_consistency": """SELECT 'ORDER_WITH_SEVERAL_USERS' AS RULE, count(*) FILTER (U > 1) AS VIOLATIONS FROM (
-    SELECT count(DISTINCT USER_ID) AS U FROM flawed WHERE ORDER_ID IS NOT NULL GROUP BY ORDER_ID, RESTAURANT_ID)
+    SELECT count(DISTINCT USER_ID) AS U FROM flawed GROUP BY ORDER_ID, RESTAURANT_ID)
   UNION ALL SELECT 'ORDER_WITH_SEVERAL_LOYALTY', count(*) FILTER (F > 1) FROM (
-    SELECT count(DISTINCT LOYALTY_FLAG) AS F FROM flawed WHERE ORDER_ID IS NOT NULL GROUP BY ORDER_ID, RESTAURANT_ID)""",
+    SELECT count(DISTINCT LOYALTY_FLAG) AS F FROM flawed GROUP BY ORDER_ID, RESTAURANT_ID)""",
     "coerced_types": """SELECT ORDER_ID, LINEITEM_ID, ITEM_NAME, CAST(ITEM_QUANTITY AS DOUBLE) AS ITEM_QUANTITY,
   CREATION_TIME_UTC FROM flawed""",
 }

@@ -67,6 +67,8 @@ def order_category_fact(lines: DataFrame) -> DataFrame:
     whole_order = {
         "ORDER_USER": F.min("USER_ID").over(order),
         "ORDER_LOYALTY": F.min("LOYALTY_FLAG").over(order),
+        "USER_DIFFERS": F.min("USER_ID").over(order) != F.max("USER_ID").over(order),
+        "LOYALTY_DIFFERS": F.min("LOYALTY_FLAG").over(order) != F.max("LOYALTY_FLAG").over(order),
         "ORDER_TIMESTAMP": F.min("FIRST_TIME").over(order),
         "ORDER_REVENUE": F.sum("REVENUE").over(order).cast(MONEY),
         "HAS_DISCOUNT": F.max("HAS_ZERO_PRICE_OPTION").over(order),

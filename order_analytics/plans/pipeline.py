@@ -18,6 +18,9 @@ from order_analytics.sources import mart_store, snapshots
 # The load types a batch may have.
 LOAD_TYPES = ("FULL_INITIAL", "FULL_DAILY")
 
+#: Published versions of each table and of the marts that stay after a run.
+KEPT_VERSIONS = 2
+
 SUMMARY_SCHEMA = StructType(
     [StructField("STEP", StringType()), StructField("TABLE", StringType()), StructField("METRIC", StringType()),
      StructField("VALUE", LongType())]
@@ -33,6 +36,9 @@ class RunSummary:
     def add(self, step: str, table: str, **metrics: int) -> None:
         self._rows += [(step, table, metric, value) for metric, value in metrics.items()]
 
+    def value(self, step: str, table: str, metric: str) -> int:
+        return next(value for *name, value in self._rows if name == [step, table, metric])
+
     def frame(self, spark: SparkSession) -> DataFrame:
         return spark.createDataFrame(self._rows, SUMMARY_SCHEMA)
 
@@ -48,9 +54,11 @@ def snapshot_tables(
         path = f"{root}/{name}"
         stamped = snapshots.add_lineage(source, batch_time, name, load_type)
         version, rows = snapshots.write_candidate(stamped, path)
-        stored = snapshots.read_version(source.sparkSession, path, version).count()
-        quality.assert_row_count(stored, rows, name)
+        with snapshots.candidate(source.sparkSession, path, version):
+            stored = snapshots.read_version(source.sparkSession, path, version).count()
+            quality.assert_row_count(stored, rows, name)
         snapshots.publish(source.sparkSession, path, version)
+        snapshots.retire(source.sparkSession, path, KEPT_VERSIONS)
         summary.add("ingest", name, ROWS=rows)
 
 
@@ -66,23 +74,26 @@ def conform_table(raw: DataFrame, spec: TableSpec, summary: RunSummary) -> DataF
 
 
 def conform_tables(spark: SparkSession, raw_root: str, typed_root: str, summary: RunSummary) -> None:
-    """Gate every raw snapshot and sync it into its typed snapshot."""
+    """Gate every raw snapshot and sync it into its typed snapshot; lineage alone makes no row an update."""
     session.use_utc(spark)
+    session.size_shuffles(spark, session.folder_bytes(spark, raw_root))
     for name, spec in TABLES.items():
         typed = conform_table(snapshots.read_current(spark, f"{raw_root}/{name}"), spec, summary)
-        summary.add("sync", name, **sync.sync(spark, f"{typed_root}/{name}", typed, spec))
+        path = f"{typed_root}/{name}"
+        synced = sync.sync(spark, path, typed, spec, compare=spec.business_columns)
+        removed = summary.value("conform", name, "ROWS") - synced["FINAL_ROWS"]
+        summary.add("sync", name, EXACT_DUPLICATES=removed, **synced)
+        snapshots.retire(spark, path, KEPT_VERSIONS)
 
 
 def gate_mart_inputs(items: DataFrame, options: DataFrame) -> dict[str, int]:
-    """What the facts rely on: unique option join keys, complete prices, known loyalty words, one user
-    and one loyalty value per order."""
+    """What the facts rely on: unique option join keys, complete prices, known loyalty words."""
     item_rules = quality.item_revenue_rules() | quality.loyalty_rules()
     keys = quality.count_duplicate_keys(items, facts.LINE_KEY, "UNSAFE_OPTION_JOIN_KEY")
     checks = [
         (keys, "order_items"),
         (quality.run_checks(items, item_rules), "order_items"),
         (quality.run_checks(options, quality.option_revenue_rules()), "order_item_options"),
-        (quality.order_consistency_checks(facts.with_loyalty_flag(items)), "orders"),
     ]
     found: dict[str, int] = {}
     for check, table in checks:
@@ -97,20 +108,33 @@ def build_marts(spark: SparkSession, typed_root: str, mart_root: str, summary: R
     items, options = items.select(ORDER_ITEMS.business_columns), options.select(ORDER_ITEM_OPTIONS.business_columns)
     summary.add("gate", "mart inputs", **gate_mart_inputs(items, options))
     dataset = OrderDataset(items, options)
-    summary.add("profile", "orders", **quality.user_id_diagnostics(dataset.orders).first().asDict())
-    summary.add("profile", "order_item_options", ORPHANS=facts.orphan_options(items, options).count())
+    try:
+        consistency = quality.order_consistency_checks(dataset.order_categories)
+        summary.add("gate", "orders", **quality.enforce(consistency, "orders"))
+        summary.add("profile", "orders", **quality.user_id_diagnostics(dataset.orders).first().asDict())
+        summary.add("profile", "order_item_options", ORPHANS=facts.orphan_options(items, options).count())
+        version = snapshots.next_version(spark, mart_root)
+        with snapshots.candidate(spark, mart_root, version):
+            write_marts(dataset, mart_root, version, summary)
+        snapshots.publish(spark, mart_root, version)
+        snapshots.retire(spark, mart_root, KEPT_VERSIONS)
+    finally:
+        dataset.release()
+
+
+def write_marts(dataset: OrderDataset, mart_root: str, version: int, summary: RunSummary) -> None:
+    """Write all marts as an unpublished version and gate what was written."""
     gated = {"customer_rfm": quality.rfm_rules(), "restaurant_performance": quality.span_rules()}
     generated_at = datetime.now(UTC)
     for name in mart_store.MARTS:
         mart = getattr(dataset, name)
-        rows = mart_store.write_mart(mart, mart_root, name, dataset.analysis_date, generated_at)
+        rows = mart_store.write_mart(mart, mart_root, version, name, dataset.analysis_date, generated_at)
         summary.add("mart", name, ROWS=rows)
         if name in gated:
-            written = mart_store.read_mart(spark, mart_root, name)
+            written = mart_store.read_mart(dataset.spark, mart_root, name, version)
             summary.add("gate", name, **quality.enforce(quality.run_checks(written, gated[name]), name))
-    segments = quality.rfm_segment_counts(mart_store.read_mart(spark, mart_root, "customer_rfm"))
+    segments = quality.rfm_segment_counts(mart_store.read_mart(dataset.spark, mart_root, "customer_rfm", version))
     summary.add("profile", "customer_rfm", **{row["RFM_SEGMENT"]: row["USER_COUNT"] for row in segments.collect()})
-    dataset.release()
 
 
 def run(spark: SparkSession, sources: Mapping[str, DataFrame], root: str, load_type: str = "FULL_DAILY") -> DataFrame:

@@ -18,17 +18,13 @@ from order_analytics.sources import fixtures
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-MOST_OPEN = 4
 _open: dict[tuple, OrderDataset] = {}
 
 
 def dataset(spark: SparkSession, sf_dir: str) -> OrderDataset:
-    """The dataset of one folder, shared by the queries of a session. The oldest of many is released."""
+    """The dataset of one folder, shared by the queries of a session until ``close_all``."""
     name = (spark.sparkContext.applicationId, id(spark), sf_dir)
     if name not in _open:
-        running = [opened for opened in _open if opened[0] == name[0]]
-        for oldest in running[: max(0, len(running) - MOST_OPEN + 1)]:
-            _open.pop(oldest).release()
         session.use_utc(spark)
         _open[name] = OrderDataset(
             fixtures.order_items(spark, sf_dir), fixtures.order_item_options(spark, sf_dir)
@@ -183,8 +179,8 @@ def gate_invalid_loyalty(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def gate_order_consistency(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = facts.with_loyalty_flag(_flawed_cast(spark, sf_dir)).filter(F.col("ORDER_ID").isNotNull())
-    return quality.order_consistency_checks(lines)
+    lines = facts.line_fact(_flawed_cast(spark, sf_dir), fixtures.order_item_options(spark, sf_dir))
+    return quality.order_consistency_checks(facts.order_category_fact(lines))
 
 
 def conflicting_records(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -22,6 +22,23 @@ def shuffle_partitions(input_bytes: int, cores: int) -> int:
     return max(cores, -(-input_bytes // TARGET_PARTITION_BYTES))
 
 
+def folder_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes of all files under a folder of any file system."""
+    location = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return location.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(location).getLength()
+
+
+def size_shuffles(spark: SparkSession, stored_bytes: int) -> int:
+    """Raise the session's shuffle partitions to what input of this many Parquet bytes needs.
+
+    Rows take about four times their size in Parquet. A larger number that the session has already stays.
+    """
+    needed = shuffle_partitions(4 * stored_bytes, spark.sparkContext.defaultParallelism)
+    chosen = max(needed, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    spark.conf.set("spark.sql.shuffle.partitions", str(chosen))
+    return chosen
+
+
 def build_session(app_name: str = "order-analytics", master: str | None = None, **settings) -> SparkSession:
     """A UTC session with adaptive execution; keyword settings override (dots as ``__``)."""
     builder = SparkSession.builder.appName(app_name)
@@ -39,11 +56,6 @@ def use_utc(spark: SparkSession) -> None:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
-def shared_folder(spark: SparkSession) -> str | None:
-    """The folder named in ``spark.checkpoint.dir``, or None when the session names none."""
-    return spark.conf.get("spark.checkpoint.dir", None) or None
-
-
 @functools.cache
 def _local_folder(application_id: str) -> str:
     return tempfile.mkdtemp(prefix="order-analytics-")
@@ -51,8 +63,8 @@ def _local_folder(application_id: str) -> str:
 
 def staging_folder(spark: SparkSession) -> str:
     """The shared folder; a fresh local one only where no cluster is involved."""
-    folder = shared_folder(spark)
-    if folder is not None:
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder:
         return folder
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("Set spark.checkpoint.dir to a folder that all executors share.")

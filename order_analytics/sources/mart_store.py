@@ -1,13 +1,17 @@
-"""Mart tables as Parquet folders."""
+"""Mart tables as Parquet folders.
+
+All marts of a run are written under one version and become current together, once the version is published.
+"""
 
 from __future__ import annotations
 
 from datetime import date, datetime
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from order_analytics.sources import snapshots
+
 # The mart names.
 MARTS = (
     "customer_clv",
@@ -31,18 +35,20 @@ def add_mart_metadata(df: DataFrame, analysis_date: date, generated_at: datetime
     )
 
 
-def write_mart(df: DataFrame, root: str, name: str, analysis_date: date, generated_at: datetime) -> int:
-    """Overwrite one mart; the row count comes from the same pass."""
+def write_mart(df: DataFrame, root: str, version: int, name: str, analysis_date: date, generated_at: datetime) -> int:
+    """Write one mart of a version; the row count comes from the same pass."""
     written = Observation()
     stamped = add_mart_metadata(df, analysis_date, generated_at)
-    stamped.observe(written, F.count(F.lit(1)).alias("ROWS")).write.mode("overwrite").parquet(f"{root}/{name}")
+    target = f"{snapshots.version_path(root, version)}/{name}"
+    stamped.observe(written, F.count(F.lit(1)).alias("ROWS")).write.parquet(target)
     return written.get["ROWS"]
 
 
-def read_mart(spark: SparkSession, root: str, name: str) -> DataFrame:
+def read_mart(spark: SparkSession, root: str, name: str, version: int | None = None) -> DataFrame:
+    """A mart of the current version, or of the one given."""
     if name not in MARTS:
         raise ValueError(f"Unknown mart: {name}")
-    try:
-        return spark.read.parquet(f"{root}/{name}")
-    except AnalysisException as error:
-        raise FileNotFoundError(f"No Parquet files at {root}/{name}") from error
+    version = version if version is not None else snapshots.current_version(spark, root)
+    if version is None or not snapshots.exists(spark, f"{snapshots.version_path(root, version)}/{name}"):
+        raise FileNotFoundError(f"No mart {name} at {root}")
+    return spark.read.parquet(f"{snapshots.version_path(root, version)}/{name}")

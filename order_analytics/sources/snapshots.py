@@ -7,6 +7,8 @@ half written or failed its checks, and no version is ever overwritten.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
 from datetime import datetime
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -22,6 +24,11 @@ def _file_system(spark: SparkSession, path: str):
     return location.getFileSystem(spark._jsc.hadoopConfiguration()), location
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    files, location = _file_system(spark, path)
+    return files.exists(location)
+
+
 def _versions(spark: SparkSession, path: str, published_only: bool) -> list[int]:
     files, location = _file_system(spark, path)
     if not files.exists(location):
@@ -45,7 +52,7 @@ def version_path(path: str, version: int) -> str:
 
 def write_candidate(df: DataFrame, path: str) -> tuple[int, int]:
     """Write the next version, unpublished; return its number and the rows counted during the write."""
-    version = max(_versions(df.sparkSession, path, published_only=False), default=0) + 1
+    version = next_version(df.sparkSession, path)
     written = Observation()
     df.observe(written, F.count(F.lit(1)).alias("ROWS")).write.parquet(version_path(path, version))
     return version, written.get["ROWS"]
@@ -62,6 +69,32 @@ def discard(spark: SparkSession, path: str, version: int) -> None:
     files.delete(location, True)
 
 
+def retire(spark: SparkSession, path: str, keep: int) -> list[int]:
+    """Remove all but the ``keep`` newest published versions, and candidates older than the current one."""
+    published = sorted(_versions(spark, path, published_only=True))
+    if keep < 1 or not published:
+        return []
+    kept = set(published[-keep:])
+    gone = [v for v in _versions(spark, path, published_only=False) if v not in kept and v < published[-1]]
+    for version in gone:
+        discard(spark, path, version)
+    return gone
+
+
+@contextmanager
+def candidate(spark: SparkSession, path: str, version: int) -> Iterator[None]:
+    """Discard the candidate when its checks, or anything else until it is published, raise."""
+    try:
+        yield
+    except BaseException:
+        discard(spark, path, version)
+        raise
+
+
+def next_version(spark: SparkSession, path: str) -> int:
+    return max(_versions(spark, path, published_only=False), default=0) + 1
+
+
 def read_version(spark: SparkSession, path: str, version: int, schema: StructType | None = None) -> DataFrame:
     reader = spark.read.schema(schema) if schema else spark.read
     return reader.parquet(version_path(path, version))

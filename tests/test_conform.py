@@ -155,7 +155,9 @@ def test_revenue_and_join_key_gates(frame):
 
 def test_consistency_gate_compares_raw_users_and_ignores_null(frame):
     def found(*items):
-        return violations(quality.order_consistency_checks(facts.with_loyalty_flag(frame(list(items), ITEM_SCHEMA))))
+        return violations(quality.order_consistency_checks(
+            facts.order_category_fact(facts.line_fact(frame(list(items), ITEM_SCHEMA), frame([], OPTION_SCHEMA)))
+        ))
 
     clean = found(item(), item(line="L2", user=None, loyalty="TRUE"), item(line="L3", loyalty=" true"))
     assert set(clean.values()) == {0}

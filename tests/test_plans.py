@@ -7,10 +7,9 @@ import re
 import pytest
 from conftest import SMALL
 
-import __spark_entry__ as contract
 from order_analytics import registry
 
-QUERIES = contract.queries()
+QUERIES = registry.queries()
 # One row per listed segment reaches the unpartitioned window of this report.
 BOUNDED_WINDOWS = {"clv_segment_distribution"}
 

@@ -9,6 +9,7 @@ from builders import OPTION_SCHEMA, option
 from conftest import SMALL
 from pyspark.sql import functions as F
 
+from order_analytics import session
 from order_analytics.operators import quality, sync
 from order_analytics.plans import pipeline
 from order_analytics.schemas import ORDER_ITEM_OPTIONS
@@ -66,7 +67,7 @@ def test_conflicting_source_is_not_published(spark, options, tmp_path):
     with pytest.raises(quality.QualityError, match="DUPLICATE_KEY"):
         sync.sync(spark, path, options(option(price=1), option(price=2)), SPEC)
     assert snapshots.current_version(spark, path) == 1
-    assert sync.sync(spark, path, options(option(price=3)), SPEC)["VERSION"] == 3
+    assert sync.sync(spark, path, options(option(price=3)), SPEC)["VERSION"] == 2
 
 
 def test_null_keys_do_not_match(frame):
@@ -87,10 +88,13 @@ def test_missing_snapshot(spark, tmp_path):
 
 
 def test_mart_store(frame, spark, tmp_path):
-    df = frame([(1,), (2,)], "N int")
-    for _ in range(2):
-        assert mart_store.write_mart(df, str(tmp_path), "customer_clv", date(2024, 8, 31), NOW) == 2
-    stored = mart_store.read_mart(spark, str(tmp_path), "customer_clv")
+    df, root = frame([(1,), (2,)], "N int"), str(tmp_path)
+    assert mart_store.write_mart(df, root, 1, "customer_clv", date(2024, 8, 31), NOW) == 2
+    with pytest.raises(FileNotFoundError):
+        mart_store.read_mart(spark, root, "customer_clv")
+    snapshots.publish(spark, root, 1)
+    mart_store.write_mart(df.limit(1), root, 2, "customer_clv", date(2024, 9, 1), NOW)
+    stored = mart_store.read_mart(spark, root, "customer_clv")
     assert stored.columns == ["N", "_GENERATED_AT", "_ANALYSIS_DATE"]
     assert {row["_ANALYSIS_DATE"] for row in stored.collect()} == {date(2024, 8, 31)}
     with pytest.raises(ValueError):
@@ -109,14 +113,8 @@ def test_jdbc_bounds_query():
 
 
 def test_pipeline_writes_marts_that_reconcile(spark, tmp_path):
-    lineage = ["_ingested_at", "_source table", "_Load-Type"]
-    sources = {
-        "date_dim": fixtures.raw_date_dim(spark, SMALL).drop(*lineage),
-        "order_item_options": fixtures.raw_options(spark, SMALL).drop(*lineage),
-        "order_items": fixtures.raw_order_items(spark, SMALL).drop(*lineage),
-    }
     root = str(tmp_path)
-    summary = pipeline.run(spark, sources, root, "FULL_INITIAL")
+    summary = pipeline.run(spark, raw_sources(spark), root, "FULL_INITIAL")
     values = {(row["STEP"], row["TABLE"], row["METRIC"]): row["VALUE"] for row in summary.collect()}
     assert values["sync", "order_items", "INSERT_ROWS"] == 6000
     assert values["mart", "customer_rfm", "ROWS"] == values["profile", "orders", "CUSTOMERS"] == 144
@@ -130,6 +128,52 @@ def test_pipeline_writes_marts_that_reconcile(spark, tmp_path):
     assert len(totals) == 1
 
 
+def raw_sources(spark):
+    lineage = ["_ingested_at", "_source table", "_Load-Type"]
+    made = {"date_dim": fixtures.raw_date_dim, "order_item_options": fixtures.raw_options, "order_items": fixtures.raw_order_items}
+    return {name: build(spark, SMALL).drop(*lineage) for name, build in made.items()}
+
+
+def test_equal_second_run_changes_nothing_and_a_failed_gate_keeps_the_marts(spark, tmp_path, monkeypatch):
+    root = str(tmp_path)
+    pipeline.run(spark, raw_sources(spark), root)
+    again = pipeline.run(spark, raw_sources(spark), root)
+    values = {(row["STEP"], row["TABLE"], row["METRIC"]): row["VALUE"] for row in again.collect()}
+    for name in pipeline.TABLES:
+        assert values["sync", name, "UNCHANGED_ROWS"] == values["sync", name, "FINAL_ROWS"] > 0
+        assert values["sync", name, "VERSION"] == 1 == snapshots.current_version(spark, f"{root}/typed/{name}")
+        assert values["sync", name, "EXACT_DUPLICATES"] == 0
+    assert snapshots.current_version(spark, f"{root}/marts") == 2
+
+    monkeypatch.setattr(quality, "span_rules", lambda: {"ALWAYS": F.lit(True)})
+    with pytest.raises(quality.QualityError, match="ALWAYS"):
+        pipeline.build_marts(spark, f"{root}/typed", f"{root}/marts", pipeline.RunSummary())
+    assert snapshots.current_version(spark, f"{root}/marts") == 2
+    assert not snapshots.exists(spark, snapshots.version_path(f"{root}/marts", 3))
+    assert mart_store.read_mart(spark, f"{root}/marts", "customer_rfm").count() == 144
+
+
+def test_old_versions_are_retired(spark, options, tmp_path):
+    path = str(tmp_path / "t")
+    for price in range(4):
+        sync.sync(spark, path, options(option(price=price)), SPEC)
+    snapshots.write_candidate(options(option(price=9)), path)
+    assert sorted(snapshots.retire(spark, path, keep=2)) == [1, 2]
+    assert snapshots.current_version(spark, path) == 4
+    assert not snapshots.exists(spark, snapshots.version_path(path, 1))
+    assert snapshots.exists(spark, snapshots.version_path(path, 5))
+
+
+def test_shuffle_partitions_follow_the_input(spark):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        assert session.size_shuffles(spark, 1000) == max(8, int(before))
+        assert session.size_shuffles(spark, 10**14) == -(-4 * 10**14 // session.TARGET_PARTITION_BYTES)
+        assert session.size_shuffles(spark, 1000) == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 def test_pipeline_stops_at_a_broken_gate(spark, tmp_path):
     raw = fixtures.flawed_order_items(spark, SMALL).drop("_ingested_at", "_source table", "_Load-Type")
     summary = pipeline.RunSummary()
