@@ -36,10 +36,12 @@ def drop_table(spark: SparkSession, path: str) -> None:
 def forget_shuffles(spark: SparkSession) -> None:
     """Let Spark drop the shuffle files of plans whose results are written.
 
-    It does so when the plans are collected as garbage, which a driver with memory to spare may put off.
+    It does so when the plans are collected as garbage, which a driver with memory to spare may put off. The
+    first round lets go of the plans, the second of their shuffles.
     """
     gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    for _ in range(2):
+        spark.sparkContext._jvm.System.gc()
 
 
 class Stage:
