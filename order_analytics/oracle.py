@@ -213,6 +213,16 @@ SELECT CASE WHEN l_quantity = 49 THEN NULL ELSE ORDER_ID END AS ORDER_ID, RESTAU
   CASE WHEN l_discount = 0.1 THEN NULL ELSE l_extendedprice END AS ITEM_PRICE, ITEM_NAME,
   CASE WHEN l_quantity = 50 THEN NULL ELSE CAST(l_quantity AS INT) END AS ITEM_QUANTITY
 FROM items""",
+    "flawed_options": """
+SELECT CASE WHEN OPTION_PRICE <> 7 THEN ORDER_ID END AS ORDER_ID, split_part(LINEITEM_ID, '-', 1) AS LINEITEM_ID,
+  OPTION_GROUP_NAME, OPTION_NAME, CASE WHEN OPTION_PRICE <> 5 THEN OPTION_PRICE END AS OPTION_PRICE,
+  CASE WHEN OPTION_QUANTITY <> 3 THEN OPTION_QUANTITY END AS OPTION_QUANTITY FROM options""",
+    "option_conflicts": """
+SELECT ORDER_ID, LINEITEM_ID, OPTION_GROUP_NAME, OPTION_NAME FROM (SELECT DISTINCT * FROM flawed_options)
+GROUP BY ALL HAVING count(*) > 1""",
+    "flawed_days": """
+SELECT CASE WHEN NOT (month(DATE_KEY) = 3 AND dayname(DATE_KEY) = 'Sunday') THEN DATE_KEY END AS DATE_KEY,
+  year(DATE_KEY) AS Y, month(DATE_KEY) AS M, week(DATE_KEY) AS W FROM days""",
     "coarse": """
 SELECT DISTINCT APP_NAME, ORDER_ID, COARSE_LINE AS LINEITEM_ID, RESTAURANT_ID, CREATION_TIME_UTC, USER_ID, IS_LOYALTY,
   ITEM_CATEGORY, ITEM_NAME, PRICE_CENTS, ITEM_QUANTITY FROM items""",
@@ -233,6 +243,18 @@ SELECT CAST(unnest(generate_series(CAST(min(o_orderdate) AS DATE), CAST(max(o_or
   AS DATE_KEY FROM orders""",
 }
 
+PARTS |= {
+    "table_sizes": """
+SELECT 'date_dim' AS T, count(*) AS N FROM days UNION ALL SELECT 'order_item_options', count(*) FROM options
+UNION ALL SELECT 'order_items', count(*) FROM items""",
+    "mart_sizes": """
+SELECT 'customer_clv' AS T, count(*) AS N FROM buyers UNION ALL SELECT 'customer_rfm', count(*) FROM buyers
+UNION ALL SELECT 'churn_indicators', count(*) FROM buyers UNION ALL SELECT 'sales_trends_daily', count(*) FROM daily
+UNION ALL SELECT 'sales_trends_weekly', count(*) FROM weekly UNION ALL SELECT 'sales_trends_monthly', count(*) FROM monthly
+UNION ALL SELECT 'loyalty_program_impact', count(*) FROM loyalty UNION ALL SELECT 'restaurant_performance', count(*) FROM restaurants
+UNION ALL SELECT 'discount_effectiveness', count(*) FROM discount_sums""",
+}
+
 LIFETIME = f"""{money('LIFETIME_CENTS')} AS LIFETIME_REVENUE, LIFETIME_ORDER_COUNT, FIRST_ORDER_DATE, LAST_ORDER_DATE,
   {money('AVG_CENTS')} AS LIFETIME_AVG_ORDER_VALUE"""
 LINEAGE = "TIMESTAMP '2026-01-01 00:00:00' AS _INGESTED_AT, '{}' AS _SOURCE_TABLE, 'FULL_DAILY' AS _LOAD_TYPE"
@@ -281,10 +303,10 @@ QUERIES = {
     "restaurant_performance": "SELECT * FROM restaurants",
     "discount_effectiveness": f"""SELECT DISCOUNT_STATUS, ORDER_COUNT, {money('CENTS')} AS TOTAL_REVENUE, USER_COUNT,
   {money(half_up('CENTS', 'ORDER_COUNT'))} AS AVERAGE_ORDER_VALUE FROM discount_sums""",
-    "gate_rfm_scores": """SELECT 'ZERO_FREQUENCY_SCORE' AS RULE, count(*) FILTER (FREQUENCY_6M = 0 AND F_SCORE <> 1) AS VIOLATIONS FROM rfm
-  UNION ALL SELECT 'ZERO_MONETARY_SCORE', count(*) FILTER (MONETARY_CENTS = 0 AND M_SCORE <> 1) FROM rfm""",
-    "gate_restaurant_spans": """SELECT 'DAY_SPAN_NOT_POSITIVE' AS RULE, count(*) FILTER (ACTIVE_CALENDAR_DAYS <= 0) AS VIOLATIONS
-  FROM restaurants UNION ALL SELECT 'WEEK_SPAN_NOT_POSITIVE', count(*) FILTER (ACTIVE_CALENDAR_WEEKS <= 0) FROM restaurants""",
+    "gate_rfm_scores": """SELECT 'ZERO_FREQUENCY_SCORE' AS RULE, count(*) FILTER (FREQUENCY_6M = 0 AND F_SCORE + RECENCY_DAYS % 2 <> 1) AS VIOLATIONS FROM rfm
+  UNION ALL SELECT 'ZERO_MONETARY_SCORE', count(*) FILTER (MONETARY_CENTS = 0 AND M_SCORE + RECENCY_DAYS % 2 <> 1) FROM rfm""",
+    "gate_restaurant_spans": """SELECT 'DAY_SPAN_NOT_POSITIVE' AS RULE, count(*) FILTER (ORDER_COUNT % 2 = 1 OR ACTIVE_CALENDAR_DAYS <= 0) AS VIOLATIONS
+  FROM restaurants UNION ALL SELECT 'WEEK_SPAN_NOT_POSITIVE', count(*) FILTER (ORDER_COUNT % 2 = 1 OR ACTIVE_CALENDAR_WEEKS <= 0) FROM restaurants""",
     "user_id_diagnostics": """SELECT count(*) FILTER (USER_ID IS NULL) AS NULL_USER_ORDERS,
   count(*) FILTER (USER_ID IS NOT NULL AND trim(USER_ID) = '') AS BLANK_USER_ORDERS,
   count(*) FILTER (trim(USER_ID) <> '') AS CUSTOMER_ORDERS,
@@ -332,9 +354,9 @@ QUERIES = {
   {count_of('sum(ITEM_QUANTITY)')} AS ITEM_QUANTITY, CAST(NULL AS DECIMAL(30,2)) AS AVERAGE_ORDER_VALUE FROM weekly""",
     "revenue_over_time": f"SELECT PERIOD_START_DATE, {SUM_REVENUE} FROM monthly GROUP BY 1",
     "orders_over_time": f"""SELECT PERIOD_START_DATE, {count_of('sum(ORDER_COUNT)')} AS ORDER_COUNT FROM daily_named
-  WHERE ITEM_CATEGORY = 'ECONOMY' AND {CHOSEN_DAYS} GROUP BY 1""",
-    "category_revenue": f"SELECT ITEM_CATEGORY, {SUM_REVENUE} FROM daily_named WHERE {CHOSEN_DAYS} GROUP BY 1",
-    "trend_top_restaurants": f"""SELECT RESTAURANT_ID, {SUM_REVENUE} FROM daily WHERE {CHOSEN_DAYS} GROUP BY 1
+  WHERE ITEM_CATEGORY = 'ECONOMY' GROUP BY 1""",
+    "category_revenue": f"SELECT ITEM_CATEGORY, {SUM_REVENUE} FROM daily_named GROUP BY 1",
+    "trend_top_restaurants": f"""SELECT RESTAURANT_ID, {SUM_REVENUE} FROM daily GROUP BY 1
   ORDER BY sum(CENTS) DESC, RESTAURANT_ID LIMIT 10""",
     "loyalty_member_share": f"SELECT {MEMBER_SHARE} AS MEMBER_SHARE_PCT FROM loyalty",
     "loyalty_spend_unpivot": """SELECT LOYALTY_STATUS, 'Avg lifetime revenue / USER_ID' AS METRIC,
@@ -377,16 +399,57 @@ QUERIES = {
     "conflicting_records": """SELECT ORDER_ID, LINEITEM_ID, RESTAURANT_ID, CREATION_TIME_UTC, ITEM_NAME, ITEM_QUANTITY
   FROM coarse SEMI JOIN (SELECT * FROM coarse_conflicts ORDER BY ALL LIMIT 20)
   USING (ORDER_ID, LINEITEM_ID, RESTAURANT_ID, CREATION_TIME_UTC)""",
-    "gate_cast_failures": """SELECT 'CAST_CREATION_TIME_UTC' AS RULE, count(*) FILTER (CREATION_TIME_UTC IS NULL) AS VIOLATIONS FROM flawed
-  UNION ALL SELECT 'CAST_ITEM_PRICE', 0 UNION ALL SELECT 'CAST__INGESTED_AT', 0
-  UNION ALL SELECT 'CAST_ITEM_QUANTITY', count(*) FILTER (ITEM_QUANTITY IS NULL) FROM flawed""",
-    "gate_null_keys": """SELECT 'NULL_KEY_ORDER_ITEMS' AS RULE,
-  count(*) FILTER (ORDER_ID IS NULL OR CREATION_TIME_UTC IS NULL) AS VIOLATIONS FROM flawed""",
-    "gate_conflicting_keys": "SELECT 'DUPLICATE_KEY_ORDER_ITEMS' AS RULE, count(*) AS VIOLATIONS FROM coarse_conflicts",
+    "conflicting_options": """SELECT DISTINCT f.* FROM flawed_options f JOIN (SELECT * FROM option_conflicts
+    ORDER BY ORDER_ID NULLS FIRST, LINEITEM_ID, OPTION_GROUP_NAME, OPTION_NAME LIMIT 20) c
+  ON f.ORDER_ID = c.ORDER_ID AND f.LINEITEM_ID = c.LINEITEM_ID AND f.OPTION_GROUP_NAME = c.OPTION_GROUP_NAME
+    AND f.OPTION_NAME = c.OPTION_NAME""",
+    "schema_check": """SELECT 'order_items' AS "TABLE", 16 AS "COLUMNS", count(*) AS "ROWS" FROM items
+  UNION ALL SELECT 'order_item_options', 9, count(*) FROM options UNION ALL SELECT 'date_dim', 11, count(*) FROM days""",
+    "lineage_columns": f"""SELECT {LINEAGE.format('order_item_options')}, count(*) AS "ROWS" FROM options""",
+    "pipeline_run_summary": """SELECT * FROM (
+  SELECT STEP, T AS "TABLE", METRIC, N AS VALUE FROM table_sizes, (VALUES ('ingest', 'ROWS'), ('conform', 'ROWS'),
+    ('sync', 'INSERT_ROWS'), ('sync', 'FINAL_ROWS')) m(STEP, METRIC)
+  UNION ALL SELECT 'sync', T, 'VERSION', 1 FROM table_sizes
+  UNION ALL SELECT 'mart', T, 'ROWS', N FROM mart_sizes
+  UNION ALL SELECT 'profile', 'customer_rfm', RFM_SEGMENT, count(*) FROM rfm GROUP BY 3
+  UNION ALL SELECT 'profile', 'orders', 'NULL_USER_ORDERS', count(*) FILTER (USER_ID IS NULL) FROM order_rows
+  UNION ALL SELECT 'profile', 'orders', 'BLANK_USER_ORDERS', count(*) FILTER (trim(USER_ID) = '') FROM order_rows
+  UNION ALL SELECT 'profile', 'orders', 'CUSTOMER_ORDERS', count(*) FROM buyer_orders
+  UNION ALL SELECT 'profile', 'orders', 'CUSTOMERS', count(*) FROM buyers)
+WHERE VALUE <> 0""",
+    "mart_round_trip": f"""SELECT {RFM_COLUMNS}, TIMESTAMP '2026-01-01 00:00:00' AS _GENERATED_AT, AD AS _ANALYSIS_DATE
+  FROM rfm CROSS JOIN last_day""",
+    "snapshot_initial_sync": """SELECT CAST(RUN AS INT) AS RUN, METRIC, CASE WHEN METRIC IN (
+      CASE WHEN RUN = 1 THEN 'INSERT_ROWS' ELSE 'UNCHANGED_ROWS' END, 'FINAL_ROWS',
+      CASE WHEN RUN = 2 THEN 'TARGET_ROWS' END) THEN N WHEN METRIC = 'VERSION' THEN 1 ELSE 0 END AS VALUE
+  FROM (VALUES (1), (2)) r(RUN), (VALUES ('INSERT_ROWS'), ('UPDATE_ROWS'), ('DELETE_ROWS'), ('UNCHANGED_ROWS'),
+    ('TARGET_ROWS'), ('FINAL_ROWS'), ('VERSION')) m(METRIC), (SELECT count(*) AS N FROM options)""",
+    "post_merge_checks": """SELECT count(*) AS "ROWS", CAST(0 AS BIGINT) AS DUPLICATE_KEYS FROM newer""",
+    "trend_of_restaurants": MART_TREND + "(SELECT * REPLACE (coalesce(ITEM_CATEGORY, 'UNKNOWN') AS ITEM_CATEGORY) FROM monthly) WHERE RESTAURANT_ID IN ('R001', 'R007', 'R013')",
+    "rfm_table_of_segments": f"SELECT {RFM_COLUMNS} FROM rfm WHERE RFM_SEGMENT IN ('VIP', 'CHURN_RISK')",
+    "gate_cast_failures": """SELECT 'order_items' AS "TABLE", 'CAST_CREATION_TIME_UTC' AS RULE,
+    count(*) FILTER (CREATION_TIME_UTC IS NULL) AS VIOLATIONS FROM flawed
+  UNION ALL SELECT 'order_items', 'CAST_ITEM_PRICE', 0 UNION ALL SELECT 'order_items', 'CAST__INGESTED_AT', 0
+  UNION ALL SELECT 'order_items', 'CAST_ITEM_QUANTITY', count(*) FILTER (ITEM_QUANTITY IS NULL) FROM flawed
+  UNION ALL SELECT 'order_item_options', 'CAST_OPTION_PRICE', count(*) FILTER (OPTION_PRICE IS NULL) FROM flawed_options
+  UNION ALL SELECT 'order_item_options', RULE, 0 FROM (VALUES ('CAST_OPTION_QUANTITY'), ('CAST__INGESTED_AT')) v(RULE)
+  UNION ALL SELECT 'date_dim', 'CAST_YEAR', count(*) FILTER (M = 2) FROM flawed_days
+  UNION ALL SELECT 'date_dim', RULE, 0
+    FROM (VALUES ('CAST_DATE_KEY'), ('CAST_MONTH'), ('CAST_WEEK'), ('CAST__INGESTED_AT')) v(RULE)""",
+    "gate_null_keys": """SELECT 'order_items' AS "TABLE", 'NULL_KEY_ORDER_ITEMS' AS RULE,
+    count(*) FILTER (ORDER_ID IS NULL OR CREATION_TIME_UTC IS NULL) AS VIOLATIONS FROM flawed
+  UNION ALL SELECT 'order_item_options', 'NULL_KEY_ORDER_ITEM_OPTIONS', count(*) FILTER (ORDER_ID IS NULL) FROM flawed_options
+  UNION ALL SELECT 'date_dim', 'NULL_KEY_DATE_DIM', count(*) FILTER (DATE_KEY IS NULL) FROM flawed_days""",
+    "gate_conflicting_keys": """SELECT 'order_items' AS "TABLE", 'DUPLICATE_KEY_ORDER_ITEMS' AS RULE, count(*) AS VIOLATIONS
+    FROM coarse_conflicts
+  UNION ALL SELECT 'order_item_options', 'DUPLICATE_KEY_ORDER_ITEM_OPTIONS', count(*) FROM option_conflicts
+  UNION ALL SELECT 'date_dim', 'DUPLICATE_KEY_DATE_DIM', count(*) FILTER (M = 1)
+    + CASE WHEN count(DISTINCT (Y, W)) FILTER (DATE_KEY IS NULL) > 1 THEN 1 ELSE 0 END FROM flawed_days""",
     "gate_unsafe_join_keys": """SELECT 'UNSAFE_OPTION_JOIN_KEY' AS RULE, count(*) AS VIOLATIONS
   FROM (SELECT ORDER_ID, COARSE_LINE FROM items GROUP BY ALL HAVING count(*) > 1)""",
     "gate_revenue_nulls": """SELECT 'NULL_ITEM_PRICE' AS RULE, count(*) FILTER (ITEM_PRICE IS NULL) AS VIOLATIONS FROM flawed
-  UNION ALL SELECT 'NULL_OPTION_PRICE_OR_QUANTITY', count(*) FILTER (OPTION_PRICE IS NULL OR OPTION_QUANTITY IS NULL) FROM options""",
+  UNION ALL SELECT 'NULL_OPTION_PRICE_OR_QUANTITY', count(*) FILTER (OPTION_PRICE IS NULL OR OPTION_QUANTITY IS NULL)
+  FROM flawed_options""",
     "gate_invalid_loyalty": """SELECT IS_LOYALTY, count(*) AS VIOLATIONS FROM flawed
   WHERE upper(trim(IS_LOYALTY)) NOT IN ('TRUE', 'FALSE') GROUP BY 1""",
     "gate_order_consistency": """SELECT 'ORDER_WITH_SEVERAL_USERS' AS RULE, count(*) FILTER (U > 1) AS VIOLATIONS FROM (

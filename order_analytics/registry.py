@@ -3,18 +3,19 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import date
+from datetime import UTC, date, datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from order_analytics import session
 from order_analytics.functions.columns import offset_timestamp, short_id
-from order_analytics.operators import conform, quality, sync
-from order_analytics.plans import facts, marts, reports
+from order_analytics.operators import conform, quality, staging, sync
+from order_analytics.plans import facts, marts, pipeline, reports
 from order_analytics.plans.dataset import OrderDataset
-from order_analytics.schemas import DATE_DIM, ORDER_ITEM_OPTIONS, ORDER_ITEMS, TableSpec
-from order_analytics.sources import fixtures
+from order_analytics.schemas import DATE_DIM, LINEAGE_FIELDS, ORDER_ITEM_OPTIONS, ORDER_ITEMS, TABLES, TableSpec
+from order_analytics.sources import fixtures, mart_store, snapshots
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -103,9 +104,6 @@ FACTS = {
     "spend_periods": lambda d: facts.spend_periods(d.customer_orders, d.analysis_date),
     "latest_customer_order": lambda d: facts.latest_customer_order(d.customer_orders),
     "customer_loyalty_stats": lambda d: marts.customer_loyalty_stats(d.profile),
-    "orphan_options": lambda d: facts.orphan_options(
-        d.items.filter(F.col("ITEM_CATEGORY").isNotNull()), d.options
-    ),
 }
 
 MARTS = {
@@ -150,17 +148,43 @@ def _flawed_cast(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _typed(fixtures.flawed_order_items(spark, sf_dir), ORDER_ITEMS, keep_originals=True)
 
 
+def _flawed_casts(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    raw = {
+        "order_items": fixtures.flawed_order_items,
+        "order_item_options": fixtures.flawed_options,
+        "date_dim": fixtures.flawed_date_dim,
+    }
+    return {name: _typed(build(spark, sf_dir), TABLES[name], keep_originals=True) for name, build in raw.items()}
+
+
+def _by_table(checks: dict[str, DataFrame]) -> DataFrame:
+    named = [check.select(F.lit(name).alias("TABLE"), "RULE", "VIOLATIONS") for name, check in checks.items()]
+    return reduce(DataFrame.unionByName, named)
+
+
 def gate_cast_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.run_checks(_flawed_cast(spark, sf_dir), quality.cast_rules(ORDER_ITEMS))
+    typed = _flawed_casts(spark, sf_dir)
+    return _by_table({name: quality.run_checks(df, quality.cast_rules(TABLES[name])) for name, df in typed.items()})
 
 
 def gate_null_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.run_checks(_flawed_cast(spark, sf_dir), quality.key_rules(ORDER_ITEMS))
+    typed = _flawed_casts(spark, sf_dir)
+    return _by_table({name: quality.run_checks(df, quality.key_rules(TABLES[name])) for name, df in typed.items()})
+
+
+def _conflicting(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    typed = {name: conform.drop_originals(df) for name, df in _flawed_casts(spark, sf_dir).items()}
+    typed["order_items"] = fixtures.coarse_order_items(spark, sf_dir)
+    return {name: conform.drop_exact_duplicates(df) for name, df in typed.items()}
 
 
 def gate_conflicting_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
-    coarse = conform.drop_exact_duplicates(fixtures.coarse_order_items(spark, sf_dir))
-    return quality.count_duplicate_keys(coarse, ORDER_ITEMS.key, "DUPLICATE_KEY_ORDER_ITEMS")
+    return _by_table(
+        {
+            name: quality.count_duplicate_keys(df, TABLES[name].key, f"DUPLICATE_KEY_{name.upper()}")
+            for name, df in _conflicting(spark, sf_dir).items()
+        }
+    )
 
 
 def gate_unsafe_join_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -170,7 +194,7 @@ def gate_unsafe_join_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def gate_revenue_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
     items = quality.run_checks(_flawed_cast(spark, sf_dir), quality.item_revenue_rules())
-    options = fixtures.order_item_options(spark, sf_dir)
+    options = _flawed_casts(spark, sf_dir)["order_item_options"]
     return items.unionByName(quality.run_checks(options, quality.option_revenue_rules()))
 
 
@@ -189,6 +213,71 @@ def conflicting_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.conflicting_records(coarse, ORDER_ITEMS.key).select(columns)
 
 
+def conflicting_options(spark: SparkSession, sf_dir: str) -> DataFrame:
+    options = _conflicting(spark, sf_dir)["order_item_options"].select(ORDER_ITEM_OPTIONS.business_columns)
+    return quality.conflicting_records(options, ORDER_ITEM_OPTIONS.key)
+
+
+def orphan_options(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return facts.orphan_options(fixtures.order_items_with_gaps(spark, sf_dir), fixtures.order_item_options(spark, sf_dir))
+
+
+def schema_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The closed schema of each typed table, as the check has it, beside the columns of its source."""
+    raw = {"order_items": fixtures.raw_order_items, "order_item_options": fixtures.raw_options, "date_dim": fixtures.raw_date_dim}
+    found = []
+    for name, build in raw.items():
+        named = conform.normalize_columns(build(spark, sf_dir))
+        quality.check_columns(named, TABLES[name])
+        found.append(named.agg(F.count("*").alias("ROWS")).select(F.lit(name).alias("TABLE"), F.lit(len(named.columns)).alias("COLUMNS"), "ROWS"))
+    return reduce(DataFrame.unionByName, found)
+
+
+def lineage_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stamped = snapshots.add_lineage(fixtures.order_item_options(spark, sf_dir), datetime(2026, 1, 1, tzinfo=UTC), "order_item_options", "FULL_DAILY")
+    return stamped.groupBy("_INGESTED_AT", "_SOURCE_TABLE", "_LOAD_TYPE").agg(F.count("*").alias("ROWS"))
+
+
+def _pipeline_sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    lineage = ["_ingested_at", "_source table", "_Load-Type"]
+    raw = {"date_dim": fixtures.raw_date_dim, "order_item_options": fixtures.raw_options, "order_items": fixtures.raw_order_items}
+    return {name: build(spark, sf_dir).drop(*lineage) for name, build in raw.items()}
+
+
+def pipeline_run_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole chain from raw tables to published marts, by those counts of its summary that are not zero."""
+    summary = pipeline.run(spark, _pipeline_sources(spark, sf_dir), staging.new_path(spark, "pipeline"))
+    return summary.filter("VALUE <> 0")
+
+
+def mart_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A mart as it is read back after it was written, gated and published."""
+    data, root = dataset(spark, sf_dir), staging.new_path(spark, "marts")
+    generated_at = datetime(2026, 1, 1, tzinfo=UTC)
+    rows = mart_store.write_mart(data.customer_rfm, root, 1, "customer_rfm", data.analysis_date, generated_at)
+    quality.assert_row_count(mart_store.read_mart(spark, root, "customer_rfm", 1).count(), rows, "customer_rfm")
+    snapshots.publish(spark, root, 1)
+    return mart_store.read_mart(spark, root, "customer_rfm")
+
+
+def snapshot_initial_sync(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A first and a second equal snapshot: all rows are inserted, then none is changed."""
+    path = staging.new_path(spark, "snapshot")
+    typed = _typed(fixtures.raw_options(spark, sf_dir), ORDER_ITEM_OPTIONS)
+    runs = [sync.sync(spark, path, typed, ORDER_ITEM_OPTIONS, ORDER_ITEM_OPTIONS.business_columns) for _ in range(2)]
+    rows = [(number, name, int(value)) for number, run in enumerate(runs, 1) for name, value in run.items()]
+    return spark.createDataFrame(rows, "RUN int, METRIC string, VALUE bigint")
+
+
+def post_merge_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows and conflicting keys of a merged snapshot."""
+    path = staging.new_path(spark, "merged")
+    for build in (fixtures.earlier_order_items, fixtures.later_order_items):
+        lineage = {field.name: F.lit(None).cast(field.dataType) for field in LINEAGE_FIELDS}
+        sync.sync(spark, path, build(spark, sf_dir).withColumns(lineage), ORDER_ITEMS)
+    return quality.key_summary(snapshots.read_current(spark, path), ORDER_ITEMS.key)
+
+
 def coerced_types(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = conform.normalize_columns(fixtures.flawed_order_items(spark, sf_dir))
     texts = raw.withColumn("CREATION_TIME_UTC", F.regexp_replace("CREATION_TIME_UTC", r" \+00:00$", ""))
@@ -205,6 +294,14 @@ TABLE_QUERIES = {
     "snapshot_sync_changes": snapshot_changes,
     "snapshot_sync_summary": lambda s, d: sync.change_summary(snapshot_changes(s, d)),
     "conflicting_records": conflicting_records,
+    "conflicting_options": conflicting_options,
+    "orphan_options": orphan_options,
+    "schema_check": schema_check,
+    "lineage_columns": lineage_columns,
+    "pipeline_run_summary": pipeline_run_summary,
+    "mart_round_trip": mart_round_trip,
+    "snapshot_initial_sync": snapshot_initial_sync,
+    "post_merge_checks": post_merge_checks,
     "gate_cast_failures": gate_cast_failures,
     "gate_null_keys": gate_null_keys,
     "gate_conflicting_keys": gate_conflicting_keys,
@@ -215,9 +312,22 @@ TABLE_QUERIES = {
     "coerced_types": coerced_types,
 }
 
+def _broken_scores(rfm: DataFrame) -> DataFrame:
+    """Scores as a wrong rule would give them to some customers without recent orders."""
+    odd = F.col("RECENCY_DAYS") % 2 == 1
+    return rfm.withColumns({name: F.when(odd, F.col(name) + 1).otherwise(F.col(name)) for name in ("F_SCORE", "M_SCORE")})
+
+
+def _broken_spans(restaurants: DataFrame) -> DataFrame:
+    """Spans as a wrong order of dates would give them to some restaurants."""
+    odd = F.col("ORDER_COUNT") % 2 == 1
+    names = ("ACTIVE_CALENDAR_DAYS", "ACTIVE_CALENDAR_WEEKS")
+    return restaurants.withColumns({name: F.when(odd, 1 - F.col(name)).otherwise(F.col(name)) for name in names})
+
+
 MART_GATES = {
-    "gate_rfm_scores": lambda d: quality.run_checks(d.customer_rfm, quality.rfm_rules()),
-    "gate_restaurant_spans": lambda d: quality.run_checks(d.restaurant_performance, quality.span_rules()),
+    "gate_rfm_scores": lambda d: quality.run_checks(_broken_scores(d.customer_rfm), quality.rfm_rules()),
+    "gate_restaurant_spans": lambda d: quality.run_checks(_broken_spans(d.restaurant_performance), quality.span_rules()),
     "user_id_diagnostics": lambda d: quality.user_id_diagnostics(d.orders),
     "rfm_segment_counts": lambda d: quality.rfm_segment_counts(d.customer_rfm),
 }
@@ -229,6 +339,8 @@ SEVERAL_CATEGORIES = ["ECONOMY", "SMALL", "UNKNOWN"]
 ONE_CATEGORY = ["ECONOMY"]
 TREND_START, TREND_END = date(1996, 1, 1), date(2000, 12, 31)
 FOCUS_RESTAURANT = "R007"
+SEVERAL_RESTAURANTS = ["R001", "R007", "R013"]
+SEVERAL_SEGMENTS = ["VIP", "CHURN_RISK"]
 
 
 def _chosen(data: OrderDataset, categories: list[str] | None = None) -> DataFrame:
@@ -268,9 +380,13 @@ REPORTS = {
     "trend_kpis_single_category": lambda d: reports.trend_kpis(_chosen(d, ONE_CATEGORY), len(ONE_CATEGORY)),
     "trend_kpis_all_categories": lambda d: reports.trend_kpis(reports.with_category(d.sales_trends_weekly), 0),
     "revenue_over_time": lambda d: reports.revenue_over_time(reports.with_category(d.sales_trends_monthly)),
-    "orders_over_time": lambda d: reports.orders_over_time(_chosen(d, ONE_CATEGORY), len(ONE_CATEGORY)),
-    "category_revenue": lambda d: reports.category_revenue(_chosen(d)),
-    "trend_top_restaurants": lambda d: reports.trend_top_restaurants(_chosen(d)),
+    "orders_over_time": lambda d: reports.orders_over_time(
+        reports.filter_trends(d.sales_trends_daily, categories=ONE_CATEGORY), len(ONE_CATEGORY)
+    ),
+    "category_revenue": lambda d: reports.category_revenue(reports.filter_trends(d.sales_trends_daily)),
+    "trend_top_restaurants": lambda d: reports.trend_top_restaurants(reports.filter_trends(d.sales_trends_daily)),
+    "trend_of_restaurants": lambda d: reports.filter_trends(d.sales_trends_monthly, restaurants=SEVERAL_RESTAURANTS),
+    "rfm_table_of_segments": lambda d: reports.rfm_table(d.customer_rfm, SEVERAL_SEGMENTS),
     "loyalty_member_share": lambda d: reports.loyalty_member_share(d.loyalty_program_impact),
     "loyalty_spend_unpivot": lambda d: reports.loyalty_spend_unpivot(d.loyalty_program_impact),
     "restaurant_kpis": lambda d: reports.restaurant_kpis(d.restaurant_performance),

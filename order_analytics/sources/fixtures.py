@@ -159,6 +159,38 @@ def raw_date_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _as_raw(date_dim(spark, sf_dir), "date_dim")
 
 
+def flawed_options(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Options with prices that are no numbers, missing quantities and orders, and lines known by number alone."""
+    price, quantity = F.col("OPTION_PRICE"), F.col("OPTION_QUANTITY")
+    flawed = order_item_options(spark, sf_dir).select(
+        F.when(price != 7, F.col("ORDER_ID")).alias("ORDER_ID"),
+        F.split_part("LINEITEM_ID", F.lit("-"), F.lit(1)).alias("LINEITEM_ID"),
+        "OPTION_GROUP_NAME",
+        "OPTION_NAME",
+        F.when(price == 5, "free").otherwise(price.cast("string")).alias("OPTION_PRICE"),
+        F.when(quantity != 3, quantity).alias("OPTION_QUANTITY"),
+    )
+    return _as_raw(flawed, "order_item_options")
+
+
+def flawed_date_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A calendar with days missing in March, years that are no numbers in February, and January twice."""
+    days = date_dim(spark, sf_dir)
+    march_sunday = (F.col("MONTH") == 3) & (F.col("DAY_OF_WEEK") == "Sunday")
+    flawed = days.withColumns(
+        {
+            "DATE_KEY": F.when(~march_sunday, F.col("DATE_KEY")),
+            "YEAR": F.when(F.col("MONTH") == 2, "n/a").otherwise(F.col("YEAR").cast("string")),
+        }
+    )
+    return _as_raw(flawed.unionByName(flawed.filter("MONTH = 1").withColumn("HOLIDAY_NAME", F.lit("Other"))), "date_dim")
+
+
+def order_items_with_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order lines among which those without a category are missing, so that some options have no line."""
+    return order_items(spark, sf_dir).filter(F.col("ITEM_CATEGORY").isNotNull())
+
+
 def offset_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = table(spark, sf_dir, "lineitem").join(
         table(spark, sf_dir, "orders"), F.col("l_orderkey") == F.col("o_orderkey")
