@@ -7,6 +7,7 @@ loss of executors.
 from __future__ import annotations
 
 import gc
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,6 +15,10 @@ from pyspark.sql import DataFrame, SparkSession
 from order_analytics import session
 
 
+#: Rounds of collecting garbage, and seconds after each.
+RELEASE_ROUNDS, RELEASE_PAUSE = 3, 0.4
+
+
 def new_path(spark: SparkSession, label: str) -> str:
     """A folder under the staging folder that does not exist yet."""
     return f"{session.staging_folder(spark)}/staged/{label}-{uuid.uuid4().hex}"
@@ -36,12 +41,13 @@ def drop_table(spark: SparkSession, path: str) -> None:
 def forget_shuffles(spark: SparkSession) -> None:
     """Let Spark drop the shuffle files of plans whose results are written.
 
-    It does so when the plans are collected as garbage, which a driver with memory to spare may put off. The
-    first round lets go of the plans, the second of their shuffles.
+    It does so when the plans are collected as garbage, which a driver with memory to spare may put off. What has ended
+    is let go of a moment later, by way of Spark's events, so it takes some rounds.
     """
-    gc.collect()
-    for _ in range(2):
+    for _ in range(RELEASE_ROUNDS):
+        gc.collect()
         spark.sparkContext._jvm.System.gc()
+        time.sleep(RELEASE_PAUSE)
 
 
 class Stage:
