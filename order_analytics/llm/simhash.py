@@ -312,10 +312,12 @@ def near_copies(documents: DataFrame, shingle: int = 5, percent: int = 80) -> Da
     printed, _ = staging.write_table(texts.mapInArrow(of_batches, f"doc_id {kind}, node bigint, print bigint"), "word-fingerprints")
     nodes = printed.groupBy("node").agg(F.min("doc_id").alias("least_id"), F.min("print").alias("print"))
     nodes, _ = staging.write_table(nodes, "distinct-texts")
-    pairs, _ = staging.write_table(_candidates(nodes), "candidate-pairs")
+    pairs, pairs_path = staging.write_table(_candidates(nodes), "candidate-pairs")
+    staging.forget_shuffles(documents.sparkSession)
     asked = pairs.select("node").union(pairs.select(F.col("other").alias("node"))).distinct()
     found = texts.select("node", "text").join(asked, "node", "left_semi")
-    sets, _ = staging.write_table(_shingle_sets(found, shingle), "shingle-sets")
+    sets, sets_path = staging.write_table(_shingle_sets(found, shingle), "shingle-sets")
+    staging.forget_shuffles(documents.sparkSession)
     sets = sets.dropDuplicates(["node"])
     ours = sets.select("node", F.col("shingles").alias("ours"))
     theirs = sets.select(F.col("node").alias("other"), F.col("shingles").alias("theirs"))
@@ -323,6 +325,8 @@ def near_copies(documents: DataFrame, shingle: int = 5, percent: int = 80) -> Da
     either = F.size("ours") + F.size("theirs") - shared
     verified = pairs.join(ours, "node").join(theirs, "other").filter(shared * 100 >= either * percent).select("node", "other")
     verified, _ = staging.write_table(verified, "verified-pairs")
+    for path in (pairs_path, sets_path):
+        staging.drop_table(documents.sparkSession, path)
     roots = connected_components(verified)
     rooted = nodes.join(roots, "node", "left").select("node", "least_id", F.coalesce("root", "node").alias("root"))
     named = rooted.groupBy("root").agg(F.min("least_id").alias("component_id"))
