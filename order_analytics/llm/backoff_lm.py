@@ -2,8 +2,7 @@
 
 Every document is scored by the n-grams of all other documents: its own counts are taken off first. The
 score of word w after u is c(uw) / c(u) if the others hold uw; else ``BACKOFF`` times c(w) / N if they hold w;
-else ``BACKOFF`` squared / N. Here c(u) counts u where a word follows it, N counts words, and the first word of a text is
-scored without context. A document's score is the sum of the logarithms; ``mean_log`` is per word.
+else ``BACKOFF`` squared / N. N counts words, and the first word of a text is scored without context. A document's score is the sum of the logarithms; ``mean_log`` is per word.
 
 The plan is relational: documents are cut into n-grams, equal n-grams of a lot of documents are one row with their
 number, count tables are partitioned by the hash of the n-gram and summed, and each row gets back
@@ -27,26 +26,33 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from order_analytics.llm.batches import MULTIPLIER, mix, texts_of, words_of
+from order_analytics.llm.batches import MULTIPLIER, mix, steps, words_of
+from order_analytics.operators import staging
 
 BACKOFF = 0.4
-LOT_BYTES = 4 << 20
-TABLE_BYTES = 16 << 20
+LOT_BYTES = 10 << 20
+TABLE_BYTES = 8 << 20
 
 
 class Grams:
-    """The n-grams of a lot of documents: pairs, words, and words that another follows."""
+    """The n-grams of a lot of documents: words, and pairs of words."""
 
     def __init__(self, texts: pa.ChunkedArray):
-        words = words_of(texts_of(texts))
-        self.bounds, self.owner = words.bounds, words.owner()
-        second = np.ones(len(words.hashes), bool)
-        second[words.bounds[:-1][np.diff(words.bounds) > 0]] = False
+        hashes, sizes = [], []
+        for batch in pa.table({"text": texts}).to_batches():
+            for _, some in steps([batch], "text"):
+                words = words_of(some)
+                hashes.append(words.hashes)
+                sizes.append(np.diff(words.bounds))
+        words = np.concatenate([np.zeros(0, np.uint64), *hashes])
+        self.sizes = np.concatenate([np.zeros(0, np.int64), *sizes])
+        self.owner = np.repeat(np.arange(len(self.sizes)), self.sizes)
+        second = np.ones(len(words), bool)
+        second[(np.cumsum(self.sizes) - self.sizes)[self.sizes > 0]] = False
         self.second = np.flatnonzero(second)  # words after another of their text
-        pairs = mix(words.hashes[self.second - 1] * np.uint64(MULTIPLIER) + words.hashes[self.second])
-        leads = mix(words.hashes[self.second - 1] + np.uint64(1))
-        self.by_order = {"pair": pairs, "lead": leads, "word": words.hashes}
-        self.owners = {"pair": self.owner[self.second], "lead": self.owner[self.second], "word": self.owner}
+        pairs = mix(words[self.second - 1] * np.uint64(MULTIPLIER) + words[self.second])
+        self.by_order = {"pair": pairs, "word": words}
+        self.owners = {"pair": self.owner[self.second], "word": self.owner}
         self.places: dict[str, np.ndarray] = {}
         self.distinct: dict[str, tuple[np.ndarray, np.ndarray]] = {}
         for name, grams in self.by_order.items():
@@ -87,11 +93,11 @@ def _wide(packed: bytes, size: int) -> np.ndarray:
 def log_scores(grams: Grams, totals: np.ndarray, corpus_words: int, backoff: float) -> tuple[np.ndarray, np.ndarray]:
     """Number of words and sum of logarithms of each document of a lot."""
     others = grams.others(totals)
-    sizes = np.diff(grams.bounds)
+    sizes = grams.sizes
     rest = np.maximum(corpus_words - sizes, 1)[grams.owner]
     alone = np.where(others["word"] > 0, others["word"] / rest, backoff / rest)
     scores = alone.copy()
-    pair, lead = others["pair"], others["lead"]
+    pair, lead = others["pair"], others["word"][grams.second - 1]
     scores[grams.second] = np.where(pair > 0, pair / np.maximum(lead, 1), backoff * alone[grams.second])
     return sizes, np.bincount(grams.owner, weights=np.log(scores), minlength=len(sizes))
 
@@ -150,6 +156,10 @@ def score(
     kind = documents.schema["doc_id"].dataType.simpleString()
     packed = dealt.groupBy("lot").applyInArrow(count_lot, "part bigint, lot bigint, grams binary, counts binary")
     answered = packed.groupBy("part").applyInArrow(total_part, "part bigint, lot bigint, size bigint, counts binary")
+    # written, so that the n-grams' shuffle is over when documents travel to their lots again
+    answered, _ = staging.write_table(answered, "totals")
+    del packed
+    staging.forget_shuffles(documents.sparkSession)
     scored = dealt.groupBy("lot").cogroup(answered.groupBy("lot")).applyInArrow(
         score_lot, f"doc_id {kind}, n_words bigint, log_score double"
     )

@@ -22,14 +22,14 @@ def _backoff_lm() -> str:
 WITH {WORDS},
 pairs AS (SELECT *, lag(word) OVER (PARTITION BY doc_id ORDER BY place) AS lead FROM words),
 counts AS (
-    SELECT doc_id, lead,
+    SELECT doc_id, lead, place,
         count(*) OVER (PARTITION BY word) - count(*) OVER (PARTITION BY doc_id, word) AS of_word,
         count(*) OVER (PARTITION BY lead, word) - count(*) OVER (PARTITION BY doc_id, lead, word) AS of_pair,
-        count(*) OVER (PARTITION BY lead) - count(*) OVER (PARTITION BY doc_id, lead) AS of_lead,
         greatest(count(*) OVER () - count(*) OVER (PARTITION BY doc_id), 1) AS others
     FROM pairs
 ),
-single AS (SELECT *, CASE WHEN of_word > 0 THEN of_word / others ELSE {backoff} / others END AS alone FROM counts),
+single AS (SELECT *, CASE WHEN of_word > 0 THEN of_word / others ELSE {backoff} / others END AS alone,
+    lag(of_word) OVER (PARTITION BY doc_id ORDER BY place) AS of_lead FROM counts),
 scores AS (
     SELECT doc_id, CASE WHEN lead IS NULL THEN alone WHEN of_pair > 0 THEN of_pair / of_lead ELSE {backoff} * alone END AS score
     FROM single
