@@ -158,6 +158,7 @@ def clv_histogram(clv: DataFrame, bins: int = HISTOGRAM_BINS) -> DataFrame:
 
 
 def top_customers(clv: DataFrame, count: int = TOP_CUSTOMERS) -> DataFrame:
+    # The columns of this table.
     columns = [
         "USER_ID",
         "LIFETIME_REVENUE",
@@ -179,6 +180,7 @@ def rfm_segment_distribution(rfm: DataFrame) -> DataFrame:
 
 
 def rfm_table(rfm: DataFrame, segments: Sequence[str] = RFM_SEGMENTS) -> DataFrame:
+    # The columns of this table.
     columns = [
         "USER_ID",
         "LAST_ORDER_DATE",
@@ -210,6 +212,7 @@ def churn_status_counts(churn: DataFrame) -> DataFrame:
 
 
 def at_risk_customers(churn: DataFrame) -> DataFrame:
+    # The columns of this table.
     columns = [
         "USER_ID",
         "LAST_ORDER_DATE",
@@ -324,6 +327,7 @@ def restaurant_kpis(restaurants: DataFrame) -> DataFrame:
 
 
 def restaurant_focus(restaurants: DataFrame, restaurant_id: str) -> DataFrame:
+    # The columns of this table.
     return restaurants.filter(F.col("RESTAURANT_ID") == restaurant_id).select(
         "RESTAURANT_ID",
         short_id("RESTAURANT_ID").alias("RESTAURANT_ID_DISPLAY"),
@@ -339,6 +343,7 @@ def restaurant_focus(restaurants: DataFrame, restaurant_id: str) -> DataFrame:
 
 
 def restaurant_table(restaurants: DataFrame) -> DataFrame:
+    # The columns of this table.
     return restaurants.select(
         "REVENUE_RANK",
         short_id("RESTAURANT_ID").alias("RESTAURANT_ID_DISPLAY"),
@@ -358,6 +363,7 @@ def restaurant_table(restaurants: DataFrame) -> DataFrame:
 
 
 def _location_bars(restaurants: DataFrame) -> DataFrame:
+    # The columns of this table.
     return restaurants.select(
         "RESTAURANT_ID", short_id("RESTAURANT_ID").alias("RESTAURANT_ID_DISPLAY"), "REVENUE_RANK", "TOTAL_REVENUE"
     )

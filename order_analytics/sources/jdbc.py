@@ -2,12 +2,23 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, SparkSession
 
 # Fixed value: seconds after which a source query is given up.
 QUERY_TIMEOUT = 600
 
 
+@dataclass(frozen=True)
+class Split:
+    """How the scan of one table is spread over connections: a numeric or date column, and how many."""
+
+    column: str
+    connections: int
+
+
 def bounds_query(table: str, column: str) -> str:
     return f"(SELECT MIN({column}) AS LOWEST, MAX({column}) AS HIGHEST FROM {table}) bounds"
 
@@ -24,7 +35,7 @@ def read_jdbc(
 ) -> DataFrame:
     """Scan a whole table, over several connections when a numeric or date column to split on is named.
 
-    Missing bounds are asked from the source (one row). Credentials and the driver come in ``options``.
+    Without one, the whole table comes over one connection and through one task: that is for small tables. Missing bounds are asked from the source (one row). Credentials and the driver come in ``options``.
     """
     reader = spark.read.format("jdbc").options(url=url, **{"queryTimeout": QUERY_TIMEOUT, **options})
     if partition_column and num_partitions:
@@ -39,3 +50,11 @@ def read_jdbc(
                 numPartitions=num_partitions,
             )
     return reader.option("dbtable", table).load()
+
+
+def read_tables(spark: SparkSession, url: str, splits: Mapping[str, Split | None], **options) -> dict[str, DataFrame]:
+    """Scans of the tables that ``splits`` names; None reads a small table over one connection."""
+    return {
+        table: read_jdbc(spark, url, table, split and split.column, split and split.connections, **options)
+        for table, split in splits.items()
+    }
