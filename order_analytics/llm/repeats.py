@@ -6,7 +6,7 @@ anchors at equal places, so they meet by the anchor's hash, and only about two i
 
 1. ``anchors``: windows that follow each other and have one anchor are a run; a row says where the anchor is, how
    far the run reaches to both sides (its context), and has hashes of the anchor and of the context.
-2. ``repeated_anchors``: runs whose anchor occurs once only are dropped.
+2. ``shared_anchors``: runs whose anchor occurs once only are dropped.
 3. ``contexts``: equal contexts become one row with their first place; a later copy is covered as a whole. Sums come
    before the shuffle, so a context with very many copies is a row for each task.
 4. Contexts that share an anchor but differ are compared in groups (``compared``) by the caller's method. A
@@ -21,20 +21,19 @@ Rows that share an id are not earlier than each other; fully equal rows get equa
 
 from __future__ import annotations
 
-import gc
 from collections.abc import Callable, Iterator
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from order_analytics.llm.batches import SubstringHash, Texts, binary_column, mix, signed, steps, texts_of, words_of
 from order_analytics.operators import staging
 
-#: Contexts that one comparison holds at most.
-MOST_CONTEXTS = 2_000
+#: Contexts of one group that are compared with each other at most.
+MOST_CONTEXTS = 500
 #: Bytes of contexts that are compared in one step.
 STEP_CONTEXT_BYTES = 1 << 20
 
@@ -174,24 +173,24 @@ def _places(at: str) -> list:
     ]
 
 
-def repeated_anchors(rows: DataFrame, passage: Passage, by_document: bool) -> DataFrame:
-    found = anchors(rows, passage, by_document)
+def shared_anchors(found: DataFrame, written: list[str]) -> DataFrame:
+    """The rows whose anchor another row has.
+
+    The anchors are written before the join: with no grouping next to it, both sides of the join are plain
+    shuffles, and adaptive execution can split an anchor that very many rows have.
+    """
     several = found.groupBy("anchor").agg(F.count("*").alias("n")).filter("n > 1").select("anchor")
-    staged, _ = staging.write_table(found.join(several, "anchor"), "repeated-anchors")
-    return staged
+    return found.join(_kept(several, "shared-anchors", written), "anchor")
 
 
 def contexts(held: DataFrame) -> DataFrame:
     """(anchor, context, first): each different context and where it stands first."""
-    first = F.min(F.struct("doc_id", "at", "text_hash")).alias("first")
-    staged, _ = staging.write_table(held.groupBy("anchor", "context").agg(first), "contexts")
-    return staged
+    return held.groupBy("anchor", "context").agg(F.min(F.struct("doc_id", "at", "text_hash")).alias("first"))
 
 
-def bodies(rows: DataFrame, found: DataFrame, passage: Passage) -> DataFrame:
+def bodies(rows: DataFrame, found: DataFrame, passage: Passage, written: list[str]) -> DataFrame:
     """The contexts that share an anchor with another, as ``CONTEXT`` rows with their units' bytes."""
-    several = found.groupBy("anchor").agg(F.count("*").alias("n")).filter("n > 1").select("anchor")
-    wanted = found.join(several, "anchor").select("anchor", "context", "first.*")
+    wanted = shared_anchors(found, written).select("anchor", "context", "first.*")
     wanted = wanted.groupBy("doc_id", "text_hash").agg(F.collect_list(F.struct("anchor", "context", *_places("at"))).alias("wanted"))
     texts = rows.select("doc_id", "text_hash", "text").join(wanted, ["doc_id", "text_hash"])
 
@@ -226,8 +225,7 @@ def bodies(rows: DataFrame, found: DataFrame, passage: Passage) -> DataFrame:
                 CONTEXT_NAMES,
             )
 
-    staged, _ = staging.write_table(texts.mapInArrow(of_batches, CONTEXT), "context-bodies")
-    return staged
+    return texts.mapInArrow(of_batches, CONTEXT)
 
 
 class Contexts(NamedTuple):
@@ -346,16 +344,16 @@ def _compared_single(windows: DataFrame, passage: Passage, by_document: bool) ->
     return later.select("anchor", "context", start.alias("start"), (start + passage.length).alias("end"))
 
 
-def compared(contexts_found: DataFrame, passage: Passage, method: Method, by_document: bool, most: int) -> DataFrame:
+def compared(contexts_found: DataFrame, passage: Passage, method: Method, by_document: bool, most: int, written: list[str]) -> DataFrame:
     """``RANGE`` rows: what of a context an earlier different context holds, counted from the anchor."""
     pending, ranges = contexts_found, []
     while True:
-        full, path = staging.write_table(pending.groupBy("key").agg(F.count("*").alias("n")).filter(F.col("n") > most), "large-groups")
+        full = _kept(pending.groupBy("key").agg(F.count("*").alias("n")).filter(F.col("n") > most), "large-groups", written)
         if full.isEmpty():
             ranges.append(_compared(pending, passage, method))
             break
         ranges.append(_compared(pending.join(full, "key", "left_anti"), passage, method))
-        halves, path = staging.write_table(_halves(pending.join(full, "key", "left_semi"), passage), "halves")
+        halves = _kept(_halves(pending.join(full, "key", "left_semi"), passage), "halves", written)
         ranges.append(_compared_single(halves.filter("low = high"), passage, by_document))
         pending = halves.filter("low < high")
     found = ranges[0]
@@ -364,20 +362,31 @@ def compared(contexts_found: DataFrame, passage: Passage, method: Method, by_doc
     return found
 
 
+def _kept(table: DataFrame, label: str, written: list[str]) -> DataFrame:
+    """The table once written; the shuffles that made it can go, and its path is noted."""
+    staged, path = staging.write_table(table, label)
+    written.append(path)
+    staging.forget_shuffles(table.sparkSession)
+    return staged
+
+
 def spans(rows: DataFrame, passage: Passage, method: Method, by_document: bool, most: int = MOST_CONTEXTS) -> DataFrame:
     """(doc_id, text_hash, spans): covered units of each document that has any, as (start, end) in no order.
 
     ``by_document``: only documents with a smaller id are earlier; else an earlier start in the same
     document is as well, and the caller adds contexts that a text itself repeats.
     """
-    held = repeated_anchors(rows, passage, by_document)
-    _forget_shuffles(rows.sparkSession)
-    found = contexts(held)
-    ranges = compared(bodies(rows, found, passage), passage, method, by_document, most)
+    spark, written = rows.sparkSession, []
+    held = _kept(shared_anchors(anchors(rows, passage, by_document), written), "repeated-anchors", [])
+    found = _kept(contexts(held), "contexts", written)
+    bodies_found = _kept(bodies(rows, found, passage, written), "context-bodies", written)
+    ranges = compared(bodies_found, passage, method, by_document, most, written)
     ranges = ranges.groupBy("anchor", "context").agg(F.collect_list(F.struct("start", "end")).alias("ranges"))
     known = found.select("anchor", "context", F.col("first.doc_id").alias("first_id")).join(ranges, ["anchor", "context"], "left")
-    known, _ = staging.write_table(known, "known-contexts")
-    _forget_shuffles(rows.sparkSession)
+    known = _kept(known, "known-contexts", [])
+    for path in written:
+        staging.drop_table(spark, path)
+    staging.forget_shuffles(spark)
     joined = held.join(known, ["anchor", "context"]).filter("doc_id > first_id or ranges is not null")
     joined = joined.select("doc_id", "text_hash", "first_id", "ranges", *_places("at"))
     whole = F.struct((F.col("place") - F.col("before")).alias("start"), (F.col("place") + passage.seed + F.col("after")).alias("end"))
@@ -401,9 +410,3 @@ def covered_units(bounds: np.ndarray, lists: pa.ListArray, more: tuple[np.ndarra
 
 def with_spans(rows: DataFrame, found: DataFrame) -> DataFrame:
     return rows.join(found, ["doc_id", "text_hash"], "left")
-
-
-def _forget_shuffles(spark: SparkSession) -> None:
-    """Let Spark drop the shuffle files of plans that are written: it does so once they are collected as garbage."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
