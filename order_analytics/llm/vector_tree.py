@@ -1,7 +1,8 @@
 """Nearest neighbours by inner product through a hierarchical k-means tree.
 
 The tree is fitted on the driver to a bounded sample (``SAMPLE`` vectors, those with the smallest hash of
-their id) and has at most ``SAMPLE`` leaves; every vector is indexed by walking down to the nearest
+their id) and splits nodes of more than ``LEAF_POINTS`` of them, so the number of leaves has a bound
+whatever the input, and the visits of a query do too; every vector is indexed by walking down to the nearest
 centroid at each level. A query walks best-bin-first: a priority queue holds open nodes by the inner
 product of query and centroid, the best is opened next, and leaves are visited in the order they come up.
 The number of leaves to visit is calibrated: for ``CALIBRATION`` queries the true neighbours are found against all rows, and
@@ -22,6 +23,7 @@ import heapq
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -29,10 +31,12 @@ from order_analytics.operators import staging
 
 SAMPLE = 8_192
 BRANCHES = 8
-LEAF_ROWS = 400
+LEAF_POINTS = 128
 CALIBRATION = 64
-RECALL = 0.97
+RECALL = 0.95
 BLOCK = 2_048
+#: Queries whose visits are listed at a time.
+VISITORS = 16
 ROUNDS = 8
 
 FOUND = "query_id bigint, vec_id bigint, score double, leaf int"
@@ -189,7 +193,7 @@ def nearest(
     vector: str = "embedding",
     recall: float = RECALL,
     sample: int = SAMPLE,
-    leaf_rows: int = LEAF_ROWS,
+    leaf_points: int = LEAF_POINTS,
 ) -> DataFrame:
     """(query_id, rank, vec_id, score): the k nearest found of each row of ``queries``."""
     spark = vectors.sparkSession
@@ -200,25 +204,31 @@ def nearest(
     if fitted.empty:
         return spark.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score double")
     points = _matrix(fitted["vector"])
-    total = rows.count()
-    tree = spark.sparkContext.broadcast(Tree(points, max(2, leaf_rows * len(points) // total)))
+    tree = spark.sparkContext.broadcast(Tree(points, leaf_points))
 
-    def index_batches(frames):
-        for frame in frames:
-            if len(frame):
-                yield frame.assign(leaf=tree.value.assign(_matrix(frame["vector"])))
+    width = points.shape[1]
+
+    def index_batches(batches):
+        for batch in batches:
+            vectors = batch.column("vector").flatten().to_numpy().reshape(batch.num_rows, width)
+            yield batch.append_column("leaf", pa.array(tree.value.assign(vectors)))
 
     indexed, _ = staging.write_table(
-        rows.mapInPandas(index_batches, "vec_id bigint, vector array<double>, leaf int"), "indexed"
+        rows.mapInArrow(index_batches, "vec_id bigint, vector array<double>, leaf int"), "indexed"
     )
 
     def visit(count: int):
-        def visit_batches(frames):
-            for frame in frames:
-                leaves = [tree.value.visits(query, count) for query in map(np.asarray, frame["vector"])]
-                yield frame.assign(leaf=leaves).explode("leaf").astype({"leaf": "int32"}).dropna()
-
-        return lambda some: some.mapInPandas(visit_batches, "query_id bigint, vector array<double>, leaf int")
+        def visit_batches(batches):
+            for batch in batches:
+                for first in range(0, batch.num_rows, VISITORS):
+                    some = batch.slice(first, VISITORS)
+                    queries = some.column("vector").flatten().to_numpy().reshape(some.num_rows, -1)
+                    leaves = [tree.value.visits(query, count) for query in queries]
+                    row = pa.array(np.repeat(np.arange(some.num_rows), [len(found) for found in leaves]))
+                    columns = [some.column(name).take(row) for name in ("query_id", "vector")]
+                    yield pa.RecordBatch.from_arrays([*columns, pa.array(sum(leaves, []), pa.int32())], ["query_id", "vector", "leaf"])
+
+        return lambda some: some.mapInArrow(visit_batches, "query_id bigint, vector array<double>, leaf int")
 
     tried = wanted.orderBy(F.xxhash64("query_id"), "query_id").limit(CALIBRATION).toPandas()
     if tried.empty:
