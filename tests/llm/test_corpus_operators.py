@@ -104,6 +104,21 @@ def test_near_copies_link_at_four_fifths(spark, table):
     assert found == plain.near_classes([(row["doc_id"], row["text"]) for row in docs.collect()])
 
 
+def test_near_copies_of_appended_and_cut_texts(table):
+    draw = random.Random(23)
+    vocabulary = [f"w{k}" for k in range(4_000)]
+    texts = []
+    for share in (0.11, 0.15, 0.18, 0.2, 0.22, 0.24, 0.26) * 12:
+        base = draw.choices(vocabulary, k=draw.randint(60, 240))
+        more = draw.choices(vocabulary, k=int(len(base) * share))
+        texts += [base, base + more] if draw.random() < 0.5 else [base + more, more[:3] + base]
+    rows = [(k, " ".join(text)) for k, text in enumerate(texts)]
+    wanted = plain.near_classes(rows)
+    assert 60 < len(rows) - len(set(wanted.values())) < 84
+    found = {row["doc_id"]: row["component_id"] for row in simhash.near_copies(table(rows)).collect()}
+    assert found == wanted
+
+
 def test_packing_is_best_fit(spark):
     draw = random.Random(11)
     pieces = [(draw.randint(0, 60), draw.randrange(4), draw.randrange(30) if draw.random() < 0.9 else -1) for _ in range(400)]
