@@ -33,7 +33,7 @@ SAMPLE = 8_192
 BRANCHES = 8
 LEAF_POINTS = 128
 CALIBRATION = 64
-RECALL = 0.95
+RECALL = 0.97
 BLOCK = 2_048
 #: Queries whose visits are listed at a time.
 VISITORS = 16

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import inspect
 import random
 import zlib
 from collections import Counter, defaultdict
@@ -261,3 +262,7 @@ def test_few_neighbours(spark):
     assert vector_tree.nearest(table.filter("false"), table.filter("false"), 20).count() == 0
     assert vector_tree.nearest(table, table.filter("false"), 20).count() == 0
     assert table.filter(F.col("vec_id") < 1).count() == 1
+
+
+def test_visits_are_calibrated_to_the_stated_recall():
+    assert vector_tree.RECALL == 0.97 == inspect.signature(vector_tree.nearest).parameters["recall"].default
