@@ -159,6 +159,145 @@ SELECT page_id, octet_length(encode(payload)) AS payload_bytes,
 FROM bits"""
 
 
+def _crc32(text: str) -> str:
+    """Bit by bit; 256 stands for a shift by one bit."""
+    steps = f"flatten(list_transform(string_split({text}, ''), lambda c: [ord(c)::BIGINT, 256, 256, 256, 256, 256, 256, 256, 256]))"
+    step = "CASE WHEN s < 256 THEN xor(c, s) ELSE xor(c >> 1, CASE WHEN c & 1 = 1 THEN 3988292384 ELSE 0 END) END"
+    return f"xor(list_reduce(list_concat([4294967295::BIGINT], {steps}), lambda c, s: {step}), 4294967295)"
+
+
+#: Levels that the manifest's SQL has: more than enough for the tables it is run on.
+LEAF_LEVELS, GROUP_LEVELS = 7, 3
+
+
+def _climbed(nodes: str, rows: str, name: str, levels: int) -> str:
+    """From ``nodes(tree, place, node)`` and ``rows(..., tree, place, cur, proof)``: <name>_rows at the top, and <name>_top (tree, node)."""
+    parts, below, held = [], nodes, rows
+    for level in range(levels):
+        runs, above, moved = f"{name}_runs_{level}", f"{name}_nodes_{level}", f"{name}_rows_{level}"
+        left, right = "array_to_string(nodes[1 : (place % 8)::INT], '')", "array_to_string(nodes[(place % 8)::INT + 2 :], '')"
+        parts.append(f"""
+{runs} AS (
+    SELECT tree, place // 8 AS run, list(node ORDER BY place) AS nodes, any_value(size) AS size
+    FROM (SELECT *, count(*) OVER (PARTITION BY tree) AS size FROM {below}) GROUP BY tree, place // 8
+),
+{above} AS (SELECT tree, run AS place, CASE WHEN size = 1 THEN nodes[1] ELSE sha256(array_to_string(nodes, '')) END AS node FROM {runs}),
+{moved} AS (
+    SELECT r.* REPLACE (place // 8 AS place, CASE WHEN size = 1 THEN cur ELSE sha256({left} || cur || {right}) END AS cur,
+        CASE WHEN size = 1 THEN proof ELSE proof || {left} || {right} END AS proof)
+    FROM {held} r JOIN {runs} u ON r.tree = u.tree AND r.place // 8 = u.run
+)""")
+        below, held = above, moved
+    return ",".join(parts) + f", {name}_top AS (SELECT tree, node FROM {below}), {name}_rows AS (SELECT * FROM {held})"
+
+
+def _merkle_manifest() -> str:
+    def leaf(names: list[str]) -> str:
+        return "sha256(" + " || ".join(f"coalesce(octet_length(encode({name}::VARCHAR)) || ':' || {name}::VARCHAR, '-')" for name in names) + ")"
+
+    fields = ["doc_id", "source", "lang", "n_chars", "text"]
+    lowered = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    return f"""
+WITH leaves AS (
+    SELECT doc_id, coalesce('=' || lang, '') AS tree, {leaf(fields)} AS node, {leaf([*fields[:-1], lowered])} AS changed,
+        coalesce({_crc32("doc_id::VARCHAR")} % 3 = 0, false) AS tampered
+    FROM documents
+),
+placed AS (SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, node) - 1 AS place FROM leaves),
+claims AS (SELECT doc_id, node AS leaf, tree, place, CASE WHEN tampered THEN changed ELSE node END AS cur, '' AS proof FROM placed),
+{_climbed("placed", "claims", "leaf", LEAF_LEVELS)},
+groups AS (SELECT '' AS tree, row_number() OVER (ORDER BY tree) - 1 AS place, tree AS name, node FROM leaf_top),
+members AS (
+    SELECT doc_id, leaf, g.node AS subroot, g.tree, g.place, cur, proof FROM leaf_rows r JOIN groups g ON r.tree = g.name
+),
+{_climbed("groups", "members", "group", GROUP_LEVELS)}
+SELECT doc_id, leaf, subroot, t.node AS root, sha256(proof) AS proof_sha256, cur AS folded_root, cur = t.node AS verified
+FROM group_rows r JOIN group_top t ON r.tree = t.tree"""
+
+
+def _shallot_clustering() -> str:
+    parts = ["""
+kept AS (
+    SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+    WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64
+),
+starts AS (SELECT v, row_number() OVER (ORDER BY sha256('2:' || vec_id::VARCHAR), v) - 1 AS number FROM kept),
+centres_0 AS (SELECT number, v FROM starts WHERE number < 40)"""]
+    apart = "list_sum(list_transform(range(1, 65), lambda i: (k.v[i] - c.v[i]) * (k.v[i] - c.v[i])))::BIGINT"
+    for number in range(6):
+        parts.append(f"""
+ways_{number} AS (SELECT vec_id, k.v AS v, number, {apart} AS distance FROM kept k, centres_{number} c),
+assigned_{number} AS (
+    SELECT * FROM ways_{number} QUALIFY row_number() OVER (PARTITION BY vec_id, v ORDER BY distance, number) = 1
+)""")
+        if number < 5:
+            parts.append(f"""
+sums_{number} AS (
+    SELECT number, i, floor(sum(x)::DOUBLE / count(*))::BIGINT AS x
+    FROM (SELECT number, unnest(v) AS x, unnest(range(1, 65)) AS i FROM assigned_{number}) GROUP BY number, i
+),
+means_{number} AS (SELECT number, list(x ORDER BY i) AS v FROM sums_{number} GROUP BY number),
+centres_{number + 1} AS (SELECT c.number, coalesce(m.v, c.v) AS v FROM centres_{number} c LEFT JOIN means_{number} m ON c.number = m.number)""")
+    return f"""
+WITH {",".join(parts)}
+SELECT vec_id, a.number::INT AS "cluster", distance, sum(distance) OVER (PARTITION BY a.number)::BIGINT AS cluster_inertia,
+    sum(distance) OVER ()::BIGINT AS inertia, sha256(array_to_string(c.v, ',')) AS centroid_sha256
+FROM assigned_5 a JOIN centres_5 c ON a.number = c.number"""
+
+
+def _secret_scan() -> str:
+    def either(word: str) -> str:
+        return "".join(f"[{letter.upper()}{letter}]" if letter.isalpha() else letter for letter in word)
+
+    words = "|".join(either(word).replace("_", "_?") for word in ("password", "passwd", "secret", "token", "api_key"))
+    value = "[A-Za-z0-9+/_.=-]"
+    opening = f"({words})[\"'']?\\x20*[:=]\\x20*[\"'']?"
+    # a token may be followed by no letter or digit; that character is then part of the match, but of no other token
+    patterns = {
+        "assign": f"{opening}{value}+",
+        "access": "AKIA[A-Z0-9]+",
+        "hex": "[0-9a-f]+",
+        "forge": "gh[pousr]_[0-9A-Za-z]{36}([^0-9A-Za-z]|$)",
+        "package": "npm_[0-9A-Za-z]{36}([^0-9A-Za-z]|$)",
+    }
+    digits = "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
+    value_of = _crc32("substr(found, 5, 30)")
+    checksum = " || ".join(f"substr('{digits}', 1 + ({value_of} // {62 ** (5 - k)} % 62)::INT, 1)" for k in range(6))
+    token = f"substr(found, 35, 6) = {checksum}"
+    holds = {
+        "assign": f"length(regexp_replace(found, '^{opening}', '')) >= 8",
+        "access": "length(found) >= 16",
+        "hex": "length(found) >= 32",
+        "forge": token,
+        "package": token,
+    }
+    parts = []
+    for number, (kind, pattern) in enumerate(patterns.items()):
+        length = "40" if kind in ("forge", "package") else "length(found)"
+        parts.append(f"""
+{kind}_lists AS (
+    SELECT row, regexp_extract_all(text, '{pattern}') AS found, string_split_regex(text, '{pattern}') AS gaps FROM texts
+),
+{kind}_gaps AS (SELECT row, unnest(found) AS found, unnest(gaps[1 : len(found)]) AS gap, unnest(range(len(found))) AS place FROM {kind}_lists),
+{kind}_placed AS (
+    SELECT row, found, sum(length(gap) + length(found)) OVER (PARTITION BY row ORDER BY place) - length(found) AS start FROM {kind}_gaps
+),
+{kind}_finds AS (
+    SELECT row, {number} AS number, '{kind}' AS kind, start::BIGINT AS start, (start + {length})::BIGINT AS stop FROM {kind}_placed WHERE {holds[kind]}
+)""")
+    every = " UNION ALL ".join(f"SELECT * FROM {kind}_finds" for kind in patterns)
+    listed = "string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, number)"
+    counts = ", ".join(f"count(*) FILTER (kind = '{kind}') AS n_{kind}" for kind in ("assign", "access", "hex"))
+    return f"""
+WITH texts AS (SELECT doc_id, row_number() OVER () AS row, coalesce(text, '') AS text FROM documents),
+{",".join(parts)},
+finds AS ({every}),
+sums AS (SELECT row, {counts}, {listed} FILTER (number < 3) AS base, {listed} AS spans FROM finds GROUP BY row)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+    sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM texts LEFT JOIN sums USING (row)"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op2_backoff_lm": _backoff_lm(),
@@ -166,4 +305,7 @@ def oracle_sql() -> dict[str, str]:
         "op4_repetition_rules": _repetition_rules(),
         "op5_suffix_tree_dedup": _word_dedup(),
         "op8_warc_revisits": _warc_revisits(),
+        "op11_merkle_manifest": _merkle_manifest(),
+        "op12_shallot_clustering": _shallot_clustering(),
+        "op13_secret_scan": _secret_scan(),
     }

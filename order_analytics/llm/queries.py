@@ -7,13 +7,28 @@ output.
 from __future__ import annotations
 
 from collections.abc import Callable
+from string import ascii_lowercase, ascii_uppercase
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from order_analytics.llm import backoff_lm, byte_bpe, byte_dedup, packing, repetition, sharding, simhash, vector_tree, warc, word_dedup
+from order_analytics.llm import (
+    backoff_lm,
+    bounded_kmeans,
+    byte_bpe,
+    byte_dedup,
+    merkle,
+    packing,
+    repetition,
+    secrets,
+    sharding,
+    simhash,
+    vector_tree,
+    warc,
+    word_dedup,
+)
 from order_analytics.llm.shipping import ship
 from order_analytics.operators.staging import new_path
 
@@ -78,6 +93,34 @@ def op10_vector_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_tree.nearest(vectors, vectors.filter("vec_id % 20 = 0"), k=20)
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lowered = F.translate("text", ascii_uppercase, ascii_lowercase)
+    changed = merkle.leaf([lowered if name == "text" else F.col(name) for name in merkle.FIELDS])
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0
+    return merkle.manifest(_table(spark, sf_dir, "documents"), claimed=F.when(tampered, changed))
+
+
+def op12_shallot_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    clustered = bounded_kmeans.cluster(_table(spark, sf_dir, "embeddings"), clusters=40, rounds=5, seed="2:")
+    return clustered.withColumn("centroid_sha256", bounded_kmeans.centroid_digest("centroid")).drop("centroid")
+
+
+BASE_SECRETS = ("assign", "access", "hex")
+
+
+def op13_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    def of_kinds(*kinds: str) -> Column:
+        return F.filter("finds", lambda find: find["kind"].isin(*kinds))
+
+    def listed(finds: Column) -> Column:
+        return F.array_join(F.transform(finds, lambda find: F.concat_ws(":", find["kind"], find["start"], find["end"])), ",")
+
+    found = secrets.scan(_table(spark, sf_dir, "documents"))
+    counts = [F.size(of_kinds(kind)).cast("bigint").alias(f"n_{kind}") for kind in BASE_SECRETS]
+    base = F.sha2(listed(of_kinds(*BASE_SECRETS)), 256)
+    return found.select("row.doc_id", *counts, base.alias("base_sha256"), listed(F.col("finds")).alias("spans"))
+
+
 def _shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         ship(spark)
@@ -98,6 +141,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_warc_revisits": op8_warc_revisits,
         "op9_vector_sharding": op9_vector_sharding,
         "op10_vector_tree": op10_vector_tree,
+        "op11_merkle_manifest": op11_merkle_manifest,
+        "op12_shallot_clustering": op12_shallot_clustering,
+        "op13_secret_scan": op13_secret_scan,
         "pipeline": corpus_pipeline.run,
     }
     return {name: _shipped(query) for name, query in found.items()}

@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import re
+import string
+import zlib
 from collections import Counter
 
 WORD = re.compile(rb"[^ \t-\r]+")
@@ -142,3 +145,92 @@ def best_fit(pieces, capacity: int, per_source: int) -> list[int]:
 
 def sha256(data: bytes) -> str:
     return hashlib.sha256(data).hexdigest()
+
+
+def digest(text: str) -> str:
+    return sha256(text.encode())
+
+
+def _tree(nodes: list[str], fan: int = 8) -> list[list[str]]:
+    levels = [nodes]
+    while len(levels[-1]) > 1:
+        below = levels[-1]
+        levels.append([digest("".join(below[k : k + fan])) for k in range(0, len(below), fan)])
+    return levels
+
+
+def _path(levels: list[list[str]], place: int, fan: int = 8) -> list[tuple[str, str]]:
+    out = []
+    for level in levels[:-1]:
+        first = place // fan * fan
+        out.append(("".join(level[first:place]), "".join(level[place + 1 : first + fan])))
+        place //= fan
+    return out
+
+
+def merkle_leaf(row) -> str:
+    return digest("".join("-" if value is None else f"{len(str(value).encode())}:{value}" for value in row))
+
+
+def manifest(rows, claim):
+    """rows of (doc_id, source, lang, n_chars, text) -> the manifest; ``claim`` gives the leaf that a row is held to."""
+    groups: dict = {}
+    for row in rows:
+        groups.setdefault(row[2], []).append(row)
+    order = sorted(groups, key=lambda lang: (lang is not None, (lang or "").encode()))
+    for held in groups.values():
+        held.sort(key=lambda row: (row[0] is not None, row[0] or 0, merkle_leaf(row)))
+    trees = [_tree([merkle_leaf(row) for row in groups[lang]]) for lang in order]
+    top = _tree([levels[-1][0] for levels in trees])
+    out = []
+    for number, lang in enumerate(order):
+        for place, row in enumerate(groups[lang]):
+            path = _path(trees[number], place) + _path(top, number)
+            node = claim(row)
+            for left, right in path:
+                node = digest(left + node + right)
+            proof = digest("".join(left + right for left, right in path))
+            out.append((row[0], merkle_leaf(row), trees[number][-1][0], top[-1][0], proof, node, node == top[-1][0]))
+    return out
+
+
+def clustering(rows, clusters: int, rounds: int, seed: str, dimensions: int):
+    """rows of (vec_id, vector) -> (vec_id, cluster, distance, cluster_inertia, inertia, centroid), by looking at all centroids."""
+    fit = [(i, v) for i, v in rows if v is not None and len(v) == dimensions and all(x is not None and math.isfinite(x) for x in v)]
+    held = [(i, [math.floor(256 * x) for x in v]) for i, v in fit]
+    if not held:
+        return []
+    centroids = [v for _, v in sorted(held, key=lambda r: (r[0] is None, "" if r[0] is None else digest(f"{seed}{r[0]}"), r[1]))[:clusters]]
+
+    def assigned():
+        ways = [[sum((x - y) ** 2 for x, y in zip(v, c, strict=True)) for c in centroids] for _, v in held]
+        return [min(range(len(centroids)), key=lambda k, way=way: (way[k], k)) for way in ways], [min(way) for way in ways]
+
+    for _ in range(rounds):
+        chosen, _ = assigned()
+        for number in range(len(centroids)):
+            members = [v for (_, v), k in zip(held, chosen, strict=True) if k == number]
+            if members:
+                centroids[number] = [sum(column) // len(members) for column in zip(*members, strict=True)]
+    chosen, ways = assigned()
+    within = Counter()
+    for number, way in zip(chosen, ways, strict=True):
+        within[number] += way
+    return [(i, k, way, within[k], sum(ways), centroids[k]) for (i, _), k, way in zip(held, chosen, ways, strict=True)]
+
+
+def secret_finds(text: str | None) -> list[tuple[int, int, int]]:
+    """(start, kind, end) by searches of the whole text."""
+    text, out = text or "", []
+    assign = r"(?ai)(?:password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)"
+    out += [(m.start(), 0, m.end()) for m in re.finditer(assign, text) if len(m[1]) >= 8]
+    out += [(m.start(), 1, m.end()) for m in re.finditer(r"AKIA[A-Z0-9]+", text) if len(m[0]) >= 16]
+    out += [(m.start(), 2, m.end()) for m in re.finditer(r"[0-9a-f]+", text) if len(m[0]) >= 32]
+    for kind, prefix in ((3, "gh[pousr]_"), (4, "npm_")):
+        for m in re.finditer(prefix + r"([0-9A-Za-z]{30})([0-9A-Za-z]{6})(?![0-9A-Za-z])", text):
+            value, digits = zlib.crc32(m[1].encode()), ""
+            while len(digits) < 6:
+                value, digit = divmod(value, 62)
+                digits = (string.digits + string.ascii_uppercase + string.ascii_lowercase)[digit] + digits
+            out += [(m.start(), kind, m.end())] if digits == m[2] else []
+    return sorted(out)

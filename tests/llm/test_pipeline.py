@@ -76,11 +76,11 @@ def test_stages_take_odd_rows_and_nothing(spark):
 @pytest.mark.parametrize("name", sorted(SQL))
 def test_query_equals_sql(spark, name):
     connection = duckdb.connect()
-    for table in ("documents", "pages"):
+    for table in ("documents", "pages", "embeddings"):
         connection.execute(f"CREATE VIEW {table} AS SELECT * FROM read_parquet('{SMALL}/{table}.parquet')")
     assert differences(queries.queries()[name](spark, SMALL), SQL[name], connection) is None
 
 
 def test_every_operator_is_registered():
     names = list(queries.queries())
-    assert [name.split("_")[0] for name in names] == [*(f"op{n}" for n in range(1, 11)), "pipeline"]
+    assert [name.split("_")[0] for name in names] == [*(f"op{n}" for n in range(1, 14)), "pipeline"]
