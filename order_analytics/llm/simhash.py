@@ -15,12 +15,8 @@ A key of more than ``CROWDED`` fingerprints would make too many comparisons. Its
 halfway: each gives itself and its 64 neighbours at one bit; two that share a value differ in at most two
 bits, and all that differ in at most two share one. That is exact too and has 65 rows for each.
 
-``near_copies`` is for texts that share most of their word shingles, and is exact. Each distinct shingle set is put in one order,
-rarest in a sample first; of two sets at least ``percent`` % similar, the prefixes of ``100 - percent`` % and one more share a
-shingle, whatever the order. The sets under a shingle meet in blocks of ``BLOCK``, each block with each, so no task holds more than two.
-Parities of the hashes on ``PARITIES`` bits bound how many shingles differ from below; what they and the sizes do not rule out is verified
-by the Jaccard similarity. A first round pairs each set with its nearest in a block and the first near one, whose links join
-the dense groups; a second round pairs all that meet and are not yet connected, so nothing is left out.
+``representatives`` keeps one row of each class: that with the smallest doc_id, rows without one last, then by a hash of the whole row. Rows
+equal in all columns are one row. A different text under a repeated or missing doc_id has its own class, so it stays.
 
 Null text: no words. Rows with a null doc_id take part and get a component, but never name one; a
 component without any id has a null name. Rows may repeat; each is returned. An empty table gives no rows.
@@ -35,7 +31,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from order_analytics.llm import golay
@@ -44,10 +40,6 @@ from order_analytics.llm.components import connected_components
 from order_analytics.operators import staging
 
 SEED = 42
-#: Bits of the parities, sets in a block, and sets compared with all others at a time.
-PARITIES, BLOCK, SLAB = 1024, 1_000, 256
-#: About how many texts are sampled for the order of shingles, and shingles placed by it.
-SAMPLE, COMMON = 8_192, 1 << 16
 DISTANCE = 2
 CROWDED = 2_000
 
@@ -84,18 +76,19 @@ def shingle_hashes(text: bytes, shingle: int) -> list[int]:
     return [digest(joined[a:b], SEED) for a, b in zip(starts, ends[shingle - 1 :].tolist(), strict=False)]
 
 
-def fingerprints(documents: DataFrame, shingle: int) -> DataFrame:
-    """(doc_id, print): the fingerprint as a signed 64-bit number."""
+def fingerprints(documents: DataFrame, shingle: int, row_hash: Column | None = None) -> DataFrame:
+    """(doc_id, row_hash, print): the fingerprint as a signed 64-bit number; the hash is 0 if none is asked for."""
 
     def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, _ in steps(batches, "text"):
             texts = rows.column("text").cast(pa.binary()).to_pylist()
             prints = np.array([fingerprint(text or b"", shingle) for text in texts], np.uint64)
-            yield pa.RecordBatch.from_arrays([rows.column("doc_id"), pa.array(signed(prints))], ["doc_id", "print"])
+            yield pa.RecordBatch.from_arrays([rows.column("doc_id"), rows.column("row_hash"), pa.array(signed(prints))], ["doc_id", "row_hash", "print"])
 
     kind = documents.schema["doc_id"].dataType.simpleString()
-    texts = documents.select("doc_id", F.col("text").cast("string").alias("text"))
-    return texts.mapInArrow(of_batches, f"doc_id {kind}, print bigint")
+    hashed = F.lit(0).cast("bigint") if row_hash is None else row_hash
+    texts = documents.select("doc_id", hashed.alias("row_hash"), F.col("text").cast("string").alias("text"))
+    return texts.mapInArrow(of_batches, f"doc_id {kind}, row_hash bigint, print bigint")
 
 
 def fuzzy_keys(prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -189,15 +182,19 @@ def links(prints: DataFrame, crowded: int = CROWDED) -> DataFrame:
     return _linked(sparse).union(_linked_halfway(dense)).distinct()
 
 
+def _rooted(distinct: DataFrame, crowded: int) -> DataFrame:
+    """The distinct fingerprints with the root of their class."""
+    roots = connected_components(links(distinct.select("print"), crowded))
+    joined = distinct.join(roots, distinct["print"] == roots["node"], "left")
+    return joined.select(*distinct.columns, F.coalesce("root", "print").alias("root"))
+
+
 def components(documents: DataFrame, shingle: int = 3, crowded: int = CROWDED) -> DataFrame:
     """(doc_id, fingerprint as 16 hex digits, component_id) of every row."""
     printed, _ = staging.write_table(fingerprints(documents, shingle), "fingerprints")
     held = printed.groupBy("print").agg(F.min("doc_id").alias("least_id"))
     distinct, _ = staging.write_table(held, "distinct-fingerprints")
-    roots = connected_components(links(distinct.select("print"), crowded))
-    rooted = distinct.join(roots, distinct["print"] == roots["node"], "left").select(
-        "print", "least_id", F.coalesce("root", "print").alias("root")
-    )
+    rooted = _rooted(distinct, crowded)
     named = rooted.groupBy("root").agg(F.min("least_id").alias("component_id"))
     by_print = rooted.join(named, "root").select("print", "component_id")
     return printed.join(by_print, "print").select(
@@ -205,213 +202,21 @@ def components(documents: DataFrame, shingle: int = 3, crowded: int = CROWDED) -
     )
 
 
-def sketch(hashes: np.ndarray, common: np.ndarray, counts: np.ndarray, percent: int) -> tuple[np.ndarray, bytes]:
-    """The prefix of a set of shingle hashes, and the parities of how many fall on each of ``PARITIES`` bits."""
-    seen = np.zeros(len(hashes), np.int64)
-    if len(common):
-        place = np.minimum(np.searchsorted(common, hashes), len(common) - 1)
-        seen = np.where(common[place] == hashes, counts[place], 0)
-    order = np.lexsort((hashes, seen))
-    length = len(hashes) - (len(hashes) * percent + 99) // 100 + 1
-    odd = np.bincount((hashes % np.uint64(PARITIES)).astype(np.int64), minlength=PARITIES) & 1
-    return hashes[order[:length]], np.packbits(odd.astype(np.uint8)).tobytes()
-
-
-def _shingle_set(text: bytes | None, shingle: int) -> np.ndarray:
-    return np.unique(np.array(shingle_hashes(text or b"", shingle), np.uint64))
-
-
-def _common(texts: DataFrame, shingle: int) -> tuple[np.ndarray, np.ndarray]:
-    """The shingles that repeat among the texts of a sample, by hash, and in how many of them."""
-    share = max(1, texts.count() // SAMPLE)
-    sample = texts.filter(F.pmod("text_id", F.lit(share)) == 0).dropDuplicates(["text_id"])
-    sets = _shingle_sets(sample.select(F.col("text_id").alias("node"), "text"), shingle)
-    counts = sets.select(F.explode("shingles").alias("hash")).groupBy("hash").agg(F.count("*").alias("n")).filter("n > 1")
-    most = counts.orderBy(F.desc("n"), "hash").limit(COMMON).toPandas()
-    hashes, n = most["hash"].to_numpy(np.int64).view(np.uint64), most["n"].to_numpy(np.int64)
-    order = np.argsort(hashes)
-    return hashes[order], n[order]
-
-
-def _meetings(nodes: DataFrame, block: int) -> DataFrame:
-    """(key, node, block): the sets that share a prefix shingle with another, those of a key numbered off in blocks."""
-
-    def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, ids, base = np.zeros(0, np.int64), np.zeros(0, np.int64), 0
-        for batch in batches:  # the last row waits for the next one's key
-            keys = np.concatenate([keys, batch.column("key").to_numpy()])
-            ids = np.concatenate([ids, batch.column("node").to_numpy()])
-            if len(keys) < 2:
-                continue
-            place, same = placed(keys, base)
-            kept = np.flatnonzero((place[:-1] > 0) | same)
-            yield _meeting_batch(keys[kept], ids[kept], place[kept])
-            keys, ids, base = keys[-1:], ids[-1:], int(place[-1])
-        if len(keys) and base:
-            yield _meeting_batch(keys, ids, np.array([base]))
-
-    def placed(keys: np.ndarray, base: int) -> tuple[np.ndarray, np.ndarray]:
-        same = keys[1:] == keys[:-1]
-        rows = np.arange(len(keys))
-        starts = np.maximum.accumulate(np.where(np.concatenate([[True], ~same]), rows, 0))
-        return rows - starts + np.where(starts == 0, base, 0), same
-
-    def _meeting_batch(keys: np.ndarray, ids: np.ndarray, place: np.ndarray) -> pa.RecordBatch:
-        columns = [pa.array(keys), pa.array(ids), pa.array((place // block).astype(np.int32))]
-        return pa.RecordBatch.from_arrays(columns, ["key", "node", "block"])
-
-    keyed = nodes.select(F.explode("prefix").alias("key"), "size", "node")
-    keyed = keyed.repartition("key").sortWithinPartitions("key", "size", "node")
-    return keyed.mapInArrow(of_batches, "key bigint, node bigint, block int")
-
-
-def near_pairs(bits: np.ndarray, sizes: np.ndarray, blocks: np.ndarray, roots: np.ndarray, percent: int, every: bool) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of places in one group whose parities and sizes do not rule the similarity out.
-
-    ``every`` one of different roots, or for each place its nearest and the first that is near. With two blocks, pairs across them only.
-    """
-    firsts, seconds = [], []
-    for low in range(0, len(bits), SLAB):
-        own = slice(low, low + SLAB)
-        distance = np.zeros((len(bits[own]), len(bits)), np.int32)
-        for word in range(bits.shape[1]):
-            distance += np.bitwise_count(bits[own, word, None] ^ bits[None, :, word])
-        one, two = sizes[own, None], sizes[None, :]
-        near = distance * (100 + percent) <= (one + two) * (100 - percent)
-        near &= np.minimum(one, two) * 100 >= np.maximum(one, two) * percent
-        near &= (roots[own, None] != roots[None, :]) if every else (np.arange(low, low + len(near))[:, None] != np.arange(len(bits))[None, :])
-        if blocks[0] != blocks[-1]:
-            near &= blocks[own, None] != blocks[None, :]
-        if every:
-            found = np.nonzero(near)
-        else:
-            some = np.flatnonzero(near.any(axis=1))
-            nearest = np.where(near, distance, PARITIES + 1).argmin(axis=1)[some]
-            found = np.concatenate([some, some]), np.concatenate([nearest, near.argmax(axis=1)[some]])
-        firsts.append(found[0] + low)
-        seconds.append(found[1])
-    return np.concatenate(firsts), np.concatenate(seconds)
-
-
-def _candidates(meetings: DataFrame, nodes: DataFrame, percent: int, every: bool) -> DataFrame:
-    """(node, other): pairs of sets to verify, of those that meet under a key; ``nodes`` has their root."""
-    columns = ("key", "low", "high", "block", "node", "size", "root")
-
-    def pair_runs(held: dict[str, np.ndarray]) -> pa.RecordBatch:
-        bits, sizes, ids = held["bits"], held["size"].astype(np.int64), held["node"]
-        starts = np.append(_run_starts(held), len(ids))
-        firsts, seconds = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-        for start, end in zip(starts[:-1].tolist(), starts[1:].tolist(), strict=True):
-            run = slice(start, end)
-            if end - start > 1:
-                one, other = near_pairs(bits[run], sizes[run], held["block"][run], held["root"][run], percent, every)
-                firsts.append(one + start)
-                seconds.append(other + start)
-        one, other = ids[np.concatenate(firsts)], ids[np.concatenate(seconds)]
-        pairs = np.unique(np.stack([np.minimum(one, other), np.maximum(one, other)]), axis=1)
-        return pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], ["node", "other"])
-
-    def _run_starts(held: dict[str, np.ndarray]) -> np.ndarray:
-        fresh = np.zeros(len(held["key"]), bool)
-        fresh[:1] = True
-        for name in ("key", "low", "high"):
-            fresh[1:] |= held[name][1:] != held[name][:-1]
-        return np.flatnonzero(fresh)
-
-    def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = None
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            more = {name: batch.column(name).to_numpy() for name in columns}
-            more["bits"] = np.frombuffer(b"".join(batch.column("bits").to_pylist()), np.uint64).reshape(batch.num_rows, -1)
-            held = more if held is None else {name: np.concatenate([held[name], more[name]]) for name in more}
-            done = int(_run_starts(held)[-1])
-            if done:
-                yield pair_runs({name: values[:done] for name, values in held.items()})
-                held = {name: values[done:] for name, values in held.items()}
-        if held is not None:
-            yield pair_runs(held)
-
-    rooted = meetings.join(nodes.select("node", "root"), "node") if every else meetings
-    groups = [F.max("block").alias("last")] + ([F.min("root").alias("least"), F.max("root").alias("most")] if every else [])
-    keys = rooted.groupBy("key").agg(*groups)
-    keys = keys.filter("least < most") if every else keys
-    dealt = meetings.join(keys.select("key", "last"), "key").withColumn("with", F.explode(F.sequence(F.lit(0), "last")))
-    dealt = dealt.select("key", F.least("block", "with").alias("low"), F.greatest("block", "with").alias("high"), "block", "node")
-    dealt = dealt.join(nodes.select("node", "size", "root", "bits"), "node").select(*columns, "bits")
-    dealt = dealt.repartition("key", "low", "high").sortWithinPartitions("key", "low", "high", "block", "node")
-    return dealt.mapInArrow(of_batches, "node bigint, other bigint").distinct()
-
-
-def _shingle_sets(texts: DataFrame, shingle: int) -> DataFrame:
-    """(node, shingles): the distinct shingle hashes of each text."""
-
-    def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows, _ in steps(batches, "text"):
-            found = [_shingle_set(text, shingle).view(np.int64) for text in rows.column("text").cast(pa.binary()).to_pylist()]
-            yield pa.RecordBatch.from_arrays([rows.column("node"), pa.array(found, pa.list_(pa.int64()))], ["node", "shingles"])
-
-    return texts.mapInArrow(of_batches, "node bigint, shingles array<bigint>")
-
-
-def _verified(candidates: DataFrame, texts: DataFrame, nodes: DataFrame, shingle: int, percent: int) -> DataFrame:
-    """The pairs whose shingle sets are as similar as asked."""
-    spark = texts.sparkSession
-    pairs, pairs_path = staging.write_table(candidates, "candidate-pairs")
-    staging.forget_shuffles(spark)
-    asked = pairs.select("node").union(pairs.select(F.col("other").alias("node"))).distinct()
-    asked = nodes.select("node", "text_id").join(asked, "node", "left_semi")
-    found = texts.select("text_id", "text").join(asked, "text_id").select("node", "text")
-    sets, sets_path = staging.write_table(_shingle_sets(found, shingle), "shingle-sets")
-    staging.forget_shuffles(spark)
-    sets = sets.dropDuplicates(["node"])
-    ours = sets.select("node", F.col("shingles").alias("ours"))
-    theirs = sets.select(F.col("node").alias("other"), F.col("shingles").alias("theirs"))
-    shared = F.size(F.array_intersect("ours", "theirs"))
-    either = F.size("ours") + F.size("theirs") - shared
-    verified = pairs.join(ours, "node").join(theirs, "other").filter(shared * 100 >= either * percent).select("node", "other")
-    verified, _ = staging.write_table(verified, "verified-pairs")
-    for path in (pairs_path, sets_path):
-        staging.drop_table(spark, path)
-    return verified
-
-
-def near_copies(documents: DataFrame, shingle: int = 5, percent: int = 80, block: int = BLOCK) -> DataFrame:
-    """(doc_id, component_id): classes of texts that are equal or linked by ``percent`` % of their shingles.
-
-    Rows are handled as by ``components``. Texts without words equal each other.
-    """
-    spark = documents.sparkSession
-    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    texts = documents.select("doc_id", F.xxhash64(text).alias("text_id"), text.alias("text"))
-    common = spark.sparkContext.broadcast(_common(texts, shingle))
-
-    def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows, _ in steps(batches, "text"):
-            sets = [_shingle_set(text, shingle) for text in rows.column("text").cast(pa.binary()).to_pylist()]
-            ids = np.array([xxhash.xxh64_intdigest(hashes.tobytes(), SEED) for hashes in sets], np.uint64)
-            prefixes, bits = zip(*(sketch(hashes, *common.value, percent) for hashes in sets), strict=True)
-            columns = [rows.column("doc_id"), rows.column("text_id"), pa.array(signed(ids)), pa.array([len(hashes) for hashes in sets], pa.int32())]
-            columns += [pa.array(bits, pa.binary()), pa.array([prefix.view(np.int64) for prefix in prefixes], pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "text_id", "node", "size", "bits", "prefix"])
-
-    kind = documents.schema["doc_id"].dataType.simpleString()
-    sketched = texts.mapInArrow(of_batches, f"doc_id {kind}, text_id bigint, node bigint, size int, bits binary, prefix array<bigint>")
-    sketched, _ = staging.write_table(sketched, "sketches")
-    held = [F.min(name).alias(name) for name in ("text_id", "size", "bits", "prefix")]
-    nodes, _ = staging.write_table(sketched.groupBy("node").agg(F.min("doc_id").alias("least_id"), *held), "distinct-sets")
-    meetings, meetings_path = staging.write_table(_meetings(nodes, block), "meetings")
-    staging.forget_shuffles(spark)
-
-    links = _verified(_candidates(meetings, nodes.withColumn("root", F.col("node")), percent, False), texts, nodes, shingle, percent)
-    roots = connected_components(links)
-    rooted = nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    rest = _verified(_candidates(meetings, rooted, percent, True), texts, nodes, shingle, percent)
-    roots = connected_components(roots.select("node", F.col("root").alias("other")).union(rest))
-    staging.drop_table(spark, meetings_path)
-
-    rooted = nodes.join(roots, "node", "left").select("node", "least_id", F.coalesce("root", "node").alias("root"))
-    named = rooted.groupBy("root").agg(F.min("least_id").alias("component_id"))
-    by_node = rooted.join(named, "root").select("node", "component_id")
-    return sketched.join(by_node, "node").select("doc_id", "component_id")
+def representatives(documents: DataFrame, shingle: int = 3, crowded: int = CROWDED) -> DataFrame:
+    """The first row of each class, with all its columns."""
+    row_hash = F.xxhash64(*[F.col(name) for name in documents.columns])
+    printed, _ = staging.write_table(fingerprints(documents, shingle, row_hash), "fingerprints")
+    # the smallest id, an absent one last; then the row's hash; and how many rows of the class are these
+    place = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "row_hash")
+    of_place = printed.groupBy("print", "doc_id", "row_hash").agg(F.count("*").alias("copies"))
+    first = F.min(F.struct(place.alias("place"), "copies")).alias("first")
+    distinct, _ = staging.write_table(of_place.groupBy("print").agg(first), "distinct-fingerprints")
+    chosen = _rooted(distinct, crowded).groupBy("root").agg(F.min("first").alias("first"))
+    chosen, _ = staging.write_table(chosen.select("first.place.doc_id", "first.place.row_hash", "first.copies"), "representatives")
+    wanted = chosen.select(F.col("doc_id").alias("chosen_id"), F.col("row_hash").alias("chosen_hash"), "copies")
+    hashed = documents.select(F.struct(*documents.columns).alias("row"), "doc_id", row_hash.alias("row_hash"))
+    same = F.col("doc_id").eqNullSafe(F.col("chosen_id")) & (F.col("row_hash") == F.col("chosen_hash"))
+    found = hashed.join(wanted, same).select("row.*", "copies")
+    # a row that stands several times is rare here, and its copies fall together ahead of the shuffle
+    single, several = found.filter("copies = 1"), found.filter("copies > 1")
+    return single.select(documents.columns).unionByName(several.select(documents.columns).dropDuplicates())

@@ -105,21 +105,15 @@ class Classes:
         self.parent[other] = one
 
 
-def shingles(text: str | None, size: int) -> set:
-    found = [word.lower() for word in words(text)]
-    return {tuple(found[k : k + size]) for k in range(len(found) - size + 1)} or {tuple(found)}
-
-
-def near_classes(rows, size=5, percent=80) -> dict:
-    sets = {doc_id: shingles(text, size) for doc_id, text in rows}
-    classes = Classes(sets)
-    ids = list(sets)
-    for place, one in enumerate(ids):
-        for other in ids[:place]:
-            shared = len(sets[one] & sets[other])
-            if shared * 100 >= percent * (len(sets[one]) + len(sets[other]) - shared):
+def near_classes(rows, print_of, bits=2) -> dict:
+    """Classes of fingerprints at most so many bits apart: print -> the class's smallest one."""
+    prints = sorted({print_of(row) for row in rows})
+    classes = Classes(prints)
+    for place, one in enumerate(prints):
+        for other in prints[:place]:
+            if (one ^ other).bit_count() <= bits:
                 classes.join(one, other)
-    return {doc_id: classes.find(doc_id) for doc_id in ids}
+    return {value: classes.find(value) for value in prints}
 
 
 def best_fit(pieces, capacity: int, per_source: int) -> list[int]:

@@ -93,31 +93,25 @@ def test_fingerprint_is_the_majority_of_hashes():
 def test_simhash_odd_rows(table):
     found = simhash.components(table([(None, "a b c d"), (None, "z"), (4, "a b c d"), (2, "a b c d")])).collect()
     assert sorted((str(r["doc_id"]), str(r["component_id"])) for r in found) == [("2", "2"), ("4", "2"), ("None", "2"), ("None", "None")]
-    assert simhash.components(table([])).count() == simhash.near_copies(table([])).count() == 0
-
-
-def test_near_copies_link_at_four_fifths(spark, table):
-    rows = [row for row in simhash_rows() if row[0] < 300] + [(300, None), (301, ""), (302, "one two"), (303, "ONE two")]
-    found = {row["doc_id"]: row["component_id"] for row in simhash.near_copies(table(rows)).collect()}
-    assert found == plain.near_classes(rows)
-    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
-    found = {row["doc_id"]: row["component_id"] for row in simhash.near_copies(docs).collect()}
-    assert found == plain.near_classes([(row["doc_id"], row["text"]) for row in docs.collect()])
-
-
-def test_near_copies_of_appended_and_cut_texts(table):
-    draw = random.Random(23)
-    vocabulary = [f"w{k}" for k in range(4_000)]
-    texts = []
-    for share in (0.11, 0.15, 0.18, 0.2, 0.22, 0.24, 0.26) * 12:
-        base = draw.choices(vocabulary, k=draw.randint(60, 240))
-        more = draw.choices(vocabulary, k=int(len(base) * share))
-        texts += [base, base + more] if draw.random() < 0.5 else [base + more, more[:3] + base]
-    rows = [(k, " ".join(text)) for k, text in enumerate(texts)]
-    wanted = plain.near_classes(rows)
-    assert 60 < len(rows) - len(set(wanted.values())) < 84
-    found = {row["doc_id"]: row["component_id"] for row in simhash.near_copies(table(rows)).collect()}
-    assert found == wanted
+    assert simhash.components(table([])).count() == simhash.representatives(table([])).count() == 0
+
+
+def test_representatives(table):
+    rows = simhash_rows() + [(None, None), (None, "z y x w"), (None, "z y x w"), (400, "Z y x w"), (2, "another text under this id"), (None, "alone here now")]
+    rows += [(None, "many copies of this")] * 3_000 + [(500, "copies with an id")] * 3_000
+    print_of = lambda row: simhash.fingerprint((row[1] or "").encode(), 3)
+    classes = plain.near_classes(rows, print_of)
+    first = {}
+    for row in rows:
+        first.setdefault(classes[print_of(row)], []).append((row[0] is None, row[0] or 0, row))
+    expected = [min(held, key=lambda place: place[:2])[2] for held in first.values()]
+    for crowded in (2_000, 3):
+        kept = simhash.representatives(table(rows), crowded=crowded)
+        assert kept.columns == table(rows).columns
+        found = kept.select("doc_id", "text").collect()
+        assert sorted(str(row["doc_id"]) for row in found) == sorted(str(row[0]) for row in expected)
+        assert len({classes[print_of(row)] for row in found}) == len(found) == len(first)
+    assert sum(row["text"] == "many copies of this" for row in found) == 1 and (2, "another text under this id") in [tuple(row) for row in found]
 
 
 def test_packing_is_best_fit(spark):

@@ -10,7 +10,7 @@ from oracle_check import differences
 from test_text_operators import similar_texts
 
 import corpus_pipeline
-from order_analytics.llm import oracle, packing, queries, repetition
+from order_analytics.llm import oracle, packing, queries, repetition, simhash
 
 DOCUMENT = "doc_id bigint, text string, lang string, source string, n_chars bigint"
 SQL = oracle.oracle_sql()
@@ -19,9 +19,12 @@ SQL = oracle.oracle_sql()
 def plain_stages(rows):
     """Documents that stay, with their text, after the first three stages."""
     kept = [row for row in rows if plain.repetition(row[1], repetition.COVERAGE_PERCENT)["kept"]]
-    classes = plain.near_classes([row[:2] for row in kept])
-    kept = [row for row in kept if classes[row[0]] == row[0]]
-    return classes, kept
+    print_of = lambda row: simhash.fingerprint((row[1] or "").encode(), 3)
+    classes = plain.near_classes(kept, print_of)
+    first = {}
+    for row in sorted(kept):
+        first.setdefault(classes[print_of(row)], row)
+    return classes, list(first.values())
 
 
 def test_each_stage_on_the_small_table(spark):
