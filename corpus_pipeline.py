@@ -6,10 +6,11 @@ return the columns of the documents. Null and repeated values: see each stage an
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from order_analytics.llm import byte_dedup, packing, repetition, simhash
+from order_analytics.llm.shipping import ship
 from order_analytics.operators.staging import write_table
 
 
@@ -19,16 +20,11 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class of copies and near copies: that with the smallest doc_id.
+    """One document of each class of near copies by SimHash: that with the smallest doc_id.
 
-    Rows without doc_id cannot be named, so all of them stay. Of rows that share a doc_id one stays.
+    Three-word shingles, fingerprints at most two bits apart. Rows without doc_id come last in their class.
     """
-    classes = simhash.near_copies(docs)
-    chosen = classes.filter("doc_id = component_id").select("doc_id").distinct()
-    first = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"), "source")
-    ranked = docs.join(chosen, "doc_id", "left_semi").withColumn("_rank", F.row_number().over(first))
-    named = ranked.filter("_rank = 1").drop("_rank").select(docs.columns)
-    return named.unionByName(docs.filter("doc_id is null"))
+    return simhash.representatives(docs, shingle=3)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -58,6 +54,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``; each one's rows are written, and read as the next one's."""
+    ship(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for number, (name, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
