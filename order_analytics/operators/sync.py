@@ -11,7 +11,7 @@ from order_analytics.operators import quality
 from order_analytics.schemas import TableSpec
 from order_analytics.sources import snapshots
 
-ACTIONS = ("INSERT", "UPDATE", "DELETE", "UNCHANGED")
+ACTIONS = snapshots.ACTIONS
 
 
 def snapshot_changes(

@@ -238,6 +238,18 @@ SELECT coalesce(t.ORDER_ID, s.ORDER_ID) AS ORDER_ID, coalesce(t.LINEITEM_ID, s.L
        WHEN t.OTHER_PRICE = 1 THEN 'UPDATE' ELSE 'UNCHANGED' END AS ACTION
 FROM older t FULL JOIN newer s ON t.ORDER_ID = s.ORDER_ID AND t.LINEITEM_ID = s.LINEITEM_ID
   AND t.RESTAURANT_ID = s.RESTAURANT_ID AND t.CREATION_TIME_UTC = s.CREATION_TIME_UTC""",
+    "week_before": "SELECT * FROM items WHERE NOT o_orderdate >= DATE '2001-07-25'",
+    "week_after": "SELECT * FROM items WHERE NOT (o_orderdate >= DATE '2001-07-01' AND l_returnflag = 'R')",
+    "week_changes": """
+SELECT *, (year(CREATION_TIME_UTC) * 12 + month(CREATION_TIME_UTC)) * 4
+  + CAST('0x' || left(md5(concat_ws('|', ORDER_ID, LINEITEM_ID, RESTAURANT_ID, CAST(CREATION_TIME_UTC AS VARCHAR))), 7) AS BIGINT) % 4 AS BUCKET
+FROM (
+  SELECT coalesce(t.ORDER_ID, s.ORDER_ID) AS ORDER_ID, coalesce(t.LINEITEM_ID, s.LINEITEM_ID) AS LINEITEM_ID,
+    coalesce(t.RESTAURANT_ID, s.RESTAURANT_ID) AS RESTAURANT_ID, coalesce(t.CREATION_TIME_UTC, s.CREATION_TIME_UTC) AS CREATION_TIME_UTC,
+    CASE WHEN t.ORDER_ID IS NULL THEN 'INSERT' WHEN s.ORDER_ID IS NULL THEN 'DELETE'
+         WHEN s.o_orderdate >= DATE '2001-07-01' AND s.l_linestatus = 'O' THEN 'UPDATE' ELSE 'UNCHANGED' END AS ACTION
+  FROM week_before t FULL JOIN week_after s ON t.ORDER_ID = s.ORDER_ID AND t.LINEITEM_ID = s.LINEITEM_ID
+    AND t.RESTAURANT_ID = s.RESTAURANT_ID AND t.CREATION_TIME_UTC = s.CREATION_TIME_UTC)""",
     "days": """
 SELECT CAST(unnest(generate_series(CAST(min(o_orderdate) AS DATE), CAST(max(o_orderdate) AS DATE), INTERVAL 1 DAY)) AS DATE)
   AS DATE_KEY FROM orders""",
@@ -425,6 +437,13 @@ WHERE VALUE <> 0""",
   FROM (VALUES (1), (2)) r(RUN), (VALUES ('INSERT_ROWS'), ('UPDATE_ROWS'), ('DELETE_ROWS'), ('UNCHANGED_ROWS'),
     ('TARGET_ROWS'), ('FINAL_ROWS'), ('VERSION')) m(METRIC), (SELECT count(*) AS N FROM options)""",
     "post_merge_checks": """SELECT count(*) AS "ROWS", CAST(0 AS BIGINT) AS DUPLICATE_KEYS FROM newer""",
+    "sync_changed_buckets": """SELECT ACTION, ORDER_ID, LINEITEM_ID, RESTAURANT_ID, CREATION_TIME_UTC, CAST(BUCKET AS INT) AS BUCKET,
+  (SELECT count(*) FROM week_changes WHERE ACTION = 'UNCHANGED') AS UNCHANGED_ROWS, (SELECT count(*) FROM week_after) AS FINAL_ROWS,
+  (SELECT count(DISTINCT BUCKET) FROM week_changes w WHERE ACTION <> 'INSERT' AND BUCKET IN (
+    SELECT BUCKET FROM week_changes WHERE ACTION <> 'UNCHANGED')) AS BUCKETS_READ,
+  (SELECT count(DISTINCT BUCKET) FROM week_changes w WHERE ACTION <> 'DELETE' AND BUCKET IN (
+    SELECT BUCKET FROM week_changes WHERE ACTION <> 'UNCHANGED')) AS BUCKETS_WRITTEN
+  FROM week_changes WHERE ACTION <> 'UNCHANGED'""",
     "trend_of_restaurants": MART_TREND + "(SELECT * REPLACE (coalesce(ITEM_CATEGORY, 'UNKNOWN') AS ITEM_CATEGORY) FROM monthly) WHERE RESTAURANT_ID IN ('R001', 'R007', 'R013')",
     "rfm_table_of_segments": f"SELECT {RFM_COLUMNS} FROM rfm WHERE RFM_SEGMENT IN ('VIP', 'CHURN_RISK')",
     "gate_cast_failures": """SELECT 'order_items' AS "TABLE", 'CAST_CREATION_TIME_UTC' AS RULE,

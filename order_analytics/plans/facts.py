@@ -55,7 +55,8 @@ def order_category_fact(lines: DataFrame) -> DataFrame:
     It serves the order fact and all trend marts. Lines are summed per order, category, user and flag
     with partial sums ahead of the shuffle, so an order with very many lines collapses early. All the
     rest is local to one repartitioning by order: the order's figures come from a window over its few
-    summed rows, and LEADS_ORDER marks one row per order.
+    summed rows, and LEADS_ORDER marks one row per order. They are few because the gate on orders has passed:
+    an order has one user and one flag.
     """
     summed = lines.groupBy(*ORDER_KEY, "ITEM_CATEGORY", "USER_ID", "LOYALTY_FLAG").agg(
         F.min("CREATION_TIME_UTC").alias("FIRST_TIME"),
@@ -67,8 +68,6 @@ def order_category_fact(lines: DataFrame) -> DataFrame:
     whole_order = {
         "ORDER_USER": F.min("USER_ID").over(order),
         "ORDER_LOYALTY": F.min("LOYALTY_FLAG").over(order),
-        "USER_DIFFERS": F.min("USER_ID").over(order) != F.max("USER_ID").over(order),
-        "LOYALTY_DIFFERS": F.min("LOYALTY_FLAG").over(order) != F.max("LOYALTY_FLAG").over(order),
         "ORDER_TIMESTAMP": F.min("FIRST_TIME").over(order),
         "ORDER_REVENUE": F.sum("REVENUE").over(order).cast(MONEY),
         "HAS_DISCOUNT": F.max("HAS_ZERO_PRICE_OPTION").over(order),

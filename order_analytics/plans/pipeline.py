@@ -109,7 +109,7 @@ def build_marts(spark: SparkSession, typed_root: str, mart_root: str, summary: R
     summary.add("gate", "mart inputs", **gate_mart_inputs(items, options))
     dataset = OrderDataset(items, options)
     try:
-        consistency = quality.order_consistency_checks(dataset.order_categories)
+        consistency = quality.order_consistency_checks(items)
         summary.add("gate", "orders", **quality.enforce(consistency, "orders"))
         summary.add("profile", "orders", **quality.user_id_diagnostics(dataset.orders).first().asDict())
         summary.add("profile", "order_item_options", ORPHANS=facts.orphan_options(items, options).count())

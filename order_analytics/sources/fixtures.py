@@ -214,3 +214,18 @@ def earlier_order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
 def later_order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A newer snapshot: returned lines are gone."""
     return _select(_lines(spark, sf_dir).filter("l_returnflag <> 'R'"), ITEM_COLUMNS)
+
+
+LAST_MONTH, LAST_WEEK = "o_orderdate >= DATE'2001-07-01'", "o_orderdate >= DATE'2001-07-25'"
+
+
+def order_items_before_the_last_week(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All lines but those of the newest orders."""
+    return _select(_lines(spark, sf_dir).filter(f"NOT ({LAST_WEEK})"), ITEM_COLUMNS)
+
+
+def order_items_after_the_last_week(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The newest orders are there; of the last month, returned lines are gone and open ones have another price."""
+    newer = _lines(spark, sf_dir).filter(f"NOT ({LAST_MONTH} AND l_returnflag = 'R')")
+    price = f"CAST(CASE WHEN {LAST_MONTH} AND l_linestatus = 'O' THEN l_extendedprice + 1 ELSE l_extendedprice END AS float)"
+    return _select(newer, ITEM_COLUMNS | {"ITEM_PRICE": price})

@@ -18,6 +18,9 @@ from pyspark.sql.types import StructType
 PREFIX = "v="
 PUBLISHED = "_PUBLISHED"
 
+#: What a sync may do to a row.
+ACTIONS = ("INSERT", "UPDATE", "DELETE", "UNCHANGED")
+
 
 def _file_system(spark: SparkSession, path: str):
     location = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -42,6 +45,22 @@ def _versions(spark: SparkSession, path: str, published_only: bool) -> list[int]
     ]
 
 
+def published_versions(spark: SparkSession, path: str) -> list[int]:
+    return sorted(_versions(spark, path, published_only=True))
+
+
+def all_versions(spark: SparkSession, path: str) -> list[int]:
+    """Candidates included."""
+    return sorted(_versions(spark, path, published_only=False))
+
+
+def child_folders(spark: SparkSession, path: str) -> list[str]:
+    files, location = _file_system(spark, path)
+    if not files.exists(location):
+        return []
+    return [entry.getPath().getName() for entry in files.listStatus(location) if entry.isDirectory()]
+
+
 def current_version(spark: SparkSession, path: str) -> int | None:
     return max(_versions(spark, path, published_only=True), default=None)
 

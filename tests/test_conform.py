@@ -155,9 +155,7 @@ def test_revenue_and_join_key_gates(frame):
 
 def test_consistency_gate_compares_raw_users_and_ignores_null(frame):
     def found(*items):
-        return violations(quality.order_consistency_checks(
-            facts.order_category_fact(facts.line_fact(frame(list(items), ITEM_SCHEMA), frame([], OPTION_SCHEMA)))
-        ))
+        return violations(quality.order_consistency_checks(frame(list(items), ITEM_SCHEMA)))
 
     clean = found(item(), item(line="L2", user=None, loyalty="TRUE"), item(line="L3", loyalty=" true"))
     assert set(clean.values()) == {0}
@@ -166,6 +164,16 @@ def test_consistency_gate_compares_raw_users_and_ignores_null(frame):
     assert set(found(item(), item(restaurant="R2", user="u2")).values()) == {0}
 
 
+def test_consistency_gate_takes_one_order_of_many_users(spark):
+    users = spark.range(100_000).selectExpr(
+        "'O1' AS ORDER_ID", "'R1' AS RESTAURANT_ID", "concat('u', id) AS USER_ID", "CASE WHEN id % 2 = 0 THEN 'TRUE' END AS IS_LOYALTY"
+    )
+    checks = quality.order_consistency_checks(users)
+    assert violations(checks) == {"ORDER_WITH_SEVERAL_USERS": 1, "ORDER_WITH_SEVERAL_LOYALTY": 0}
+    plan = checks._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "SortAggregate" not in plan and "Join" not in plan
+
+
 def test_score_and_span_gates(frame):
     scores = frame([(0, 1, 0, 2), (0, 2, 1, 3)], "FREQUENCY_6M int, F_SCORE int, MONETARY_6M int, M_SCORE int")
     assert violations(quality.run_checks(scores, quality.rfm_rules())) == {
