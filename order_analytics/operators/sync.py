@@ -39,6 +39,24 @@ def snapshot_changes(
     return matched.select(*key, action.alias("ACTION"))
 
 
+def paired_rows(old: DataFrame, new: DataFrame, key: Sequence[str], compare: Sequence[str]) -> DataFrame:
+    """The key, ``ACTION``, and the row before (``OLD``) and after (``NEW``), NULL where there is none, of every key of two snapshots."""
+    compared = [name for name in compare if name not in key]
+
+    def side(rows: DataFrame, name: str) -> DataFrame:
+        return rows.select(*key, F.struct(*new.columns).alias(name))
+
+    same = F.struct(F.lit(True), *[F.col(f"OLD.{name}") for name in compared]).eqNullSafe(F.struct(F.lit(True), *[F.col(f"NEW.{name}") for name in compared]))
+    action = F.when(F.col("OLD").isNull(), "INSERT").when(F.col("NEW").isNull(), "DELETE").when(same, "UNCHANGED").otherwise("UPDATE")
+    joined = side(old, "OLD").join(side(new, "NEW"), on=list(key), how="full_outer")
+    return joined.select(*key, action.alias("ACTION"), "OLD", "NEW")
+
+
+def changed_rows(old: DataFrame, new: DataFrame, key: Sequence[str], compare: Sequence[str]) -> DataFrame:
+    """``ACTION``, ``OLD`` and ``NEW`` of the rows that differ."""
+    return paired_rows(old, new, key, compare).filter("ACTION <> 'UNCHANGED'").select("ACTION", "OLD", "NEW")
+
+
 def change_summary(changes: DataFrame) -> DataFrame:
     """One row: rows per action, and rows before and after."""
     return changes.agg(

@@ -272,6 +272,7 @@ LIFETIME = f"""{money('LIFETIME_CENTS')} AS LIFETIME_REVENUE, LIFETIME_ORDER_COU
 LINEAGE = "TIMESTAMP '2026-01-01 00:00:00' AS _INGESTED_AT, '{}' AS _SOURCE_TABLE, 'FULL_DAILY' AS _LOAD_TYPE"
 MART_TREND = f"""SELECT PERIOD_START_DATE, RESTAURANT_ID, ITEM_CATEGORY, {money('CENTS')} AS TOTAL_REVENUE, ORDER_COUNT,
   ITEM_QUANTITY, {money(half_up('CENTS', 'ORDER_COUNT'))} AS AVERAGE_ORDER_VALUE FROM """
+TREND_KEY = "concat_ws('|', CAST(PERIOD_START_DATE AS VARCHAR), RESTAURANT_ID, coalesce(ITEM_CATEGORY, ''))"
 SUM_REVENUE = f"{money('sum(CENTS)')} AS TOTAL_REVENUE"
 RFM_COLUMNS = f"""USER_ID, LAST_ORDER_DATE, FREQUENCY_6M, {money('MONETARY_CENTS')} AS MONETARY_6M, RECENCY_DAYS,
   R_SCORE, F_SCORE, M_SCORE, RFM_SEGMENT"""
@@ -444,6 +445,15 @@ WHERE VALUE <> 0""",
   (SELECT count(DISTINCT BUCKET) FROM week_changes w WHERE ACTION <> 'DELETE' AND BUCKET IN (
     SELECT BUCKET FROM week_changes WHERE ACTION <> 'UNCHANGED')) AS BUCKETS_WRITTEN
   FROM week_changes WHERE ACTION <> 'UNCHANGED'""",
+    "mart_refresh": f"""SELECT 'sales_trends_daily' AS MART, {TREND_KEY} AS "KEY", {money('CENTS')} AS TOTAL_REVENUE, ORDER_COUNT, ITEM_QUANTITY AS OTHER,
+    '' AS LABEL FROM daily
+  UNION ALL SELECT 'sales_trends_weekly', {TREND_KEY}, {money('CENTS')}, ORDER_COUNT, ITEM_QUANTITY, '' FROM weekly
+  UNION ALL SELECT 'sales_trends_monthly', {TREND_KEY}, {money('CENTS')}, ORDER_COUNT, ITEM_QUANTITY, '' FROM monthly
+  UNION ALL SELECT 'churn_indicators', USER_ID, CURRENT_30_DAY_SPEND, LIFETIME_ORDER_COUNT, DAYS_SINCE_LAST_ORDER, CHURN_STATUS FROM churn
+  UNION ALL SELECT 'loyalty_program_impact', LOYALTY_STATUS, TOTAL_REVENUE, ORDER_COUNT, USER_COUNT, CAST(AVG_LIFETIME_REVENUE_PER_USER AS VARCHAR) FROM loyalty
+  UNION ALL SELECT 'restaurant_performance', RESTAURANT_ID, TOTAL_REVENUE, ORDER_COUNT, USER_COUNT,
+    concat_ws('|', CAST(FIRST_ORDER_DATE AS VARCHAR), CAST(LAST_ORDER_DATE AS VARCHAR), CAST(REVENUE_RANK AS VARCHAR), CAST(REVENUE_PER_USER AS VARCHAR)) FROM restaurants
+  UNION ALL SELECT 'discount_effectiveness', DISCOUNT_STATUS, {money('CENTS')}, ORDER_COUNT, USER_COUNT, '' FROM discount_sums""",
     "trend_of_restaurants": MART_TREND + "(SELECT * REPLACE (coalesce(ITEM_CATEGORY, 'UNKNOWN') AS ITEM_CATEGORY) FROM monthly) WHERE RESTAURANT_ID IN ('R001', 'R007', 'R013')",
     "rfm_table_of_segments": f"SELECT {RFM_COLUMNS} FROM rfm WHERE RFM_SEGMENT IN ('VIP', 'CHURN_RISK')",
     "gate_cast_failures": """SELECT 'order_items' AS "TABLE", 'CAST_CREATION_TIME_UTC' AS RULE,
@@ -480,6 +490,14 @@ WHERE VALUE <> 0""",
 }
 
 
+#: Statements over the lines of the later snapshot.
+AFTER_THE_LAST_WEEK = {"mart_refresh"}
+LATER_ITEMS = (
+    PARTS["items"].replace(FLOAT_CENTS, f"CASE WHEN o_orderdate >= DATE '2001-07-01' AND l_linestatus = 'O' THEN {FLOAT_CENTS.replace('l_extendedprice', 'l_extendedprice + 1')} ELSE {FLOAT_CENTS} END")
+    + " WHERE NOT (o_orderdate >= DATE '2001-07-01' AND l_returnflag = 'R')"
+)
+
+
 def _needed(sql: str, found: dict[str, None]) -> dict[str, None]:
     """The named parts a statement uses, each after the ones it uses itself."""
     words = set(re.findall(r"[a-z_]+", sql))
@@ -493,6 +511,7 @@ def _needed(sql: str, found: dict[str, None]) -> dict[str, None]:
 def oracle_sql() -> dict[str, str]:
     statements = {}
     for name, sql in QUERIES.items():
-        parts = ",\n".join(f"{part} AS ({PARTS[part]}\n)" for part in _needed(sql, {}))
+        texts = PARTS | {"items": LATER_ITEMS} if name in AFTER_THE_LAST_WEEK else PARTS
+        parts = ",\n".join(f"{part} AS ({texts[part]}\n)" for part in _needed(sql, {}))
         statements[name] = f"WITH {parts}\n{sql}"
     return statements

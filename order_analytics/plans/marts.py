@@ -120,9 +120,12 @@ def sales_trends_monthly(daily: DataFrame) -> DataFrame:
     return _coarser(daily, month_start("PERIOD_START_DATE"))
 
 
+def loyalty_status() -> Column:
+    return F.when(F.col("LATEST_LOYALTY_FLAG") == 1, "LOYALTY_MEMBER").otherwise("NON_MEMBER")
+
+
 def customer_loyalty_stats(profile: DataFrame) -> DataFrame:
     """Membership by the latest order, and whether the customer came back."""
-    member = F.when(F.col("LATEST_LOYALTY_FLAG") == 1, "LOYALTY_MEMBER").otherwise("NON_MEMBER")
     # The columns and labels of this mart.
     return profile.select(
         "USER_ID",
@@ -132,7 +135,7 @@ def customer_loyalty_stats(profile: DataFrame) -> DataFrame:
         "LAST_ORDER_DATE",
         "LIFETIME_AVG_ORDER_VALUE",
         "LATEST_LOYALTY_FLAG",
-        member.alias("LOYALTY_STATUS"),
+        loyalty_status().alias("LOYALTY_STATUS"),
         F.when(F.col("LIFETIME_ORDER_COUNT") > 1, 1).otherwise(0).alias("IS_REPEAT_USER"),
     )
 
@@ -153,18 +156,23 @@ def loyalty_program_impact(profile: DataFrame) -> DataFrame:
     )
 
 
-def restaurant_performance(orders: DataFrame, stage: Stage | None = None) -> DataFrame:
-    """Totals, activity span, rates and revenue rank per restaurant.
-
-    Rates divide by the calendar span from first to last order, empty days and weeks included.
-    """
-    totals = orders.groupBy("RESTAURANT_ID").agg(
+def restaurant_totals(orders: DataFrame) -> DataFrame:
+    return orders.groupBy("RESTAURANT_ID").agg(
         F.sum("ORDER_REVENUE").cast(MONEY).alias("TOTAL_REVENUE"),
         F.count(F.lit(1)).alias("ORDER_COUNT"),
         F.count_distinct("USER_ID").alias("USER_COUNT"),
         F.min("ORDER_DATE").alias("FIRST_ORDER_DATE"),
         F.max("ORDER_DATE").alias("LAST_ORDER_DATE"),
     )
+
+
+def restaurant_performance(orders: DataFrame, stage: Stage | None = None) -> DataFrame:
+    """Totals, activity span, rates and revenue rank per restaurant."""
+    return rated_restaurants(restaurant_totals(orders), stage)
+
+
+def rated_restaurants(totals: DataFrame, stage: Stage | None = None) -> DataFrame:
+    """Rates divide by the calendar span from first to last order, empty days and weeks included."""
     if stage is not None:
         totals = stage.keep(totals, "restaurant-totals")  # one small row each: the rank reads them three times
     spans = totals.withColumns(
@@ -189,9 +197,12 @@ def restaurant_performance(orders: DataFrame, stage: Stage | None = None) -> Dat
     return ranking.dense_rank(rated, "TOTAL_REVENUE", "REVENUE_RANK", descending=True, stage=stage)
 
 
+def discount_status() -> Column:
+    return F.when(F.col("HAS_DISCOUNT") == 1, "DISCOUNTED").otherwise("NON_DISCOUNTED")
+
+
 def discount_effectiveness(orders: DataFrame) -> DataFrame:
-    status = F.when(F.col("HAS_DISCOUNT") == 1, "DISCOUNTED").otherwise("NON_DISCOUNTED")
-    groups = orders.groupBy(status.alias("DISCOUNT_STATUS")).agg(
+    groups = orders.groupBy(discount_status().alias("DISCOUNT_STATUS")).agg(
         F.count(F.lit(1)).alias("ORDER_COUNT"),
         F.sum("ORDER_REVENUE").cast(MONEY).alias("TOTAL_REVENUE"),
         F.count_distinct("USER_ID").alias("USER_COUNT"),

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from order_analytics import session
 from order_analytics.functions.columns import offset_timestamp, short_id
 from order_analytics.operators import conform, quality, staging, sync
-from order_analytics.plans import facts, marts, pipeline, reports
+from order_analytics.plans import facts, marts, pipeline, refresh, reports
 from order_analytics.plans.dataset import OrderDataset
 from order_analytics.schemas import DATE_DIM, LINEAGE_FIELDS, ORDER_ITEM_OPTIONS, ORDER_ITEMS, TABLES, TableSpec
 from order_analytics.sources import buckets, fixtures, mart_store, snapshots
@@ -294,6 +294,43 @@ def sync_changed_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return named.withColumns({name: F.lit(summary[name]).cast("bigint") for name in counted})
 
 
+def _figures(state: refresh.MartState) -> DataFrame:
+    """The additive marts of a state in one shape: MART, KEY, revenue, orders, one more count and a label."""
+
+    def shaped(name: str, key: str, revenue: str, orders: str, other: str, label: str) -> DataFrame:
+        columns = {"MART": f"'{name}'", "KEY": key, "TOTAL_REVENUE": revenue, "ORDER_COUNT": orders, "OTHER": f"cast({other} AS bigint)", "LABEL": label}
+        return _select_exprs(state.mart(name), columns)
+
+    trend = "concat_ws('|', PERIOD_START_DATE, RESTAURANT_ID, coalesce(ITEM_CATEGORY, ''))"
+    span = "concat_ws('|', FIRST_ORDER_DATE, LAST_ORDER_DATE, REVENUE_RANK, REVENUE_PER_USER)"
+    average = "cast(AVG_LIFETIME_REVENUE_PER_USER AS string)"
+    figures = [shaped(name, trend, "TOTAL_REVENUE", "ORDER_COUNT", "ITEM_QUANTITY", "''") for name in ("sales_trends_daily", *refresh.PERIODS)]
+    figures += [
+        shaped("churn_indicators", "USER_ID", "CURRENT_30_DAY_SPEND", "LIFETIME_ORDER_COUNT", "DAYS_SINCE_LAST_ORDER", "CHURN_STATUS"),
+        shaped("loyalty_program_impact", "LOYALTY_STATUS", "TOTAL_REVENUE", "ORDER_COUNT", "USER_COUNT", average),
+        shaped("restaurant_performance", "RESTAURANT_ID", "TOTAL_REVENUE", "ORDER_COUNT", "USER_COUNT", span),
+        shaped("discount_effectiveness", "DISCOUNT_STATUS", "TOTAL_REVENUE", "ORDER_COUNT", "USER_COUNT", "''"),
+    ]
+    return reduce(DataFrame.unionByName, figures)
+
+
+def _select_exprs(df: DataFrame, columns: dict[str, str]) -> DataFrame:
+    return df.select(*[F.expr(text).alias(name) for name, text in columns.items()])
+
+
+def mart_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Marts of an earlier snapshot brought up to date from what a later one changed: lines and options come, go and change."""
+    items = [build(spark, sf_dir) for build in (fixtures.order_items_before_the_last_week, fixtures.order_items_after_the_last_week)]
+    later = fixtures.order_item_options(spark, sf_dir)
+    options = [later.filter(~F.col("LINEITEM_ID").endswith("00")), later]
+    state = refresh.build(items[0], options[0])
+    changes = [
+        sync.changed_rows(*items, ORDER_ITEMS.key, ORDER_ITEMS.business_columns),
+        sync.changed_rows(*options, ORDER_ITEM_OPTIONS.key, ORDER_ITEM_OPTIONS.business_columns),
+    ]
+    return _figures(refresh.refresh(state, items[1], options[1], changes))
+
+
 def coerced_types(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = conform.normalize_columns(fixtures.flawed_order_items(spark, sf_dir))
     texts = raw.withColumn("CREATION_TIME_UTC", F.regexp_replace("CREATION_TIME_UTC", r" \+00:00$", ""))
@@ -319,6 +356,7 @@ TABLE_QUERIES = {
     "snapshot_initial_sync": snapshot_initial_sync,
     "post_merge_checks": post_merge_checks,
     "sync_changed_buckets": sync_changed_buckets,
+    "mart_refresh": mart_refresh,
     "gate_cast_failures": gate_cast_failures,
     "gate_null_keys": gate_null_keys,
     "gate_conflicting_keys": gate_conflicting_keys,

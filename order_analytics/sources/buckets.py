@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from order_analytics.operators import quality, staging
+from order_analytics.operators import sync as sync_rows
 from order_analytics.schemas import TableSpec
 from order_analytics.sources import snapshots
 
@@ -125,23 +126,6 @@ def _too_old(held: dict[int, Entry]) -> set[int]:
     return {number for number, entry in held.items() if entry.version in gone and entry.rows}
 
 
-def _merged(old: DataFrame, new: DataFrame, table: BucketedTable) -> DataFrame:
-    """``BUCKET``, ``ACTION``, ``OLD`` and ``NEW`` of every row of the touched buckets. A row that did not change keeps its old lineage."""
-    columns = table.spec.schema.names
-    key = list(table.spec.key)
-    compared = [name for name in table.compare if name not in key]
-
-    def side(rows: DataFrame, name: str) -> DataFrame:
-        return rows.select(BUCKET, *key, F.struct(*columns).alias(name))
-
-    joined = side(old, "OLD").join(side(new, "NEW"), on=[BUCKET, *key], how="full_outer")
-    same = reduce(lambda one, other: one & other, [F.col(f"OLD.{name}").eqNullSafe(F.col(f"NEW.{name}")) for name in compared], F.lit(True))
-    action = (
-        F.when(F.col("OLD").isNull(), "INSERT").when(F.col("NEW").isNull(), "DELETE").when(same, "UNCHANGED").otherwise("UPDATE")
-    )
-    return joined.select(BUCKET, action.alias("ACTION"), "OLD", "NEW")
-
-
 def _write_buckets(rows: DataFrame, path: str, version: int, table: BucketedTable, touched: int) -> dict[int, int]:
     """Write each touched bucket as one folder, sorted by key; the rows in each."""
     placed = rows.repartition(max(1, touched), BUCKET).sortWithinPartitions(BUCKET, *table.spec.key)
@@ -180,12 +164,14 @@ def sync(spark: SparkSession, path: str, source: DataFrame, table: BucketedTable
         keys = quality.key_summary(new, table.spec.key).first().asDict()
         quality.require_none({f"DUPLICATE_KEY_{table.spec.name.upper()}": keys["DUPLICATE_KEYS"]}, table.spec.name)
         old = _read(spark, path, {n: held[n] for n in touched if n in held}, schema)
-        merged, staged = staging.write_table(_merged(old, new, table), "merged")
+        paired = sync_rows.paired_rows(old.select(new.columns), new, [BUCKET, *table.spec.key], table.compare)
+        merged, staged = staging.write_table(paired.select(BUCKET, "ACTION", "OLD", "NEW"), "merged")
         for row in merged.groupBy("ACTION").count().collect():
             summary[f"{row['ACTION']}_ROWS"] = row["count"]
-        merged.filter("ACTION <> 'UNCHANGED'").select("ACTION", "OLD", "NEW").write.parquet(_folder(path, version, "changes"))
-        kept = F.when(F.col("ACTION") == "UNCHANGED", F.col("OLD")).otherwise(F.col("NEW"))
-        rows = merged.filter("ACTION <> 'DELETE'").select(BUCKET, kept.alias("ROW")).select(BUCKET, "ROW.*")
+        changed = [F.when(F.col(side).isNotNull(), F.struct(*[F.col(f"{side}.{name}") for name in schema.names])).alias(side) for side in ("OLD", "NEW")]
+        merged.filter("ACTION <> 'UNCHANGED'").select("ACTION", *changed).write.parquet(_folder(path, version, "changes"))
+        kept = F.when(F.col("ACTION") == "UNCHANGED", F.col("OLD")).otherwise(F.col("NEW"))  # which keeps its lineage
+        rows = merged.filter("ACTION <> 'DELETE'").select(kept.alias("ROW")).select("ROW.*")
         written = _write_buckets(rows, path, version, table, len(touched))
         staging.drop_table(spark, staged)
         for bucket in touched:
