@@ -1,12 +1,13 @@
 """Ranks over a whole table without moving it into one partition.
 
-A window without PARTITION BY sends every row to one task. Here the rows are sorted globally (range
-partitions), each row is stamped with its partition and offset, and the stamped rows are written to a
-staged table, which fixes the positions. Row counts per partition then turn a stamp into a position.
-The sort order ends in a unique column, so equal values spread over partitions as well.
-
-Tiles and scores take only a handful of distinct values, so a few cut rows decide them: the rows that
-open each tile. Those are looked up once and applied to all rows as literals, with no join.
+A window without PARTITION BY sends every row to one task. Tiles and scores take only a handful of distinct values, so a few cut
+rows decide them: the rows that open each tile. Those are found by counts (``selection``) and applied to all rows as literals, with
+no sort and no join.
+
+A rank that is a number for every row needs an order: rows, or their distinct values, are sorted globally (range partitions), each is
+stamped with its partition and offset, and the stamped rows are written to a staged table, which fixes the positions. Row
+counts per partition then turn a stamp into a position. The sort order ends in a unique column, so equal values spread over
+partitions as well.
 """
 
 from __future__ import annotations
@@ -17,6 +18,7 @@ from itertools import accumulate
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
+from order_analytics.operators.selection import Found, Wanted, text_at, values_at
 from order_analytics.operators.staging import Stage, drop_table, write_table
 
 STAMP = "__STAMP"
@@ -61,25 +63,25 @@ def tile_openings(total: int, tiles: int) -> list[int]:
     return [tile * size + min(tile, larger) + 1 for tile in range(1, tiles)]
 
 
-def _at_or_after(value: Column, tie: Column, opening: Row, value_name: str, tie_name: str) -> Column:
+def _at_or_after(df: DataFrame, value: str, tie: str, opening: Found) -> Column:
     """(value, tie) sorts at or after the opening row; NULL sorts first."""
-    at_value, at_tie = opening[value_name], opening[tie_name]
-    later_tie = tie >= F.lit(at_tie)
-    if at_value is None:
-        return value.isNotNull() | later_tie
-    return F.coalesce((value > F.lit(at_value)) | ((value == F.lit(at_value)) & later_tie), F.lit(False))
+    same = F.col(value).eqNullSafe(F.lit(opening.value))
+    later = F.col(value).isNotNull() if opening.value is None else F.coalesce(F.col(value) > F.lit(opening.value), F.lit(False))
+    if opening.among_equals == 1:
+        return later | same
+    text = text_at(df.filter(same).select(tie), tie, opening.among_equals)
+    return later | (same & (F.col(tie) >= F.lit(text)))
 
 
-def ntile(df: DataFrame, value: str, tie: str, tiles: int) -> Column:
-    """``ntile(tiles) OVER (ORDER BY value, tie)`` as an expression on ``df``; ``tie`` is unique."""
-    openings, _ = rows_at(
-        df.select(value, tie), [F.asc(value), F.asc(tie)], lambda total: tile_openings(total, tiles)
-    )
-    steps = [
-        F.when(_at_or_after(F.col(value), F.col(tie), opening, value, tie), 1).otherwise(0)
-        for opening in openings
-        if opening is not None
-    ]
+def ntile(df: DataFrame, value: str, tie: str, tiles: int, openings: list[Found | None] | None = None) -> Column:
+    """``ntile(tiles) OVER (ORDER BY value, tie)`` as an expression on ``df``; ``tie`` is unique text.
+
+    ``openings`` has what stands at ``tile_openings``, where that is known already.
+    """
+    if openings is None:
+        found, _ = values_at(df, value, {"all": Wanted(lambda total: tile_openings(total, tiles))})
+        openings = found["all"]
+    steps = [F.when(_at_or_after(df, value, tie, opening), 1).otherwise(0) for opening in openings if opening is not None]
     return sum(steps, F.lit(1)).cast("int")
 
 
@@ -98,12 +100,10 @@ def _band(value: str, cuts: list, descending: bool) -> Column:
     return sum(steps, F.lit(1)).cast("int")
 
 
-def cume_band(df: DataFrame, value: str, tie: str, bands: int) -> Column:
+def cume_band(df: DataFrame, value: str, bands: int) -> Column:
     """``ceil(bands * cume_dist() OVER (ORDER BY value))`` for a column with many distinct values."""
-    rows, _ = rows_at(
-        df.select(value, tie), [F.asc(value), F.asc(tie)], lambda total: score_openings(total, bands)
-    )
-    return _band(value, [row and row[value] for row in rows], descending=False)
+    found, _ = values_at(df, value, {"all": Wanted(lambda total: score_openings(total, bands))})
+    return _band(value, [opening and opening.value for opening in found["all"]], descending=False)
 
 
 def cume_band_of_counts(df: DataFrame, value: str, bands: int, descending: bool = False) -> Column:

@@ -3,13 +3,16 @@
 from __future__ import annotations
 
 from datetime import date
+from decimal import Decimal
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
 from order_analytics import session
+from order_analytics.operators import ranking
+from order_analytics.operators.selection import Found, Wanted, values_at
 from order_analytics.operators.staging import Stage
-from order_analytics.plans import facts, marts
+from order_analytics.plans import facts, marts, reports
 
 
 class OrderDataset:
@@ -53,9 +56,23 @@ class OrderDataset:
     def profile(self) -> DataFrame:
         return self.stage.keep(facts.customer_profile(self.customer_orders, self.analysis_date), "profile")
 
+    @cached_property
+    def _revenue_places(self) -> tuple[dict[str, list[Found | None]], dict[str, int]]:
+        """What opens the value tiles and what the percentiles lie between, from the same counts."""
+        wanted = {
+            "all": Wanted(lambda total: ranking.tile_openings(total, marts.CLV_TILES)),
+            "named": Wanted(reports.percentile_places, reports.is_valid_user()),
+        }
+        return values_at(self.profile, "LIFETIME_REVENUE", wanted)
+
+    @cached_property
+    def revenue_percentiles(self) -> dict[int, Decimal | None]:
+        found, sizes = self._revenue_places
+        return reports.revenue_percentiles(self.profile, (found["named"], sizes["named"]))
+
     @cached_property
     def customer_clv(self) -> DataFrame:
-        return marts.customer_clv(self.profile)
+        return marts.customer_clv(self.profile, self._revenue_places[0]["all"])
 
     @cached_property
     def customer_rfm(self) -> DataFrame:

@@ -15,15 +15,17 @@ from order_analytics.functions.columns import (
     week_start,
 )
 from order_analytics.operators import ranking
+from order_analytics.operators.selection import Found
 from order_analytics.operators.staging import Stage
 
 CHURN_AFTER_DAYS = 45
+CLV_TILES = 5
 TREND_KEY = ("PERIOD_START_DATE", "RESTAURANT_ID", "ITEM_CATEGORY")
 
 
-def customer_clv(profile: DataFrame) -> DataFrame:
-    """Lifetime value in five equal tiles by revenue; equal revenue is ordered by user."""
-    quintile = ranking.ntile(profile, "LIFETIME_REVENUE", "USER_ID", 5)
+def customer_clv(profile: DataFrame, openings: list[Found | None] | None = None) -> DataFrame:
+    """Lifetime value in five equal tiles by revenue; equal revenue is ordered by user. ``openings`` as in ``ntile``."""
+    quintile = ranking.ntile(profile, "LIFETIME_REVENUE", "USER_ID", CLV_TILES, openings)
     segment = (
         F.when(F.col("CLV_QUINTILE") == 5, "HIGH").when(F.col("CLV_QUINTILE") == 1, "LOW").otherwise("MEDIUM")
     )
@@ -64,7 +66,7 @@ def customer_rfm(profile: DataFrame) -> DataFrame:
     scores = {
         "R_SCORE": ranking.cume_band_of_counts(profile, "RECENCY_DAYS", 5, descending=True),
         "F_SCORE": _positive_score("FREQUENCY_6M", ranking.cume_band_of_counts(frequent, "FREQUENCY_6M", 4)),
-        "M_SCORE": _positive_score("MONETARY_6M", ranking.cume_band(paying, "MONETARY_6M", "USER_ID", 4)),
+        "M_SCORE": _positive_score("MONETARY_6M", ranking.cume_band(paying, "MONETARY_6M", 4)),
     }
     return (
         profile.select("USER_ID", "LAST_ORDER_DATE", "FREQUENCY_6M", "MONETARY_6M", "RECENCY_DAYS")

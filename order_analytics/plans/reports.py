@@ -2,20 +2,23 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from datetime import date
+from decimal import Decimal
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from order_analytics.functions.columns import MONEY, money_ratio, share_percent, short_id
-from order_analytics.operators import ranking
+from order_analytics.operators.selection import Found, Wanted, values_at
 
 UNKNOWN = "UNKNOWN"
 TOP_LOCATIONS = 10
 TOP_CUSTOMERS = 10
 HISTOGRAM_BINS = 40
+#: Percentiles of revenue that reports show.
+PERCENTILES = (50, 90, 95, 99)
 
 # Segment orders and metric labels.
 CLV_SEGMENTS = ("HIGH", "MEDIUM", "LOW")
@@ -26,9 +29,13 @@ SPEND_LABELS = {
 }
 
 
+def is_valid_user() -> Column:
+    """Neither NULL nor blank; any white space counts as blank here."""
+    return F.col("USER_ID").rlike(r"\S")
+
+
 def valid_users(df: DataFrame) -> DataFrame:
-    """Drop NULL and blank users; any white space counts as blank here."""
-    return df.filter(F.col("USER_ID").rlike(r"\S")) if "USER_ID" in df.columns else df
+    return df.filter(is_valid_user()) if "USER_ID" in df.columns else df
 
 
 def _one_row(parts: Sequence[DataFrame]) -> DataFrame:
@@ -98,37 +105,38 @@ def _percentile_places(total: int, percents: Sequence[int]) -> list[tuple[int, i
     return [((total - 1) * percent // 100 + 1, (total - 1) * percent % 100) for percent in percents]
 
 
-def revenue_percentiles(clv: DataFrame, percents: Sequence[int]) -> list:
-    """Exact percentiles with linear interpolation, as decimals; None without customers.
+def percentile_places(total: int) -> list[int]:
+    """The places that the percentiles of revenue lie between."""
+    return [place for below, _ in _percentile_places(total, PERCENTILES) for place in (below, min(below + 1, total))]
 
-    The neighbours are looked up in the globally sorted revenues, so no task holds all values.
-    """
 
-    def ranks(total: int) -> list[int]:
-        return [rank for below, _ in _percentile_places(total, percents) for rank in (below, min(below + 1, total))]
+def revenue_percentiles(clv: DataFrame, shared: tuple[list[Found | None], int] | None = None) -> dict[int, Decimal | None]:
+    """Exact percentiles with linear interpolation, as decimals; None without customers.
 
-    users = valid_users(clv).select("LIFETIME_REVENUE", "USER_ID")
-    rows, total = ranking.rows_at(users, [F.asc("LIFETIME_REVENUE"), F.asc("USER_ID")], ranks)
+    ``shared`` has what stands at ``percentile_places`` and the number of users, where another query found them.
+    """
+    if shared is None:
+        found, sizes = values_at(clv, "LIFETIME_REVENUE", {"named": Wanted(percentile_places, is_valid_user())})
+        shared = found["named"], sizes["named"]
+    places, total = shared
     if total == 0:
-        return [None] * len(percents)
-    values = [row["LIFETIME_REVENUE"] for row in rows]
-    return [
-        low + (high - low) * hundredths / 100
-        for low, high, (_, hundredths) in zip(values[::2], values[1::2], _percentile_places(total, percents))
-    ]
+        return dict.fromkeys(PERCENTILES)
+    values = [place.value for place in places]
+    return {
+        percent: low + (high - low) * hundredths / 100
+        for percent, low, high, (_, hundredths) in zip(PERCENTILES, values[::2], values[1::2], _percentile_places(total, PERCENTILES), strict=True)
+    }
 
 
-def clv_kpis(clv: DataFrame) -> DataFrame:
+def clv_kpis(clv: DataFrame, percentiles: Mapping[int, Decimal | None] | None = None) -> DataFrame:
     names = {50: "MEDIAN_REVENUE", 90: "P90_REVENUE", 95: "P95_REVENUE", 99: "P99_REVENUE"}
-    percentiles = revenue_percentiles(clv, list(names))
+    percentiles = revenue_percentiles(clv) if percentiles is None else percentiles
     totals = valid_users(clv).agg(
         F.count_distinct("USER_ID").alias("USER_COUNT"),
         F.avg("LIFETIME_REVENUE").alias("AVG_REVENUE"),
         F.sum("LIFETIME_REVENUE").cast(MONEY).alias("TOTAL_REVENUE"),
     )
-    return totals.withColumns(
-        {name: F.lit(value).cast("decimal(34,4)") for name, value in zip(names.values(), percentiles)}
-    )
+    return totals.withColumns({name: F.lit(percentiles[percent]).cast("decimal(34,4)") for percent, name in names.items()})
 
 
 def _distribution(df: DataFrame, column: str, segments: Sequence[str]) -> DataFrame:
@@ -144,9 +152,9 @@ def clv_segment_distribution(clv: DataFrame) -> DataFrame:
     return counted.withColumn("SHARE_PCT", share_percent(F.col("USER_COUNT"), total))
 
 
-def clv_histogram(clv: DataFrame, bins: int = HISTOGRAM_BINS) -> DataFrame:
+def clv_histogram(clv: DataFrame, bins: int = HISTOGRAM_BINS, percentiles: Mapping[int, Decimal | None] | None = None) -> DataFrame:
     """Customers per equal-width revenue bin, over revenues up to the 99th percentile."""
-    (limit,) = revenue_percentiles(clv, [99])
+    limit = (revenue_percentiles(clv) if percentiles is None else percentiles)[99]
     kept = valid_users(clv).filter(F.col("LIFETIME_REVENUE") <= F.lit(limit).cast("decimal(34,4)"))
     ends = kept.agg(F.min("LIFETIME_REVENUE"), F.max("LIFETIME_REVENUE")).first()
     low, high = (F.lit(end).cast("double") for end in ends)

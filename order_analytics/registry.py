@@ -421,9 +421,9 @@ def short_ids(data: OrderDataset) -> DataFrame:
 REPORTS = {
     "overview_kpis": overview_kpis,
     "overview_top5_trend": lambda d: reports.overview_top_trend(d.sales_trends_monthly),
-    "clv_kpis": lambda d: reports.clv_kpis(d.customer_clv),
+    "clv_kpis": lambda d: reports.clv_kpis(d.customer_clv, d.revenue_percentiles),
     "clv_segment_distribution": lambda d: reports.clv_segment_distribution(d.customer_clv),
-    "clv_histogram": lambda d: reports.clv_histogram(d.customer_clv),
+    "clv_histogram": lambda d: reports.clv_histogram(d.customer_clv, percentiles=d.revenue_percentiles),
     "top_customers": lambda d: reports.top_customers(d.customer_clv),
     "rfm_segment_distribution": lambda d: reports.rfm_segment_distribution(d.customer_rfm),
     "rfm_table": lambda d: reports.rfm_table(d.customer_rfm),

@@ -57,7 +57,7 @@ def test_cume_bands(spark, values):
     up, down = Window.orderBy(F.asc("V")), Window.orderBy(F.desc("W"))
     checked = df.select(
         "ID",
-        ranking.cume_band(df, "V", "ID", 4).alias("A"),
+        ranking.cume_band(df, "V", 4).alias("A"),
         ranking.cume_band_of_counts(df, "W", 5, descending=True).alias("B"),
         F.ceil(F.cume_dist().over(up) * 4).alias("STOCK_A"),
         F.ceil(F.cume_dist().over(down) * 5).alias("STOCK_B"),
