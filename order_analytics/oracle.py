@@ -454,6 +454,20 @@ WHERE VALUE <> 0""",
   UNION ALL SELECT 'restaurant_performance', RESTAURANT_ID, TOTAL_REVENUE, ORDER_COUNT, USER_COUNT,
     concat_ws('|', CAST(FIRST_ORDER_DATE AS VARCHAR), CAST(LAST_ORDER_DATE AS VARCHAR), CAST(REVENUE_RANK AS VARCHAR), CAST(REVENUE_PER_USER AS VARCHAR)) FROM restaurants
   UNION ALL SELECT 'discount_effectiveness', DISCOUNT_STATUS, {money('CENTS')}, ORDER_COUNT, USER_COUNT, '' FROM discount_sums""",
+    "keyed_key_work": """SELECT * FROM (
+    SELECT 'ITEM_KEYS' AS STEP, 'ROWS' AS METRIC, count(*) AS VALUE FROM newer
+    UNION ALL SELECT 'ITEM_KEYS', 'DUPLICATE_KEYS', 0 UNION ALL SELECT 'OPTION_KEYS', 'DUPLICATE_KEYS', 0
+    UNION ALL SELECT 'JOIN_KEYS', 'DUPLICATE_KEYS', 0 UNION ALL SELECT 'OPTION_KEYS', 'ROWS', count(*) FROM (SELECT DISTINCT * FROM options)
+    UNION ALL SELECT 'JOIN_KEYS', 'ROWS', count(*) FROM newer UNION ALL SELECT 'LINES', 'ROWS', count(*) FROM newer
+    UNION ALL SELECT 'MERGE', a || '_ROWS', count(ACTION) FROM (VALUES ('INSERT'), ('UPDATE'), ('DELETE'), ('UNCHANGED')) v(a)
+      LEFT JOIN changes ON ACTION = a GROUP BY a
+    UNION ALL SELECT 'MERGE', 'TARGET_ROWS', count(*) FROM older UNION ALL SELECT 'MERGE', 'FINAL_ROWS', count(*) FROM newer
+    UNION ALL SELECT 'LINES', 'OPTIONS', CAST(sum(OPTION_COUNT) AS BIGINT) FROM newer n JOIN option_sums s
+      ON n.ORDER_ID = s.ORDER_ID AND n.LINEITEM_ID = s.LINEITEM_ID
+    UNION ALL SELECT 'LINES', 'REVENUE_CENTS', CAST(sum(PRICE_CENTS + coalesce(OPTION_CENTS, 0)) AS BIGINT) FROM newer n LEFT JOIN option_sums s
+      ON n.ORDER_ID = s.ORDER_ID AND n.LINEITEM_ID = s.LINEITEM_ID
+    UNION ALL SELECT 'ORPHANS', 'ROWS', count(*) FROM options o WHERE NOT EXISTS (
+      SELECT 1 FROM newer n WHERE n.ORDER_ID = o.ORDER_ID AND n.LINEITEM_ID = o.LINEITEM_ID))""",
     "trend_of_restaurants": MART_TREND + "(SELECT * REPLACE (coalesce(ITEM_CATEGORY, 'UNKNOWN') AS ITEM_CATEGORY) FROM monthly) WHERE RESTAURANT_ID IN ('R001', 'R007', 'R013')",
     "rfm_table_of_segments": f"SELECT {RFM_COLUMNS} FROM rfm WHERE RFM_SEGMENT IN ('VIP', 'CHURN_RISK')",
     "gate_cast_failures": """SELECT 'order_items' AS "TABLE", 'CAST_CREATION_TIME_UTC' AS RULE,

@@ -15,7 +15,7 @@ from order_analytics.operators import conform, quality, staging, sync
 from order_analytics.plans import facts, marts, pipeline, refresh, reports
 from order_analytics.plans.dataset import OrderDataset
 from order_analytics.schemas import DATE_DIM, LINEAGE_FIELDS, ORDER_ITEM_OPTIONS, ORDER_ITEMS, TABLES, TableSpec
-from order_analytics.sources import buckets, fixtures, mart_store, snapshots
+from order_analytics.sources import buckets, fixtures, keyed, mart_store, snapshots
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -294,6 +294,46 @@ def sync_changed_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return named.withColumns({name: F.lit(summary[name]).cast("bigint") for name in counted})
 
 
+KEYED_BUCKETS = 8
+
+
+def _keyed_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """Two snapshots of the lines and the options in buckets of the line key, in a session for work on keys."""
+    own = keyed.key_session(spark)
+    built = {
+        "older": (fixtures.earlier_order_items(own, sf_dir), ORDER_ITEMS.key),
+        "newer": (fixtures.later_order_items(own, sf_dir), ORDER_ITEMS.key),
+        "options": (fixtures.repeated_options(own, sf_dir), ORDER_ITEM_OPTIONS.key),
+    }
+    distinct = {name: (conform.drop_exact_duplicates(rows), key) for name, (rows, key) in built.items()}
+    return keyed.write_all(distinct, staging.new_path(spark, "keyed"), facts.LINE_KEY, KEYED_BUCKETS)
+
+
+def keyed_work(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """All that the pipeline does by key, on tables laid out by it: gates, merge, option join, orphans."""
+    older, newer, options = (tables[name] for name in ("older", "newer", "options"))
+    lines = facts.line_fact(newer, options)
+    return {
+        "ITEM_KEYS": quality.key_summary(newer, ORDER_ITEMS.key),
+        "OPTION_KEYS": quality.key_summary(options, ORDER_ITEM_OPTIONS.key),
+        "JOIN_KEYS": quality.key_summary(newer, facts.LINE_KEY),
+        "MERGE": sync.change_summary(sync.snapshot_changes(older, newer, ORDER_ITEMS.key, ORDER_ITEMS.business_columns)),
+        "LINES": lines.agg(
+            F.count(F.lit(1)).alias("ROWS"),
+            F.sum("OPTION_COUNT").alias("OPTIONS"),
+            F.sum(F.col("LINE_REVENUE") * 100).cast("bigint").alias("REVENUE_CENTS"),
+        ),
+        "ORPHANS": facts.orphan_options(newer, options).agg(F.count(F.lit(1)).alias("ROWS")),
+    }
+
+
+def keyed_key_work(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The figures of ``keyed_work``, one in a row."""
+    steps = keyed_work(_keyed_tables(spark, sf_dir))
+    figures = [df.unpivot([], df.columns, "METRIC", "VALUE").select(F.lit(step).alias("STEP"), "METRIC", "VALUE") for step, df in steps.items()]
+    return reduce(DataFrame.unionByName, figures)
+
+
 def _figures(state: refresh.MartState) -> DataFrame:
     """The additive marts of a state in one shape: MART, KEY, revenue, orders, one more count and a label."""
 
@@ -357,6 +397,7 @@ TABLE_QUERIES = {
     "post_merge_checks": post_merge_checks,
     "sync_changed_buckets": sync_changed_buckets,
     "mart_refresh": mart_refresh,
+    "keyed_key_work": keyed_key_work,
     "gate_cast_failures": gate_cast_failures,
     "gate_null_keys": gate_null_keys,
     "gate_conflicting_keys": gate_conflicting_keys,
