@@ -154,3 +154,13 @@ def dense_rank(
         )
     )
     return df.join(ranks, F.col(value).eqNullSafe(F.col("__RANKED")), "inner").drop("__RANKED")
+
+
+def numbered(df: DataFrame, order: list[str], position: str, stage: Stage) -> DataFrame:
+    """The rows with their place from 1 in a total order, as the column ``position``. Sorted and written once; no window."""
+    stamped, path, starts, _ = _stamped(df, [F.asc(name) for name in order], "numbered")
+    stage.track(path)
+    offsets = df.sparkSession.createDataFrame([(part, ahead) for part, ahead in starts.items()], "PART long, AHEAD long")
+    offset = F.col(STAMP).bitwiseAND(F.lit((1 << OFFSET_BITS) - 1))
+    placed = stamped.withColumn("PART", F.shiftright(STAMP, OFFSET_BITS)).join(F.broadcast(offsets), "PART")
+    return placed.withColumn(position, F.col("AHEAD") + offset + 1).select(*df.columns, position)

@@ -468,6 +468,14 @@ WHERE VALUE <> 0""",
       ON n.ORDER_ID = s.ORDER_ID AND n.LINEITEM_ID = s.LINEITEM_ID
     UNION ALL SELECT 'ORPHANS', 'ROWS', count(*) FROM options o WHERE NOT EXISTS (
       SELECT 1 FROM newer n WHERE n.ORDER_ID = o.ORDER_ID AND n.LINEITEM_ID = o.LINEITEM_ID))""",
+    "customer_page": "SELECT USER_ID, RECENCY_DAYS, RFM_SEGMENT FROM rfm ORDER BY RECENCY_DAYS DESC, USER_ID LIMIT 25 OFFSET 50",
+    "customers_after": """SELECT USER_ID, RECENCY_DAYS, RFM_SEGMENT FROM rfm WHERE RECENCY_DAYS < 200 OR (RECENCY_DAYS = 200 AND USER_ID > 'C5')
+  ORDER BY RECENCY_DAYS DESC, USER_ID LIMIT 25""",
+    "orders_of_categories": """SELECT CAST(date_trunc('month', ORDER_DATE) AS DATE) AS PERIOD_START_DATE, RESTAURANT_ID,
+  count(DISTINCT (ORDER_ID, RESTAURANT_ID)) AS ORDER_COUNT FROM sales WHERE ITEM_CATEGORY IN ('ECONOMY', 'SMALL', 'UNKNOWN') GROUP BY ALL""",
+    "trend_clustered": MART_TREND + f"daily_named WHERE {SEVERAL} AND {CHOSEN_DAYS}",
+    "footer_summary": """SELECT count(*) AS "ROWS", min(PERIOD_START_DATE) AS MIN_PERIOD_START_DATE, max(PERIOD_START_DATE) AS MAX_PERIOD_START_DATE,
+  min(ORDER_COUNT) AS MIN_ORDER_COUNT, max(ORDER_COUNT) AS MAX_ORDER_COUNT FROM daily""",
     "trend_of_restaurants": MART_TREND + "(SELECT * REPLACE (coalesce(ITEM_CATEGORY, 'UNKNOWN') AS ITEM_CATEGORY) FROM monthly) WHERE RESTAURANT_ID IN ('R001', 'R007', 'R013')",
     "rfm_table_of_segments": f"SELECT {RFM_COLUMNS} FROM rfm WHERE RFM_SEGMENT IN ('VIP', 'CHURN_RISK')",
     "gate_cast_failures": """SELECT 'order_items' AS "TABLE", 'CAST_CREATION_TIME_UTC' AS RULE,

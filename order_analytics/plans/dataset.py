@@ -12,7 +12,7 @@ from order_analytics import session
 from order_analytics.operators import ranking
 from order_analytics.operators.selection import Found, Wanted, values_at
 from order_analytics.operators.staging import Stage
-from order_analytics.plans import facts, marts, reports
+from order_analytics.plans import facts, marts, order_sets, reports
 
 
 class OrderDataset:
@@ -40,6 +40,10 @@ class OrderDataset:
     def order_categories(self) -> DataFrame:
         return self.stage.keep(facts.order_category_fact(self.lines), "order-categories")
 
+    @cached_property
+    def order_sets(self) -> DataFrame:
+        return order_sets.order_sets(self.order_categories, self.stage)
+
     @cached_property
     def orders(self) -> DataFrame:
         return facts.order_fact(self.order_categories)

@@ -12,10 +12,10 @@ from pyspark.sql import functions as F
 from order_analytics import session
 from order_analytics.functions.columns import offset_timestamp, short_id
 from order_analytics.operators import conform, quality, staging, sync
-from order_analytics.plans import facts, marts, pipeline, refresh, reports
+from order_analytics.plans import facts, marts, order_sets, pipeline, refresh, reports
 from order_analytics.plans.dataset import OrderDataset
 from order_analytics.schemas import DATE_DIM, LINEAGE_FIELDS, ORDER_ITEM_OPTIONS, ORDER_ITEMS, TABLES, TableSpec
-from order_analytics.sources import buckets, fixtures, keyed, mart_store, snapshots
+from order_analytics.sources import buckets, clustered, fixtures, footers, keyed, mart_store, pages, snapshots
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -455,6 +455,53 @@ def overview_kpis(data: OrderDataset) -> DataFrame:
     )
 
 
+PAGE_SIZE = 25
+PAGE_KEYS = (pages.Key("RECENCY_DAYS", descending=True), pages.Key("USER_ID"))
+TREND_COLUMNS = ["PERIOD_START_DATE", "RESTAURANT_ID", "ITEM_CATEGORY", "TOTAL_REVENUE", "ORDER_COUNT", "ITEM_QUANTITY", "AVERAGE_ORDER_VALUE"]
+
+
+def _paged(data: OrderDataset) -> pages.SortedTable:
+    rows = data.customer_rfm.select("USER_ID", "RECENCY_DAYS", "RFM_SEGMENT")
+    path = staging.new_path(data.spark, "paged")
+    data.stage.track(path)
+    return pages.write(rows, PAGE_KEYS, path, files=8)
+
+
+def customer_page(data: OrderDataset) -> DataFrame:
+    """The third page of customers by recency."""
+    return _paged(data).page(2, PAGE_SIZE)
+
+
+def customers_after(data: OrderDataset) -> DataFrame:
+    """The page that follows a given recency and user."""
+    return _paged(data).after((200, "C5"), PAGE_SIZE)
+
+
+def orders_of_categories(data: OrderDataset) -> DataFrame:
+    """Distinct orders a month with lines of any of several categories, which the trend marts cannot tell."""
+    month = F.trunc("PERIOD_START_DATE", "month").alias("PERIOD_START_DATE")
+    return order_sets.order_counts(data.order_sets, [month, "RESTAURANT_ID"], SEVERAL_CATEGORIES)
+
+
+def trend_clustered(data: OrderDataset) -> DataFrame:
+    """A filter on the daily trend as it is read from clustered files."""
+    path = staging.new_path(data.spark, "clustered")
+    data.stage.track(path)
+    trend = reports.with_category(data.sales_trends_daily).select(TREND_COLUMNS)
+    clustered.write(trend, ["PERIOD_START_DATE", "RESTAURANT_ID", "ITEM_CATEGORY"], path, files=4)
+    stored = data.spark.read.schema(trend.schema).parquet(path)
+    days = F.col("PERIOD_START_DATE").between(F.lit(TREND_START), F.lit(TREND_END))
+    return stored.filter(F.col("ITEM_CATEGORY").isin(SEVERAL_CATEGORIES) & days)
+
+
+def footer_summary(data: OrderDataset) -> DataFrame:
+    """Rows and span of the stored daily trend, from the files' footers."""
+    path = staging.new_path(data.spark, "daily")
+    data.stage.track(path)
+    data.sales_trends_daily.write.parquet(path)
+    return footers.summary(data.spark, path, ["PERIOD_START_DATE", "ORDER_COUNT"])
+
+
 def short_ids(data: OrderDataset) -> DataFrame:
     return data.orders.select("USER_ID").distinct().select("USER_ID", short_id("USER_ID").alias("USER_ID_DISPLAY"))
 
@@ -492,6 +539,11 @@ REPORTS = {
     "bottom_restaurants": lambda d: reports.bottom_restaurants(d.restaurant_performance),
     "discount_kpis": lambda d: reports.discount_kpis(d.discount_effectiveness),
     "short_ids": short_ids,
+    "customer_page": customer_page,
+    "customers_after": customers_after,
+    "orders_of_categories": orders_of_categories,
+    "trend_clustered": trend_clustered,
+    "footer_summary": footer_summary,
 }
 
 
