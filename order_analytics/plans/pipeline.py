@@ -12,8 +12,8 @@ from order_analytics import session
 from order_analytics.operators import conform, quality, sync
 from order_analytics.plans import facts
 from order_analytics.plans.dataset import OrderDataset
-from order_analytics.schemas import ORDER_ITEM_OPTIONS, ORDER_ITEMS, TABLES, TableSpec
-from order_analytics.sources import mart_store, snapshots
+from order_analytics.schemas import DATE_DIM, ORDER_ITEM_OPTIONS, ORDER_ITEMS, TABLES, TableSpec
+from order_analytics.sources import buckets, mart_store, snapshots
 
 # The load types a batch may have.
 LOAD_TYPES = ("FULL_INITIAL", "FULL_DAILY")
@@ -73,17 +73,36 @@ def conform_table(raw: DataFrame, spec: TableSpec, summary: RunSummary) -> DataF
     return conform.drop_exact_duplicates(conform.drop_originals(cast))
 
 
-def conform_tables(spark: SparkSession, raw_root: str, typed_root: str, summary: RunSummary) -> None:
-    """Gate every raw snapshot and sync it into its typed snapshot; lineage alone makes no row an update."""
+def bucketed(spec: TableSpec, number: int) -> buckets.BucketedTable:
+    """Order lines in ``number`` buckets a month, options in as many for the whole table; the calendar is one."""
+    if spec is ORDER_ITEMS:
+        return buckets.BucketedTable.of(spec, number, period="CREATION_TIME_UTC")
+    return buckets.BucketedTable.of(spec, 1 if spec is DATE_DIM else number)
+
+
+def read_typed(spark: SparkSession, typed_root: str, spec: TableSpec, key_buckets: int | None = None) -> DataFrame:
+    """The business columns of a typed table's current version."""
+    read = buckets.read_current if key_buckets else snapshots.read_current
+    return read(spark, f"{typed_root}/{spec.name}", spec.schema).select(spec.business_columns)
+
+
+def conform_tables(spark: SparkSession, raw_root: str, typed_root: str, summary: RunSummary, key_buckets: int | None = None) -> None:
+    """Gate every raw snapshot and sync it into its typed snapshot; lineage alone makes no row an update.
+
+    With ``key_buckets`` the typed tables are kept in that many buckets, and a sync rewrites only those that changed.
+    """
     session.use_utc(spark)
     session.size_shuffles(spark, session.folder_bytes(spark, raw_root))
     for name, spec in TABLES.items():
         typed = conform_table(snapshots.read_current(spark, f"{raw_root}/{name}"), spec, summary)
         path = f"{typed_root}/{name}"
-        synced = sync.sync(spark, path, typed, spec, compare=spec.business_columns)
+        if key_buckets:
+            synced = buckets.sync(spark, path, typed, bucketed(spec, key_buckets))
+        else:
+            synced = sync.sync(spark, path, typed, spec, compare=spec.business_columns)
         removed = summary.value("conform", name, "ROWS") - synced["FINAL_ROWS"]
         summary.add("sync", name, EXACT_DUPLICATES=removed, **synced)
-        snapshots.retire(spark, path, KEPT_VERSIONS)
+        (buckets if key_buckets else snapshots).retire(spark, path, KEPT_VERSIONS)
 
 
 def gate_mart_inputs(items: DataFrame, options: DataFrame) -> dict[str, int]:
@@ -101,11 +120,9 @@ def gate_mart_inputs(items: DataFrame, options: DataFrame) -> dict[str, int]:
     return found
 
 
-def build_marts(spark: SparkSession, typed_root: str, mart_root: str, summary: RunSummary) -> None:
+def build_marts(spark: SparkSession, typed_root: str, mart_root: str, summary: RunSummary, key_buckets: int | None = None) -> None:
     """Gate the typed tables, derive the facts once, and write all marts."""
-    items = snapshots.read_current(spark, f"{typed_root}/order_items", ORDER_ITEMS.schema)
-    options = snapshots.read_current(spark, f"{typed_root}/order_item_options", ORDER_ITEM_OPTIONS.schema)
-    items, options = items.select(ORDER_ITEMS.business_columns), options.select(ORDER_ITEM_OPTIONS.business_columns)
+    items, options = (read_typed(spark, typed_root, spec, key_buckets) for spec in (ORDER_ITEMS, ORDER_ITEM_OPTIONS))
     summary.add("gate", "mart inputs", **gate_mart_inputs(items, options))
     dataset = OrderDataset(items, options)
     try:
@@ -137,11 +154,17 @@ def write_marts(dataset: OrderDataset, mart_root: str, version: int, summary: Ru
     summary.add("profile", "customer_rfm", **{row["RFM_SEGMENT"]: row["USER_COUNT"] for row in segments.collect()})
 
 
-def run(spark: SparkSession, sources: Mapping[str, DataFrame], root: str, load_type: str = "FULL_DAILY") -> DataFrame:
-    """The whole chain under ``root``; returns the run summary."""
+def run(
+    spark: SparkSession,
+    sources: Mapping[str, DataFrame],
+    root: str,
+    load_type: str = "FULL_DAILY",
+    key_buckets: int | None = None,
+) -> DataFrame:
+    """The whole chain under ``root``; returns the run summary. ``key_buckets`` as in ``conform_tables``, the same for all runs of a root."""
     session.use_utc(spark)
     summary = RunSummary()
     snapshot_tables(sources, f"{root}/raw", load_type, summary)
-    conform_tables(spark, f"{root}/raw", f"{root}/typed", summary)
-    build_marts(spark, f"{root}/typed", f"{root}/marts", summary)
+    conform_tables(spark, f"{root}/raw", f"{root}/typed", summary, key_buckets)
+    build_marts(spark, f"{root}/typed", f"{root}/marts", summary, key_buckets)
     return summary.frame(spark)

@@ -8,11 +8,13 @@ from pathlib import Path
 
 import pytest
 from builders import OPTION_SCHEMA, option
+from conftest import SMALL
 from pyspark.sql import functions as F
 
 from order_analytics.operators import quality, sync
-from order_analytics.schemas import ORDER_ITEM_OPTIONS
-from order_analytics.sources import buckets, snapshots
+from order_analytics.plans import pipeline
+from order_analytics.schemas import ORDER_ITEM_OPTIONS, ORDER_ITEMS
+from order_analytics.sources import buckets, fixtures, snapshots
 
 SPEC = ORDER_ITEM_OPTIONS
 TABLE = buckets.BucketedTable.of(SPEC, 50)
@@ -121,3 +123,24 @@ def test_old_folders_are_rewritten_and_removed(spark, options, tmp_path, monkeyp
 def test_a_period_must_be_part_of_the_key():
     with pytest.raises(ValueError, match="no part of the key"):
         buckets.BucketedTable.of(SPEC, 4, period="OPTION_PRICE")
+
+
+def test_the_pipeline_rewrites_only_buckets_that_changed(spark, tmp_path):
+    lineage = ["_ingested_at", "_source table", "_Load-Type"]
+    made = {"date_dim": fixtures.raw_date_dim, "order_item_options": fixtures.raw_options, "order_items": fixtures.raw_order_items}
+    sources = {name: build(spark, SMALL).drop(*lineage) for name, build in made.items()}
+    raw, typed = f"{tmp_path}/raw", f"{tmp_path}/typed"
+    late = F.col("Creation Time Utc").startswith("2001-07")
+    for number in (1, 2):
+        summary = pipeline.RunSummary()
+        if number == 2:
+            sources["order_items"] = sources["order_items"].filter(~late)
+        pipeline.snapshot_tables(sources, raw, "FULL_DAILY", summary)
+        pipeline.conform_tables(spark, raw, typed, summary, key_buckets=2)
+    value = lambda table, metric: summary.value("sync", table, metric)
+    assert value("order_items", "DELETE_ROWS") > 0 and 0 < value("order_items", "BUCKETS_READ") <= 2
+    assert value("order_items", "BUCKETS") > 100 and value("order_items", "BUCKETS_WRITTEN") == 0
+    assert [value(name, "BUCKETS_READ") for name in ("date_dim", "order_item_options")] == [0, 0]
+    items = pipeline.read_typed(spark, typed, ORDER_ITEMS, key_buckets=2)
+    expected = fixtures.order_items(spark, SMALL).filter("date_format(CREATION_TIME_UTC, 'yyyy-MM') <> '2001-07'")
+    assert items.exceptAll(expected.select(items.columns)).count() == 0 and items.count() == expected.count()
