@@ -8,6 +8,7 @@ import pytest
 ROOT = Path(__file__).resolve().parent.parent
 sys.path[:0] = [str(ROOT), str(ROOT / "tests")]
 
+from order_analytics.operators import staging  # noqa: E402
 from order_analytics.session import build_session  # noqa: E402
 
 SMALL = "/root/testdata/sf0.001"
@@ -24,6 +25,7 @@ def spark(tmp_path_factory):
         spark__checkpoint__dir=tmp_path_factory.mktemp("shared"),
     )
     session.sparkContext.setLogLevel("ERROR")
+    staging.RELEASE_ROUNDS = 0  # small tables leave little to release, and every round waits
     yield session
     session.stop()
 
