@@ -62,7 +62,8 @@ def measured(documents: DataFrame) -> DataFrame:
 def shard(documents: DataFrame, shards: int, parcels: int = PARCELS) -> DataFrame:
     """(doc_id, size, text_crc32, law, shard, slot, grown_shard) of every row."""
     spark = documents.sparkSession
-    rows, _ = staging.write_table(measured(documents), "measured")
+    # a number of its own for each row, fixed by the write: rows that are equal in all columns are dealt out like any others
+    rows, _ = staging.write_table(measured(documents).withColumn("tag", F.monotonically_increasing_id()), "measured")
     sums = [F.sum(name).alias(name) for name in MEASURES]
     totals = rows.agg(*sums).first()
     part = {name: (totals[name] or 0) / (shards * parcels) for name in MEASURES}
@@ -76,7 +77,7 @@ def shard(documents: DataFrame, shards: int, parcels: int = PARCELS) -> DataFram
     pieces = spark.createDataFrame(listed, "digest string, pieces bigint, first bigint")
 
     hashed = F.pmod(F.xxhash64("digest"), F.lit(shards * parcels))
-    dealt = F.col("first") + F.pmod(F.xxhash64("doc_id"), F.col("pieces"))
+    dealt = F.col("first") + F.pmod(F.xxhash64("doc_id", "tag"), F.col("pieces"))
     placed = rows.join(F.broadcast(pieces), "digest", "left").withColumn("parcel", F.coalesce(dealt, hashed))
 
     filled = placed.groupBy("parcel").agg(*sums).orderBy("parcel").collect()
@@ -88,7 +89,7 @@ def shard(documents: DataFrame, shards: int, parcels: int = PARCELS) -> DataFram
         used[target] += row["n_rows"]
     plan = spark.createDataFrame(plan, "parcel bigint, shard int, before bigint")
 
-    within = Window.partitionBy("parcel").orderBy("doc_id", "digest")
+    within = Window.partitionBy("parcel").orderBy("doc_id", "digest", "tag")
     ranked = placed.withColumn("rank", F.row_number().over(within) - 1)
     return ranked.join(F.broadcast(plan), "parcel").select(
         "doc_id",

@@ -203,6 +203,15 @@ def test_sharding(spark, table):
     assert sharding.shard(table([]), shards=3).count() == 0
 
 
+def test_sharding_of_equal_rows_without_an_id(spark):
+    rows = spark.range(60_000).selectExpr("CAST(NULL AS bigint) AS doc_id", "'one text for all of these rows' AS text", "'s' AS source")
+    rows = rows.unionAll(spark.range(20_000).selectExpr("id AS doc_id", "concat('text ', id) AS text", "'s' AS source"))
+    found = sharding.shard(rows, shards=10).groupBy("shard").agg(F.count("*").alias("n"), F.sum("size").alias("size"), F.max("slot").alias("last")).collect()
+    assert sum(row["n"] for row in found) == 80_000 and all(row["last"] == row["n"] - 1 for row in found)
+    assert max(row["size"] for row in found) < 1.02 * min(row["size"] for row in found)
+    assert max(row["n"] for row in found) < 1.05 * min(row["n"] for row in found)
+
+
 def test_directions_take_the_highest_dot_product():
     draw = np.random.default_rng(4)
     vectors = draw.integers(1, 50, (60, 3)).astype(float)
