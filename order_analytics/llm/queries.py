@@ -81,7 +81,10 @@ def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
     archives = new_path(spark, "warc")
     warc.write_archives(_table(spark, sf_dir, "pages"), archives, least_bytes=0)
-    return warc.read_archives(spark, archives).drop("intact")
+    damaged = F.raise_error(F.concat(F.lit("payload differs from its digest, page "), F.coalesce(F.col("page_id").cast("string"), F.lit("-"))))
+    read = warc.read_archives(spark, archives)
+    sound = F.when(F.col("intact") == F.lit(False), damaged.cast("string")).otherwise(F.col("payload_digest"))
+    return read.withColumn("payload_digest", sound).drop("intact")
 
 
 def op9_vector_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -10,7 +10,8 @@ Records are text: each row of the output is header and block, and the line separ
 that end a record. The text sink writes and commits them in tasks, gzipped, wherever the path points.
 
 ``read_archives`` parses the files by the lengths in the headers, whatever the payloads hold, recomputes the digest of each response, and joins
-revisit records to their originals by record id.
+revisit records to their originals by record id. A file that ends early or whose lengths do not meet the ends of its records is an error
+that names the file; a payload that differs from its digest is not ``intact``.
 
 A null html is an empty payload. A null url is left out of the header; white space and control
 characters in it are escaped. A page without page_id is a revisit if another page with the payload has
@@ -126,7 +127,7 @@ class _Unzipped(io.RawIOBase):
                 target[: len(out)] = out
                 return len(out)
             if not self._rest and not self._unpack.eof:
-                return 0
+                raise ValueError("the archive ends early")
 
 
 def _header(source: io.BufferedReader) -> dict[str, str] | None:
@@ -148,7 +149,8 @@ def parse_archive(packed: bytes) -> Iterator[dict]:
         if not fields[""].startswith("WARC/"):
             raise ValueError("not at the start of a record")
         block = source.read(int(fields["content-length"]))
-        source.read(len(END_OF_RECORD))
+        if len(block) != int(fields["content-length"]) or source.read(len(END_OF_RECORD)) != END_OF_RECORD.encode():
+            raise ValueError(f"record {fields.get('warc-record-id')} does not end where its length says")
         inner = io.BufferedReader(io.BytesIO(block))
         http = _header(inner) or {}
         payload = inner.read()
@@ -165,6 +167,14 @@ def parse_archive(packed: bytes) -> Iterator[dict]:
         }
 
 
+def _named(name: str, found: Iterator[dict]) -> Iterator[dict]:
+    """The records of a file; what is wrong with it is said with its name."""
+    try:
+        yield from found
+    except (ValueError, KeyError, zlib.error) as wrong:
+        raise ValueError(f"{name}: {wrong}") from wrong
+
+
 def read_records(spark: SparkSession, path: str) -> DataFrame:
     """The records of all archives in a folder; ``intact`` says whether a response has its digest."""
     names = ["page_id", "record_id", "record_type", "payload_digest", "payload_bytes", "intact", "refers_to_id"]
@@ -174,15 +184,15 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
     def parse_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[dict] = []
         for batch in batches:
-            for packed in batch.column("content"):
-                for record in parse_archive(packed.as_py()):
+            for name, packed in zip(batch.column("path").to_pylist(), batch.column("content"), strict=True):
+                for record in _named(name, parse_archive(packed.as_py())):
                     held.append(record)
                     if len(held) == ROWS_PER_BATCH:
                         yield pa.RecordBatch.from_pylist(held, schema)
                         held = []
         yield pa.RecordBatch.from_pylist(held, schema)
 
-    files = spark.read.format("binaryFile").load(path).select("content")
+    files = spark.read.format("binaryFile").load(path).select("path", "content")
     return files.mapInArrow(parse_batches, RECORD)
 
 

@@ -176,6 +176,32 @@ def test_archives(spark, tmp_path, least):
     assert all(row["intact"] in (True, None) for row in found)
 
 
+def test_damaged_archives_are_named(spark, tmp_path):
+    import gzip
+    from pathlib import Path
+
+    path = str(tmp_path / "archives")
+    rows = [(k, "u", f"<p>{k}</p>" * 50, "d", "r") for k in range(40)]
+    warc.write_archives(spark.createDataFrame(rows, PAGE).coalesce(1), path)
+    (file,) = Path(path).glob("*.gz")
+    packed = file.read_bytes()
+    plain_text = gzip.decompress(packed)
+    assert len(list(warc.parse_archive(packed))) == 40
+    damages = [packed[: len(packed) // 2], gzip.compress(plain_text[:-3]), gzip.compress(plain_text[:-60]), gzip.compress(plain_text.replace(b"Content-Length: ", b"Content-Length: 1", 1))]
+    for damaged in damages:
+        with pytest.raises((ValueError, EOFError)):
+            list(warc.parse_archive(damaged))
+    other = tmp_path / "other"
+    other.mkdir()
+    (other / "cut.gz").write_bytes(damages[0])
+    with pytest.raises(Exception, match="cut.gz: the archive ends early"):
+        warc.read_records(spark, str(other)).collect()
+    changed = tmp_path / "changed"
+    changed.mkdir()
+    (changed / "one.gz").write_bytes(gzip.compress(plain_text.replace(b"<p>7</p>", b"<p>8</p>", 1)))
+    assert [row["page_id"] for row in warc.read_archives(spark, str(changed)).filter("not intact").collect()] == [7]
+
+
 def test_no_pages(spark, tmp_path):
     warc.write_archives(spark.createDataFrame([], PAGE), str(tmp_path / "none"))
     assert warc.read_archives(spark, str(tmp_path / "none")).count() == 0
