@@ -14,7 +14,8 @@ Equal pieces of one cluster come one after the other, and none fits a bin that a
 took, so their search goes on from where the last one ended: a cluster of m copies costs m + bins steps.
 
 Packing runs in lots that hold about ``LOT_LENGTH`` words, dealt by document; each lot is packed in one task and the
-number of lots follows the input. Copies of a cluster spread over lots like any other rows. A bin lies in one lot.
+number of lots follows the input. Copies of a cluster spread over lots like any other rows. Pieces that more than ``MOST_ALIKE``
+rows have alike (same doc_id or none, same cluster) are dealt by a number of their own. A bin lies in one lot.
 
 Null text: no words. A null source is a source of its own, a null cluster conflicts with nothing, a null
 doc_id is an id. Repeated rows are copies of each other. An empty table gives no bins. Other columns are ignored.
@@ -34,6 +35,8 @@ from order_analytics.operators import staging
 CAPACITY = 2_048
 PER_SOURCE = 8
 LOT_LENGTH = 1_000_000
+#: Pieces of one id, number and cluster that are dealt to one lot.
+MOST_ALIKE = 1_000
 
 PACKED = "piece int, start bigint, length int, bin bigint, place int, offset int"
 
@@ -137,16 +140,22 @@ def pack(
     length: Column | None = None,
     cluster: Column | None = None,
     lot_length: int = LOT_LENGTH,
+    most_alike: int = MOST_ALIKE,
 ) -> DataFrame:
     """doc_id, source, cluster and, of each piece, its number, start and length, bin, place and offset."""
     text = F.col("text").cast("string")
     length = word_count(text) if length is None else length
     cluster = F.xxhash64(F.coalesce(text, F.lit(""))) if cluster is None else cluster.cast("bigint")
-    pieces, _ = staging.write_table(pieces_of(documents, capacity, length, cluster), "pieces")
+    dealt = F.xxhash64("doc_id", "piece", "cluster")
+    # the tag is fixed by the write, so a repeated task deals alike
+    tagged = pieces_of(documents, capacity, length, cluster).withColumns({"dealt": dealt, "tag": F.monotonically_increasing_id()})
+    pieces, _ = staging.write_table(tagged, "pieces")
     # every piece weighs a little, so that very many empty ones make lots as well
     total = pieces.agg(F.sum(F.col("length") + F.lit(capacity // 64 + 1))).first()[0] or 0
     lots = max(1, -(-total // lot_length))
-    lot = F.pmod(F.xxhash64("doc_id", "piece", "cluster"), F.lit(lots))
+    alike = pieces.groupBy("dealt").agg(F.count("*").alias("alike")).filter(F.col("alike") > most_alike)
+    salted = F.when(F.col("alike").isNotNull(), F.xxhash64("dealt", "tag")).otherwise(F.col("dealt"))
+    pieces = pieces.join(alike, "dealt", "left").withColumn("lot", F.pmod(salted, F.lit(lots))).drop("dealt", "tag", "alike")
 
     def pack_group(key: tuple, rows: pa.Table) -> pa.Table:
         order = [("length", "descending"), *((name, "ascending") for name in ("cluster", "doc_id", "piece", "source"))]
@@ -161,4 +170,4 @@ def pack(
 
     kind = documents.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, source string, cluster bigint, {PACKED}"
-    return pieces.withColumn("lot", lot).groupBy("lot").applyInArrow(pack_group, schema)
+    return pieces.groupBy("lot").applyInArrow(pack_group, schema)
