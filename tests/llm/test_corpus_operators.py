@@ -144,6 +144,16 @@ def test_packing_keeps_everything_apart(table):
     assert packing.pack(table([])).count() == 0
 
 
+def test_packing_deals_equal_rows_over_the_lots(table):
+    rows = [(None, "word " * 20)] * 3_000 + [(7, "other " * 20)] * 3_000 + [(k, "w " * 20) for k in range(500)]
+    found = packing.pack(table(rows), capacity=64, lot_length=14_300, most_alike=100).collect()
+    assert Counter(row["doc_id"] for row in found) == Counter(i for i, _ in rows)
+    lots = Counter(row["bin"] % 10 for row in found)
+    assert len(lots) == 10 and max(lots.values()) < 800
+    bins = Counter((row["bin"], row["cluster"]) for row in found)
+    assert max(bins.values()) == 1
+
+
 PAGE = "page_id bigint, url string, html string, digest string, record string"
 
 
@@ -154,11 +164,13 @@ def warc_rows():
     return rows + [(100 + k, f"h{k}", "hot") for k in range(500)]
 
 
-@pytest.mark.parametrize("least", [0, 5])
-def test_archives(spark, tmp_path, least):
+@pytest.mark.parametrize(("least", "bits"), [(0, warc.FILTER_BITS), (5, warc.FILTER_BITS), (0, 8)])
+def test_archives(spark, tmp_path, monkeypatch, least, bits):
+    """With eight bits the filters hold nearly everything, so the exact join decides."""
     rows = warc_rows()
     path = str(tmp_path / "archives")
-    warc.write_archives(spark.createDataFrame([(*row, "d", "r") for row in rows], PAGE), path, least_bytes=least)
+    monkeypatch.setattr(warc, "BITMAP_BITS", min(warc.BITMAP_BITS, bits))
+    warc.write_archives(spark.createDataFrame([(*row, "d", "r") for row in rows], PAGE), path, least_bytes=least, filter_bits=bits)
     found = warc.read_archives(spark, path).collect()
     largest = {}
     for page, _, html in rows:
@@ -176,6 +188,34 @@ def test_archives(spark, tmp_path, least):
     assert all(row["intact"] in (True, None) for row in found)
 
 
+def test_filters_have_no_false_negatives(spark):
+    rows = spark.range(0, 60_000).select(F.col("id").alias("page_id"), F.md5(F.col("id").cast("string")).alias("digest"))
+    some = rows.filter("page_id % 3 = 0")
+    for bits in (1 << 28, 1 << 15):
+        tested = warc.Filter(some, 1, bits).test(rows, "hit").groupBy(F.expr("page_id % 3 = 0").alias("inside"), "hit").count()
+        counts = {(row["inside"], row["hit"]): row["count"] for row in tested.collect()}
+        assert counts[True, True] == 20_000 and (True, False) not in counts
+        assert counts.get((False, True), 0) < (1_500 if bits > 1 << 15 else 40_001)
+
+
+def test_payloads_are_not_shuffled_and_large_records_have_files_of_their_own(spark, tmp_path):
+    import gzip
+    from pathlib import Path
+
+    rows = [(k, f"http://a/{k}", "same payload" if k % 3 == 0 else f"page {k} " * 10) for k in range(300)]
+    rows += [(1000 + k, "u", chr(97 + k) * (1 << 22)) for k in range(2)] + [(2000 + k, "u", chr(97 + k) * 300_000) for k in range(3)]
+    path = tmp_path / "archives"
+    warc.write_archives(spark.createDataFrame([(*row, "d", "r") for row in rows], PAGE), str(path))
+    files = [list(warc.parse_archive(file.read_bytes())) for file in path.glob("*.gz")]
+    assert sum(map(len, files)) == len(rows)
+    for file in files:
+        if any(record["payload_bytes"] >= 1 << 22 for record in file):
+            assert len(file) == 1
+    text = b"".join(gzip.decompress(Path(file).read_bytes()) for file in path.glob("*.gz")).decode()
+    assert text.count("same payload") == 1
+    assert text.count("WARC-Refers-To-Target-URI: http://a/297\r\n") == text.count("WARC-Refers-To-Date: ") == 99
+
+
 def test_damaged_archives_are_named(spark, tmp_path):
     import gzip
     from pathlib import Path
