@@ -16,7 +16,7 @@ anchors at equal places, so they meet by the anchor's hash, and only about two i
 5. ``spans``: the units of each text that are covered.
 
 A document is known by its id and the hash of its text. Rows without id are not compared with others.
-Rows that share an id are not earlier than each other; fully equal rows get equal results.
+Rows that share an id are not earlier than each other; fully equal rows get equal results, and their spans are listed once.
 """
 
 from __future__ import annotations
@@ -188,6 +188,15 @@ def contexts(held: DataFrame) -> DataFrame:
     return held.groupBy("anchor", "context").agg(F.min(F.struct("doc_id", "at", "text_hash")).alias("first"))
 
 
+def _once(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of a task without those that repeat the id and text of an earlier one."""
+    seen: set[tuple[int, int]] = set()
+    for batch in batches:
+        names = zip(batch.column("doc_id").to_pylist(), batch.column("text_hash").to_pylist(), strict=True)
+        fresh = [name not in seen and not seen.add(name) for name in names]
+        yield batch.filter(pa.array(fresh, pa.bool_()))
+
+
 def bodies(rows: DataFrame, found: DataFrame, passage: Passage, written: list[str]) -> DataFrame:
     """The contexts that share an anchor with another, as ``CONTEXT`` rows with their units' bytes."""
     wanted = shared_anchors(found, written).select("anchor", "context", "first.*")
@@ -195,7 +204,7 @@ def bodies(rows: DataFrame, found: DataFrame, passage: Passage, written: list[st
     texts = rows.select("doc_id", "text_hash", "text").join(wanted, ["doc_id", "text_hash"])
 
     def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for some, texts in steps(batches, "text"):
+        for some, texts in steps(_once(batches), "text"):
             sequence = sequence_of(texts, passage.unit)
             lists = some.column("wanted")
             owner = np.repeat(np.arange(len(lists)), lists.value_lengths().to_numpy())
@@ -392,7 +401,7 @@ def spans(rows: DataFrame, passage: Passage, method: Method, by_document: bool,
     whole = F.struct((F.col("place") - F.col("before")).alias("start"), (F.col("place") + passage.seed + F.col("after")).alias("end"))
     parts = F.transform("ranges", lambda x: F.struct((x["start"] + F.col("place")).alias("start"), (x["end"] + F.col("place")).alias("end")))
     covered = joined.withColumn("span", F.explode(F.when(F.col("doc_id") > F.col("first_id"), F.array(whole)).otherwise(parts)))
-    return covered.groupBy("doc_id", "text_hash").agg(F.collect_list("span").alias("spans"))
+    return covered.groupBy("doc_id", "text_hash").agg(F.collect_set("span").alias("spans"))
 
 
 def covered_units(bounds: np.ndarray, lists: pa.ListArray, more: tuple[np.ndarray, np.ndarray] | None = None) -> np.ndarray:

@@ -16,7 +16,7 @@ import pytest
 import tiktoken
 from conftest import SMALL
 
-from order_analytics.llm import backoff_lm, byte_bpe, byte_dedup, repetition, word_dedup
+from order_analytics.llm import backoff_lm, byte_bpe, byte_dedup, repeats, repetition, word_dedup
 from order_analytics.llm.lyndon_suffixes import suffix_array
 
 RANKS, PATTERN = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
@@ -179,6 +179,22 @@ def test_dedup_without_id_repeated_rows_and_nothing(table):
     assert byte_dedup.remove(table([])).count() == word_dedup.remove(table([])).count() == 0
 
 
+def test_copies_without_id_list_their_spans_once(table):
+    """What a text's spans and contexts take does not grow with its copies."""
+    text = " ".join(f"w{k}" for k in range(400))
+    sizes = []
+    for copies in (2, 200):
+        rows = repeats.keyed(table([(1, text[:700]), (2, text[500:] + " end")] + [(None, text)] * copies), ("doc_id",))
+        found = repeats.spans(rows, repeats.Passage("byte", 100, 40), byte_dedup.earlier_windows, by_document=False).collect()
+        sizes.append({row["doc_id"]: len(row["spans"]) for row in found})
+        held = repeats.anchors(rows, repeats.Passage("byte", 100, 40), by_document=False)
+        bodies = repeats.bodies(rows.coalesce(1), repeats.contexts(held), repeats.Passage("byte", 100, 40), [])
+        assert bodies.groupBy("anchor", "context").count().filter("count > 8").isEmpty()
+    assert sizes[0] == sizes[1] and sizes[0][2**63 - 1]
+    rows = [(1, text), *[(None, text)] * 300]
+    assert {r["n_removed"] for r in byte_dedup.remove(table(rows)).collect() if r["row"]["doc_id"] is None} == {len(text)}
+
+
 def test_whole_characters_leave_text(table):
     one, two = "é" * 120, "a" + "é" * 120
     found = byte_dedup.remove(table([(1, one), (2, two)]), whole_characters=True).collect()
