@@ -76,32 +76,53 @@ def test_pieces_stand_at_their_ranks():
         assert base64.b64decode(lines.readline().split()[0]) == tokens[0]
 
 
-def backoff(rows):
+def backoff(rows, order=2):
     found = [plain.words(text) for _, text in rows]
-    single = Counter(word for text in found for word in text)
-    pair = Counter(p for text in found for p in zip(text, text[1:], strict=False))
+
+    def grams(text):
+        return Counter(tuple(text[end - size : end]) for size in range(1, order + 1) for end in range(size, len(text) + 1))
+
+    counts = Counter()
+    for text in found:
+        counts.update(grams(text))
     out = []
     for (doc_id, _), text in zip(rows, found, strict=True):
-        others = max(single.total() - len(text), 1)
-        own, own_pair = Counter(text), Counter(zip(text, text[1:], strict=False))
-        alone = {w: ((single[w] - own[w]) or backoff_lm.BACKOFF) / others for w in text}
-        total = math.log(alone[text[0]]) if text else 0.0
-        for p in zip(text, text[1:], strict=False):
-            held = pair[p] - own_pair[p]
-            total += math.log(held / (single[p[0]] - own[p[0]]) if held else backoff_lm.BACKOFF * alone[p[1]])
-        out.append((doc_id, len(text), total))
+        others, own = max(sum(map(len, found)) - len(text), 1), grams(text)
+
+        def logarithm(gram, others=others, own=own):
+            held = counts[gram] - own[gram]
+            if len(gram) == 1:
+                return math.log((held or backoff_lm.BACKOFF) / others)
+            if held:
+                return math.log(held / (counts[gram[:-1]] - own[gram[:-1]]))
+            return math.log(backoff_lm.BACKOFF) + logarithm(gram[1:])
+
+        total = sum(logarithm(tuple(text[max(0, end - order) : end])) for end in range(1, len(text) + 1))
+        out.append((doc_id, len(text), float(total)))
     return out
 
 
-@pytest.mark.parametrize("lot_bytes", [1 << 22, 20_000])
-def test_backoff_scores(table, documents, lot_bytes):
-    rows = documents + [(10_000 + k, text) for k, text in enumerate(ODD)] + [(None, "no id is an id"), (5, "twice a row"), (5, "twice a row")]
-    found = backoff_lm.score(table(rows), lot_bytes=lot_bytes, table_bytes=lot_bytes).collect()
+def same_scores(found, expected):
     key = lambda row: (row[0] is None, row[0] or 0, row[1], row[2])
-    for ours, theirs in zip(sorted(map(tuple, found), key=key), sorted(backoff(rows), key=key), strict=True):
+    for ours, theirs in zip(sorted(map(tuple, found), key=key), sorted(expected, key=key), strict=True):
         assert ours[:2] == theirs[:2] and ours[2] == pytest.approx(theirs[2], rel=1e-9)
         assert ours[3] == (pytest.approx(theirs[2] / theirs[1], rel=1e-9) if theirs[1] else None)
-    assert backoff_lm.score(table([])).count() == 0
+
+
+@pytest.mark.parametrize(("lot_bytes", "order"), [(1 << 22, 2), (20_000, 2), (40_000, 3), (1 << 22, 4)])
+def test_backoff_scores(table, documents, lot_bytes, order):
+    rows = documents[:: 1 if order == 2 else 4] + [(10_000 + k, text) for k, text in enumerate(ODD)]
+    rows += [(None, "no id is an id"), (5, "twice a row"), (5, "twice a row"), (20_000, "one"), (20_001, "twice a"), (20_002, "a twice a row a")]
+    found = backoff_lm.score(table(rows), lot_bytes=lot_bytes, table_bytes=lot_bytes, order=order).collect()
+    same_scores(found, backoff(rows, order))
+    if order == 2:
+        assert backoff_lm.score(table([])).count() == 0
+
+
+def test_backoff_scores_of_very_many_equal_rows(table, documents):
+    rows = documents[:40] + [(None, "a row that comes again")] * 3_000 + [(5, "twice a row")] * 2 + [(None, None)] * 500
+    found = backoff_lm.score(table(rows), lot_bytes=20_000, table_bytes=20_000).collect()
+    same_scores(found, backoff(rows))
 
 
 def test_repetition_measures(table, documents):
