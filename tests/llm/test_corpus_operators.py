@@ -278,6 +278,16 @@ def test_sharding_of_equal_rows_without_an_id(spark):
     assert max(row["n"] for row in found) < 1.05 * min(row["n"] for row in found)
 
 
+def test_groups_stay_in_a_shard_while_they_fit(spark, table):
+    groups = [(f"text {k} " * 12, 1 + k % 7) for k in range(1_500)]  # each 0.3 percent of a shard at most
+    rows = [(k * 10 + n, text) for k, (text, copies) in enumerate(groups) for n in range(copies)] + [(90_000 + k, "hot " * 30) for k in range(3_000)]
+    found = sharding.shard(table(rows), shards=4)
+    spread = {row["text_crc32"]: row["shards"] for row in found.groupBy("text_crc32").agg(F.countDistinct("shard").alias("shards")).collect()}
+    assert spread.pop(zlib.crc32(b"hot " * 30)) == 4 and set(spread.values()) == {1}
+    sizes = [row["size"] for row in found.groupBy("shard").agg(F.sum("size").alias("size")).collect()]
+    assert max(sizes) < 1.01 * min(sizes)
+
+
 def test_directions_take_the_highest_dot_product():
     draw = np.random.default_rng(4)
     vectors = draw.integers(1, 50, (60, 3)).astype(float)
