@@ -5,11 +5,11 @@ word is removed that is in a window which also starts in a document with a small
 judged on the input.
 
 Suffixes are taken at anchors (see ``repeats``), so the anchor's words are the prefix that partitions them.
-Groups that do not fit get longer prefixes, until they do. In a group the suffixes behind
-the prefix are sorted; the runs of neighbours that share at least d words are the nodes of the suffix
-tree at depth d. A window that starts o words before the anchor needs a node that is ``length - o`` words
-deep; of the suffixes below that node, those with the same o words before the anchor hold the same window. So
-deep nodes give the repeats right of the prefix, and the words left of it make them maximal.
+Groups that do not fit get longer prefixes, until they do. In a group the suffixes behind the prefix are sorted and make a suffix
+tree (``suffix_tree``). Its deep internal nodes are the strings that repeat and go no further to the right. A window that starts
+o words before the anchor needs a node that is ``length - o`` words deep behind it: each suffix climbs from its leaf to the highest such node, one step at most
+when o grows by one. Of the suffixes below that node, those with the same o words before the anchor hold the same window, so the words
+left of the prefix make the repeat maximal on that side. A suffix that is still at its leaf repeats nothing.
 
 A null text has no words. A null doc_id comes after all others; rows that share one are not earlier than each other. Texts of
 fewer words than a window are left as they are. An empty table gives no rows. Other columns are ignored.
@@ -26,6 +26,7 @@ from pyspark.sql import types as T
 
 from order_analytics.llm import repeats
 from order_analytics.llm.batches import MULTIPLIER, binary_column, mix, steps, words_of
+from order_analytics.llm.suffix_tree import suffix_tree
 
 LENGTH = 50
 SEED = 25
@@ -47,10 +48,11 @@ def earlier_windows(rows: repeats.Contexts, passage: repeats.Passage) -> tuple[n
     right = _beside(sequence.symbols, anchor + passage.seed, 1, rows.after, passage.reach)
     order = np.lexsort((*right.T[::-1], group))
     right, group = right[order], group[order]
-    # depth at which a suffix leaves the one before it
     differs = right[1:] != right[:-1]
-    depth = np.where(differs.any(axis=1), differs.argmax(axis=1), passage.reach)
-    depth = np.concatenate([[-1], np.where(group[1:] == group[:-1], depth, -1)])
+    shared = np.where(differs.any(axis=1), differs.argmax(axis=1), passage.reach)
+    shared = np.concatenate([[-1], np.where(group[1:] == group[:-1], shared, -1)])
+    tree = suffix_tree(shared, passage.reach)
+    node = np.arange(tree.leaves)
 
     left = _beside(sequence.symbols, anchor - 1, -1, rows.before, passage.reach)[order]
     rolled = np.zeros(len(order), np.uint64)
@@ -60,8 +62,8 @@ def earlier_windows(rows: repeats.Contexts, passage: repeats.Passage) -> tuple[n
     for start in range(passage.reach + 1):
         if start:
             rolled = mix(rolled * np.uint64(MULTIPLIER) + left[:, start - 1])
-        node = np.cumsum(depth < passage.reach - start)
-        some = np.flatnonzero((start >= least) & (start <= greatest))
+        node = tree.climb(node, passage.reach - start)
+        some = np.flatnonzero((start >= least) & (start <= greatest) & (node > tree.leaves))
         if not len(some):
             continue
         _, place = np.unique(mix(node[some].astype(np.uint64) + rolled[some]), return_inverse=True)

@@ -18,6 +18,7 @@ from conftest import SMALL
 
 from order_analytics.llm import backoff_lm, byte_bpe, byte_dedup, repeats, repetition, word_dedup
 from order_analytics.llm.lyndon_suffixes import suffix_array
+from order_analytics.llm.suffix_tree import suffix_tree
 
 RANKS, PATTERN = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
 #: Names that the operators use for columns of their own.
@@ -145,6 +146,25 @@ def test_suffix_array_equals_sorting():
     assert suffix_array(np.zeros(0, int)).tolist() == []
 
 
+def test_suffix_tree_equals_common_prefixes():
+    draw = random.Random(4)
+    for letters, count in ((1, 6), (2, 40), (3, 60), (9, 30), (2, 1)):
+        strings = sorted("".join(draw.choice("abcdefghi"[:letters]) for _ in range(7)) for _ in range(count))
+        common = lambda one, other: next((k for k in range(7) if one[k] != other[k]), 7)
+        shared = [-1, *(common(one, other) for one, other in zip(strings, strings[1:], strict=False))]
+        if count > 10:
+            shared[5] = -1  # two groups
+        tree = suffix_tree(np.array(shared), 7)
+        node = np.arange(count)
+        for depth in range(7, -1, -1):
+            node = tree.climb(node, depth)
+            for one in range(count):
+                below = {other for other in range(count) if node[other] == node[one]}
+                near = {other for other in range(count) if min([*shared[min(one, other) + 1 : max(one, other) + 1], 7]) >= depth}
+                assert below == near and (len(near) > 1) == bool(node[one] > tree.leaves)
+    assert suffix_tree(np.zeros(0, int), 7).parent.tolist() == [0]
+
+
 def similar_texts(seed: int, count: int, size: int) -> list[str]:
     """Texts that share passages: cut, edited and repeated pieces of a few sources."""
     draw = random.Random(seed)
