@@ -34,8 +34,10 @@ from order_analytics.operators import staging
 
 #: Contexts of one group that are compared with each other at most.
 MOST_CONTEXTS = 500
-#: Bytes of contexts that are compared in one step.
-STEP_CONTEXT_BYTES = 1 << 20
+#: Bytes of text whose windows are hashed in one step: some fifteen numbers of 8 bytes for each are held at a time.
+STEP_TEXT_BYTES = 1 << 20
+#: Bytes of contexts that are compared in one step; the suffix array holds some 300 bytes for each token of them.
+STEP_CONTEXT_BYTES = 1 << 19
 
 #: A position takes 30 bits beside the 34 highest bits of a hash.
 PLACE_BITS = 30
@@ -142,7 +144,7 @@ def anchors(rows: DataFrame, passage: Passage, by_document: bool) -> DataFrame:
     """
 
     def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for some, texts in steps(batches, "text"):
+        for some, texts in steps(batches, "text", STEP_TEXT_BYTES):
             sequence = sequence_of(texts, passage.unit)
             runs = runs_of(sequence.symbols, sequence.bounds, passage)
             fresh = ~runs.again | by_document
@@ -194,7 +196,7 @@ def _once(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         names = zip(batch.column("doc_id").to_pylist(), batch.column("text_hash").to_pylist(), strict=True)
         fresh = [name not in seen and not seen.add(name) for name in names]
-        yield batch.filter(pa.array(fresh, pa.bool_()))
+        yield batch if all(fresh) else batch.filter(pa.array(fresh, pa.bool_()))
 
 
 def bodies(rows: DataFrame, found: DataFrame, passage: Passage, written: list[str]) -> DataFrame:
@@ -204,7 +206,7 @@ def bodies(rows: DataFrame, found: DataFrame, passage: Passage, written: list[st
     texts = rows.select("doc_id", "text_hash", "text").join(wanted, ["doc_id", "text_hash"])
 
     def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for some, texts in steps(_once(batches), "text"):
+        for some, texts in steps(_once(batches), "text", STEP_TEXT_BYTES):
             sequence = sequence_of(texts, passage.unit)
             lists = some.column("wanted")
             owner = np.repeat(np.arange(len(lists)), lists.value_lengths().to_numpy())
