@@ -15,6 +15,9 @@ from pyspark.sql import DataFrame, SparkSession
 from order_analytics import session
 
 
+#: Of tables that are written once and read by several plans.
+COMPRESSION = "zstd"
+
 #: Rounds of collecting garbage, and seconds after each.
 RELEASE_ROUNDS, RELEASE_PAUSE = 3, 0.4
 
@@ -24,11 +27,11 @@ def new_path(spark: SparkSession, label: str) -> str:
     return f"{session.staging_folder(spark)}/staged/{label}-{uuid.uuid4().hex}"
 
 
-def write_table(df: DataFrame, label: str) -> tuple[DataFrame, str]:
+def write_table(df: DataFrame, label: str, compression: str | None = None) -> tuple[DataFrame, str]:
     """Write ``df`` to a new folder under the staging folder; return it read back, and the path."""
     spark = df.sparkSession
     path = new_path(spark, label)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return spark.read.schema(df.schema).parquet(path), path
 
 
@@ -58,7 +61,7 @@ class Stage:
         self._paths: list[str] = []
 
     def keep(self, df: DataFrame, label: str) -> DataFrame:
-        staged, path = write_table(df, label)
+        staged, path = write_table(df, label, COMPRESSION)
         self._paths.append(path)
         return staged
 

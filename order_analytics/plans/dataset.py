@@ -38,7 +38,7 @@ class OrderDataset:
 
     @cached_property
     def order_categories(self) -> DataFrame:
-        return self.stage.keep(facts.order_category_fact(self.lines), "order-categories")
+        return facts.staged_order_categories(self.items, self.options, self.stage)
 
     @cached_property
     def order_sets(self) -> DataFrame:

@@ -165,7 +165,7 @@ def build(items: DataFrame, options: DataFrame) -> MartState:
     spark = items.sparkSession
     session.use_utc(spark)
     stage = Stage(spark)
-    order_categories = stage.keep(facts.order_category_fact(facts.line_fact(items, options)), "order-categories")
+    order_categories = facts.staged_order_categories(items, options, stage)
     orders = facts.order_fact(order_categories)
     day = facts.fetch_analysis_date(orders)
     profile = facts.customer_profile(facts.customer_orders(orders), day).drop("RECENCY_DAYS")
@@ -196,8 +196,8 @@ def refresh(state: MartState, items: DataFrame, options: DataFrame, changes: Seq
     """The state after the changes; ``items`` and ``options`` are the tables after them. The old state stays readable until it is released."""
     stage = Stage(items.sparkSession)
     ids = stage.keep(changed_orders(changes), "changed-orders")
-    lines = facts.line_fact(items.join(ids, "ORDER_ID", "left_semi"), options.join(ids, "ORDER_ID", "left_semi"))
-    fresh = stage.keep(facts.order_category_fact(lines), "order-categories")
+    theirs = [rows.join(ids, "ORDER_ID", "left_semi") for rows in (items, options)]
+    fresh = facts.staged_order_categories(*theirs, stage)
     gone = state.order_categories.join(ids, "ORDER_ID", "left_semi").select(fresh.columns)
     signed = stage.keep(_signed(gone, -1).unionAll(_signed(fresh, 1)), "signed-order-categories")
     layered = state.order_categories.join(ids, "ORDER_ID", "left_anti").select(fresh.columns).unionAll(fresh)

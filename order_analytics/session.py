@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import functools
 import tempfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -56,6 +58,18 @@ def use_utc(spark: SparkSession) -> None:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
+@contextmanager
+def joined_as_placed(spark: SparkSession) -> Iterator[None]:
+    """While it lasts, a join takes sides that are both placed by the same part of its key as they lie."""
+    name = "spark.sql.requireAllClusterKeysForCoPartition"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "false")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 @functools.cache
 def _local_folder(application_id: str) -> str:
     return tempfile.mkdtemp(prefix="order-analytics-")

@@ -33,6 +33,9 @@ ITEM_COLUMNS = {
     "ITEM_QUANTITY": "CASE WHEN l_linenumber = 7 THEN NULL ELSE CAST(l_quantity AS int) END",
 }
 
+#: The price at its final width before the lines travel to their order and part.
+AS_PRICED = {"l_extendedprice": ITEM_COLUMNS["ITEM_PRICE"]}
+
 # Rows that break the gates, each by its own rule.
 FLAWED_COLUMNS = {
     "ORDER_ID": "CASE WHEN l_quantity = 49 THEN NULL ELSE concat('O', l_orderkey) END",
@@ -67,8 +70,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _lines(spark: SparkSession, sf_dir: str, **narrowed: str) -> DataFrame:
+    """Lines with their order and part. ``narrowed`` has what to keep of columns of the lines, so that no more of them travels."""
     lines = table(spark, sf_dir, "lineitem")
+    kept = {"l_shipdate": "CAST(l_shipdate AS date)", **narrowed}
+    lines = lines.withColumns({name: F.expr(text) for name, text in kept.items()})
     orders = table(spark, sf_dir, "orders")
     parts = table(spark, sf_dir, "part")
     return lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).join(
@@ -81,12 +87,12 @@ def _select(df: DataFrame, columns: dict[str, str]) -> DataFrame:
 
 
 def order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _select(_lines(spark, sf_dir), ITEM_COLUMNS)
+    return _select(_lines(spark, sf_dir, **AS_PRICED), ITEM_COLUMNS)
 
 
 def coarse_order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines known by their line number alone, which is not unique within an order."""
-    return _select(_lines(spark, sf_dir), ITEM_COLUMNS | {"LINEITEM_ID": COARSE_LINE_ID})
+    return _select(_lines(spark, sf_dir, **AS_PRICED), ITEM_COLUMNS | {"LINEITEM_ID": COARSE_LINE_ID})
 
 
 def order_item_options(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -144,7 +150,7 @@ def _as_raw(df: DataFrame, source: str) -> DataFrame:
 
 def raw_order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     offset = {"CREATION_TIME_UTC": f"concat(CAST({CREATED} AS string), '.000000 +00:00')"}
-    return _as_raw(_select(_lines(spark, sf_dir), ITEM_COLUMNS | offset), "order_items")
+    return _as_raw(_select(_lines(spark, sf_dir, **AS_PRICED), ITEM_COLUMNS | offset), "order_items")
 
 
 def flawed_order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -206,14 +212,14 @@ def repeated_options(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def earlier_order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     """An older snapshot: without the orders of 2001, and with open lines at another price."""
-    older = _lines(spark, sf_dir).filter("o_orderdate < DATE'2001-01-01'")
-    price = {"ITEM_PRICE": "CAST(CASE WHEN l_linestatus = 'O' THEN l_extendedprice + 1 ELSE l_extendedprice END AS float)"}
-    return _select(older, ITEM_COLUMNS | price)
+    price = "CAST(CASE WHEN l_linestatus = 'O' THEN l_extendedprice + 1 ELSE l_extendedprice END AS float)"
+    older = _lines(spark, sf_dir, l_extendedprice=price).filter("o_orderdate < DATE'2001-01-01'")
+    return _select(older, ITEM_COLUMNS)
 
 
 def later_order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A newer snapshot: returned lines are gone."""
-    return _select(_lines(spark, sf_dir).filter("l_returnflag <> 'R'"), ITEM_COLUMNS)
+    return _select(_lines(spark, sf_dir, **AS_PRICED).filter("l_returnflag <> 'R'"), ITEM_COLUMNS)
 
 
 LAST_MONTH, LAST_WEEK = "o_orderdate >= DATE'2001-07-01'", "o_orderdate >= DATE'2001-07-25'"
@@ -221,7 +227,7 @@ LAST_MONTH, LAST_WEEK = "o_orderdate >= DATE'2001-07-01'", "o_orderdate >= DATE'
 
 def order_items_before_the_last_week(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All lines but those of the newest orders."""
-    return _select(_lines(spark, sf_dir).filter(f"NOT ({LAST_WEEK})"), ITEM_COLUMNS)
+    return _select(_lines(spark, sf_dir, **AS_PRICED).filter(f"NOT ({LAST_WEEK})"), ITEM_COLUMNS)
 
 
 def order_items_after_the_last_week(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -205,3 +205,30 @@ def test_line_sales_use_the_time_of_the_order(data):
     built = data([item(time="2024-05-02 01:00:00"), item(line="L2", time="2024-05-01 23:00:00")])
     days = {row["ORDER_DATE"] for row in facts.line_sales_fact(built.lines, built.orders).collect()}
     assert days == {date(2024, 5, 1)}
+
+
+def test_lines_and_options_travel_once_before_the_sums_per_order(spark, frame):
+    """Two shuffles to the lines with their options, and one of sums per slice to their order; no fourth."""
+    from order_analytics import session
+
+    items = frame([item(line=f"L{number}", category=f"c{number % 3}") for number in range(12)], ITEM_SCHEMA)
+    options = frame([option(line="L1", price=0), option(line="L2", price=3, quantity=2)], OPTION_SCHEMA)
+    with session.joined_as_placed(spark):
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        try:
+            plan = facts.order_category_fact(facts.sliced_line_fact(items, options))._jdf.queryExecution().executedPlan().toString()
+        finally:
+            spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plan.count("Exchange hashpartitioning(") == 3
+
+
+def test_sums_by_slice_equal_sums_by_line(spark, frame):
+    """Null, repeated and hot keys included."""
+    rows = [item(line=f"L{number}", category=None if number % 5 == 0 else f"c{number % 3}", price=float(number), user=None) for number in range(300)]
+    rows += [item(order="O2", line=None), item(order=None, line="L1"), item(order="O3"), item(order="O3"), item(order="O4", restaurant="R2", loyalty="TRUE")]
+    items = frame(rows, ITEM_SCHEMA)
+    options = frame([option(line=f"L{number}", price=number % 4) for number in range(0, 300, 2)] + [option(order="O3", price=2), option(order="O2", line=None)], OPTION_SCHEMA)
+    by_line = facts.order_category_fact(facts.line_fact(items, options))
+    by_slice = facts.order_category_fact(facts.sliced_line_fact(items, options))
+    assert sorted(map(str, by_slice.collect())) == sorted(map(str, by_line.collect()))
+    assert by_slice.columns == by_line.columns
