@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from order_analytics.operators.selection import Found, Wanted, text_at, values_at
-from order_analytics.operators.staging import Stage, drop_table, write_table
+from order_analytics.operators.staging import COMPRESSION, Stage, drop_table, write_table
 
 STAMP = "__STAMP"
 # monotonically_increasing_id keeps the partition above bit 33 and the offset below.
@@ -29,7 +29,7 @@ OFFSET_BITS = 33
 def _stamped(df: DataFrame, order: list[Column], label: str) -> tuple[DataFrame, str, dict[int, int], int]:
     """Sorted and stamped rows, their path, the rows ahead of each partition, and the row total."""
     stamped, path = write_table(
-        df.sort(*order).withColumn(STAMP, F.monotonically_increasing_id()), label
+        df.sort(*order).withColumn(STAMP, F.monotonically_increasing_id()), label, COMPRESSION
     )
     sizes = stamped.groupBy(F.shiftright(STAMP, OFFSET_BITS).alias("PART")).count().orderBy("PART").collect()
     ahead = accumulate((row["count"] for row in sizes), initial=0)

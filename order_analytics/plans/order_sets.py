@@ -28,14 +28,19 @@ def numbered_orders(orders: DataFrame, stage: Stage) -> DataFrame:
 
 
 def order_sets(order_categories: DataFrame, stage: Stage) -> DataFrame:
-    """A bitmap of orders for each day, restaurant, category and range of order numbers."""
+    """A bitmap of orders for each day, restaurant, category and range of order numbers.
+
+    Numbers travel, not bitmaps: a group and range has 32,768 of them at most, so it needs no partial bitmaps of 4 KB each.
+    Rows are written by category, so that a few categories are read without the bitmaps of the others.
+    """
     numbers = numbered_orders(order_categories.filter("LEADS_ORDER"), stage)
     rows = order_categories.select(*facts.ORDER_KEY, F.to_date("ORDER_TIMESTAMP").alias("PERIOD_START_DATE"), "ITEM_CATEGORY")
     named = rows.join(numbers, list(facts.ORDER_KEY))
-    sets = named.groupBy(*GROUP, F.bitmap_bucket_number("ORDER_NUMBER").alias("RANGE")).agg(
-        F.bitmap_construct_agg(F.bitmap_bit_position("ORDER_NUMBER")).alias("ORDERS")
+    thin = named.select(*GROUP, F.bitmap_bucket_number("ORDER_NUMBER").alias("RANGE"), F.bitmap_bit_position("ORDER_NUMBER").alias("BIT"))
+    sets = thin.repartition(*GROUP, "RANGE").groupBy("ITEM_CATEGORY", "PERIOD_START_DATE", "RESTAURANT_ID", "RANGE").agg(
+        F.bitmap_construct_agg("BIT").alias("ORDERS")
     )
-    return stage.keep(sets, "order-sets")
+    return stage.keep(sets.select(*GROUP, "RANGE", "ORDERS"), "order-sets")
 
 
 def order_counts(sets: DataFrame, by: Sequence, categories: Sequence[str] | None = None) -> DataFrame:

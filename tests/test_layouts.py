@@ -115,3 +115,16 @@ def test_footers_answer_without_columns(spark, frame, tmp_path):
     plan = plan_of(found)
     assert re.search(r"PushedAggregation: \[(?!\])", plan) and "BatchScan" in plan
     assert footers.row_count(spark, path) == 19
+
+
+def test_order_numbers_travel_and_not_bitmaps(spark, frame):
+    """No exchange stands above a bitmap of 4 KB: each is made where its numbers have met."""
+    data = OrderDataset(frame([item(category="A"), item(line="L2", category="B")], ITEM_SCHEMA), frame([], OPTION_SCHEMA))
+    staged = data.order_categories
+
+    class Unstaged(type(data.stage)):
+        def keep(self, df, label):
+            return df
+
+    plan = order_sets.order_sets(staged, Unstaged(spark))._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan[: plan.index("partial_bitmap_construct_agg")]
