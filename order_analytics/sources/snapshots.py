@@ -73,7 +73,7 @@ def write_candidate(df: DataFrame, path: str) -> tuple[int, int]:
     """Write the next version, unpublished; return its number and the rows counted during the write."""
     version = next_version(df.sparkSession, path)
     written = Observation()
-    df.observe(written, F.count(F.lit(1)).alias("ROWS")).write.parquet(version_path(path, version))
+    df.observe(written, F.count(F.lit(1)).alias("ROWS")).write.parquet(version_path(path, version), compression="zstd")
     return version, written.get["ROWS"]
 
 

@@ -181,3 +181,19 @@ def test_pipeline_stops_at_a_broken_gate(spark, tmp_path):
     stored = snapshots.read_current(spark, f"{tmp_path}/raw/order_items")
     with pytest.raises(quality.QualityError, match="CAST_CREATION_TIME_UTC"):
         pipeline.conform_table(stored, pipeline.TABLES["order_items"], summary)
+
+
+def test_keys_are_checked_where_they_meet_the_target(spark, frame):
+    """The figures of the key check and of the changes, NULL and repeated keys included, from one exchange of each side."""
+    old = frame([("a", 1), ("b", 2), (None, 3)], "K string, V int")
+    new = frame([("b", 2), ("c", 3), ("c", 4), (None, 3)], "K string, V int")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        changes = sync.keyed_changes(old, new, ["K"])
+        plan = changes._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plan.count("Exchange hashpartitioning") == 2
+    assert changes.first().asDict() == {
+        "INSERT_ROWS": 2, "UPDATE_ROWS": 1, "DELETE_ROWS": 2, "UNCHANGED_ROWS": 0, "TARGET_ROWS": 3, "FINAL_ROWS": 3, "ROWS": 4, "DUPLICATE_KEYS": 1,
+    }
