@@ -294,6 +294,7 @@ def sync_changed_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return named.withColumns({name: F.lit(summary[name]).cast("bigint") for name in counted})
 
 
+#: Buckets of the line key at least; more where the session's shuffles need more, so that a bucket stays one task's worth.
 KEYED_BUCKETS = 8
 
 
@@ -306,7 +307,8 @@ def _keyed_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         "options": (fixtures.repeated_options(own, sf_dir), ORDER_ITEM_OPTIONS.key),
     }
     distinct = {name: (conform.drop_exact_duplicates(rows), key) for name, (rows, key) in built.items()}
-    return keyed.write_all(distinct, staging.new_path(spark, "keyed"), facts.LINE_KEY, KEYED_BUCKETS)
+    number = max(KEYED_BUCKETS, int(own.conf.get("spark.sql.shuffle.partitions")))
+    return keyed.write_all(distinct, staging.new_path(spark, "keyed"), facts.LINE_KEY, number)
 
 
 def keyed_work(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:

@@ -55,7 +55,7 @@ def table_name(path: str) -> str:
 def write(df: DataFrame, path: str, layout: Layout) -> DataFrame:
     """Write ``df`` to a new folder in this layout, one file a bucket, and read it back."""
     placed = df.repartition(layout.buckets, *layout.columns)
-    writer = placed.write.format("parquet").option("path", path).bucketBy(layout.buckets, *layout.columns)
+    writer = placed.write.format("parquet").option("path", path).option("compression", staging.COMPRESSION).bucketBy(layout.buckets, *layout.columns)
     writer.sortBy(*layout.order).saveAsTable(table_name(path))
     return df.sparkSession.table(table_name(path))
 

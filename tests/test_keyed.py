@@ -56,3 +56,14 @@ def test_a_table_is_read_by_another_session(spark, frame, tmp_path):
 def test_the_order_starts_with_the_bucket_columns():
     with pytest.raises(ValueError, match="start with"):
         keyed.Layout(facts.LINE_KEY, ORDER_ITEMS.key[2:], 4)
+
+
+def test_buckets_grow_with_the_shuffles_of_the_session(spark):
+    """Eight buckets at any size would be tasks that grow with the tables."""
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "13")
+    try:
+        tables = registry._keyed_tables(spark, SMALL)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert {table.rdd.getNumPartitions() for table in tables.values()} == {13}
