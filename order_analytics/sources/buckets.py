@@ -130,7 +130,7 @@ def _write_buckets(rows: DataFrame, path: str, version: int, table: BucketedTabl
     """Write each touched bucket as one folder, sorted by key; the rows in each."""
     placed = rows.repartition(max(1, touched), BUCKET).sortWithinPartitions(BUCKET, *table.spec.key)
     target = _folder(path, version, "rows")
-    placed.write.partitionBy(BUCKET).parquet(target)
+    placed.write.partitionBy(BUCKET).parquet(target, compression=staging.COMPRESSION)
     stored = StructType([*table.spec.schema.fields, StructField(BUCKET, IntegerType())])
     counts = rows.sparkSession.read.schema(stored).parquet(target).groupBy(BUCKET).count().collect()
     return {row[BUCKET]: row["count"] for row in counts}
@@ -165,11 +165,11 @@ def sync(spark: SparkSession, path: str, source: DataFrame, table: BucketedTable
         quality.require_none({f"DUPLICATE_KEY_{table.spec.name.upper()}": keys["DUPLICATE_KEYS"]}, table.spec.name)
         old = _read(spark, path, {n: held[n] for n in touched if n in held}, schema)
         paired = sync_rows.paired_rows(old.select(new.columns), new, [BUCKET, *table.spec.key], table.compare)
-        merged, staged = staging.write_table(paired.select(BUCKET, "ACTION", "OLD", "NEW"), "merged")
+        merged, staged = staging.write_table(paired.select(BUCKET, "ACTION", "OLD", "NEW"), "merged", staging.COMPRESSION)
         for row in merged.groupBy("ACTION").count().collect():
             summary[f"{row['ACTION']}_ROWS"] = row["count"]
         changed = [F.when(F.col(side).isNotNull(), F.struct(*[F.col(f"{side}.{name}") for name in schema.names])).alias(side) for side in ("OLD", "NEW")]
-        merged.filter("ACTION <> 'UNCHANGED'").select("ACTION", *changed).write.parquet(_folder(path, version, "changes"))
+        merged.filter("ACTION <> 'UNCHANGED'").select("ACTION", *changed).write.parquet(_folder(path, version, "changes"), compression=staging.COMPRESSION)
         kept = F.when(F.col("ACTION") == "UNCHANGED", F.col("OLD")).otherwise(F.col("NEW"))  # which keeps its lineage
         rows = merged.filter("ACTION <> 'DELETE'").select(kept.alias("ROW")).select("ROW.*")
         written = _write_buckets(rows, path, version, table, len(touched))
