@@ -7,7 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from order_analytics.operators import quality
+from order_analytics.operators import membership, quality
+from order_analytics.operators.staging import Stage
 from order_analytics.schemas import TableSpec
 from order_analytics.sources import snapshots
 
@@ -52,11 +53,40 @@ def paired_rows(old: DataFrame, new: DataFrame, key: Sequence[str], compare: Seq
     return joined.select(*key, action.alias("ACTION"), "OLD", "NEW")
 
 
-def changed_rows(old: DataFrame, new: DataFrame, key: Sequence[str], compare: Sequence[str]) -> DataFrame:
-    """``ACTION``, ``OLD`` and ``NEW`` of the rows that differ."""
+def changed_rows(
+    old: DataFrame, new: DataFrame, key: Sequence[str], compare: Sequence[str], group: str | None = None, stage: Stage | None = None
+) -> DataFrame:
+    """``ACTION``, ``OLD`` and ``NEW`` of the rows that differ.
+
+    With ``group``, a column of the key, and a stage, only digests of all rows travel: rows meet by key in the groups that do not hold
+    the same rows before and after, and in no others. So a key that is repeated or has a NULL, whose rows differ even from themselves,
+    tells no change in a group that is the same.
+    """
+    if group is not None:
+        if group not in key:
+            raise ValueError(f"{group} is no part of the key")
+        differ = membership.keep(_differing_groups(old, new, group, list(dict.fromkeys([*key, *compare]))), stage)
+        old, new = (membership.inside(rows, differ, F.xxhash64(group)) for rows in (old, new))
     return paired_rows(old, new, key, compare).filter("ACTION <> 'UNCHANGED'").select("ACTION", "OLD", "NEW")
 
 
+def _differing_groups(old: DataFrame, new: DataFrame, group: str, columns: Sequence[str]) -> DataFrame:
+    """Hashes of the groups whose rows have other digests before and after; groups that share a hash are taken as one.
+
+    A digest is the sum of the rows' hashes, in halves that cannot overflow; rows after count against those before. Hashes skip
+    NULLs, so which columns are NULL is hashed as well.
+    """
+    empty = sum((F.when(F.col(name).isNull(), 1 << place).otherwise(0).cast("bigint") for place, name in enumerate(columns)), F.lit(0))
+    digest = F.xxhash64(empty, *columns)
+    halves = {"LOW": digest.bitwiseAND(F.lit(0xFFFFFFFF)), "HIGH": F.shiftright(digest, 32)}
+
+    def side(rows: DataFrame, sign: int) -> DataFrame:
+        return rows.select(F.xxhash64(group).alias("GROUP"), *[(half * sign).alias(name) for name, half in halves.items()])
+
+    sums = side(old, -1).unionAll(side(new, 1)).groupBy("GROUP").agg(*[F.sum(name).alias(name) for name in halves])
+    return sums.filter("LOW <> 0 OR HIGH <> 0").select("GROUP")
+
+
 def change_summary(changes: DataFrame) -> DataFrame:
     """One row: rows per action, and rows before and after."""
     return changes.agg(*_summary_columns())

@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from order_analytics import session
 from order_analytics.functions.columns import MONEY, PERCENT, count_ratio, money_ratio, month_start, week_start
+from order_analytics.operators import membership
 from order_analytics.operators.staging import Stage
 from order_analytics.plans import facts, marts
 
@@ -195,12 +196,12 @@ def _hit_customers(signed: DataFrame, orders: DataFrame, before: date, after: da
 def refresh(state: MartState, items: DataFrame, options: DataFrame, changes: Sequence[DataFrame]) -> MartState:
     """The state after the changes; ``items`` and ``options`` are the tables after them. The old state stays readable until it is released."""
     stage = Stage(items.sparkSession)
-    ids = stage.keep(changed_orders(changes), "changed-orders")
-    theirs = [rows.join(ids, "ORDER_ID", "left_semi") for rows in (items, options)]
+    ids = membership.keep(changed_orders(changes), stage)
+    theirs = [membership.inside(rows, ids, F.col("ORDER_ID")) for rows in (items, options)]
     fresh = facts.staged_order_categories(*theirs, stage)
-    gone = state.order_categories.join(ids, "ORDER_ID", "left_semi").select(fresh.columns)
+    gone, left = membership.split(state.order_categories.select(fresh.columns), ids, F.col("ORDER_ID"), stage)
     signed = stage.keep(_signed(gone, -1).unionAll(_signed(fresh, 1)), "signed-order-categories")
-    layered = state.order_categories.join(ids, "ORDER_ID", "left_anti").select(fresh.columns).unionAll(fresh)
+    layered = left.unionAll(fresh)
     layers = state.layers + 1
     if layers > MOST_LAYERS:
         layered, layers = stage.keep(layered, "order-categories"), 1

@@ -362,13 +362,15 @@ def _select_exprs(df: DataFrame, columns: dict[str, str]) -> DataFrame:
 
 def mart_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Marts of an earlier snapshot brought up to date from what a later one changed: lines and options come, go and change."""
-    items = [build(spark, sf_dir) for build in (fixtures.order_items_before_the_last_week, fixtures.order_items_after_the_last_week)]
+    stage = staging.Stage(spark)
+    lines = stage.keep(fixtures.joined_lines(spark, sf_dir), "joined-lines")
+    items = [build(spark, sf_dir, lines) for build in (fixtures.order_items_before_the_last_week, fixtures.order_items_after_the_last_week)]
     later = fixtures.order_item_options(spark, sf_dir)
     options = [later.filter(~F.col("LINEITEM_ID").endswith("00")), later]
     state = refresh.build(items[0], options[0])
     changes = [
-        sync.changed_rows(*items, ORDER_ITEMS.key, ORDER_ITEMS.business_columns),
-        sync.changed_rows(*options, ORDER_ITEM_OPTIONS.key, ORDER_ITEM_OPTIONS.business_columns),
+        sync.changed_rows(*items, ORDER_ITEMS.key, ORDER_ITEMS.business_columns, "ORDER_ID", stage),
+        sync.changed_rows(*options, ORDER_ITEM_OPTIONS.key, ORDER_ITEM_OPTIONS.business_columns, "ORDER_ID", stage),
     ]
     return _figures(refresh.refresh(state, items[1], options[1], changes))
 

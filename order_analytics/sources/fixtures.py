@@ -77,8 +77,8 @@ def _lines(spark: SparkSession, sf_dir: str, **narrowed: str) -> DataFrame:
     lines = lines.withColumns({name: F.expr(text) for name, text in kept.items()})
     orders = table(spark, sf_dir, "orders")
     parts = table(spark, sf_dir, "part")
-    return lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).join(
-        parts, F.col("l_partkey") == F.col("p_partkey")
+    return lines.join(parts, F.col("l_partkey") == F.col("p_partkey")).join(
+        orders, F.col("l_orderkey") == F.col("o_orderkey")
     )
 
 
@@ -225,13 +225,23 @@ def later_order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
 LAST_MONTH, LAST_WEEK = "o_orderdate >= DATE'2001-07-01'", "o_orderdate >= DATE'2001-07-25'"
 
 
-def order_items_before_the_last_week(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All lines but those of the newest orders."""
-    return _select(_lines(spark, sf_dir, **AS_PRICED).filter(f"NOT ({LAST_WEEK})"), ITEM_COLUMNS)
+def joined_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines with their order and part, by the columns that the snapshots around the last week are made of."""
+    columns = [
+        *("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_returnflag", "l_linestatus", "l_shipdate"),
+        *("o_custkey", "o_orderstatus", "o_orderdate", "p_name", "p_type", "p_size"),
+    ]
+    return _lines(spark, sf_dir).select(columns)
 
 
-def order_items_after_the_last_week(spark: SparkSession, sf_dir: str) -> DataFrame:
+def order_items_before_the_last_week(spark: SparkSession, sf_dir: str, lines: DataFrame | None = None) -> DataFrame:
+    """All lines but those of the newest orders. ``lines`` are the ``joined_lines``, where they are there already."""
+    older = _lines(spark, sf_dir, **AS_PRICED) if lines is None else lines
+    return _select(older.filter(f"NOT ({LAST_WEEK})"), ITEM_COLUMNS)
+
+
+def order_items_after_the_last_week(spark: SparkSession, sf_dir: str, lines: DataFrame | None = None) -> DataFrame:
     """The newest orders are there; of the last month, returned lines are gone and open ones have another price."""
-    newer = _lines(spark, sf_dir).filter(f"NOT ({LAST_MONTH} AND l_returnflag = 'R')")
+    newer = (_lines(spark, sf_dir) if lines is None else lines).filter(f"NOT ({LAST_MONTH} AND l_returnflag = 'R')")
     price = f"CAST(CASE WHEN {LAST_MONTH} AND l_linestatus = 'O' THEN l_extendedprice + 1 ELSE l_extendedprice END AS float)"
     return _select(newer, ITEM_COLUMNS | {"ITEM_PRICE": price})

@@ -232,3 +232,28 @@ def test_sums_by_slice_equal_sums_by_line(spark, frame):
     by_slice = facts.order_category_fact(facts.sliced_line_fact(items, options))
     assert sorted(map(str, by_slice.collect())) == sorted(map(str, by_line.collect()))
     assert by_slice.columns == by_line.columns
+
+
+def test_whole_orders_travel_once_and_sliced_ones_give_the_same(spark, frame, monkeypatch):
+    """Two shuffles, of lines and of options, where no order is sliced; null, repeated and hot keys included."""
+    from order_analytics import session
+
+    rows = [item(line=f"L{number}", category=None if number % 5 == 0 else f"c{number % 3}", price=float(number), user=None) for number in range(300)]
+    rows += [item(order="O2", line=None), item(order=None, line="L1"), item(order="O3"), item(order="O3"), item(order="O4", restaurant="R2", loyalty="TRUE")]
+    items = frame(rows, ITEM_SCHEMA)
+    options = frame([option(line=f"L{number}", price=number % 4) for number in range(0, 300, 2)] + [option(order="O3", price=2), option(order="O2", line=None)], OPTION_SCHEMA)
+    by_line = facts.order_category_fact(facts.line_fact(items, options))
+    expected = sorted(map(str, by_line.collect()))
+    assert facts.sliced_orders(items) == []
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        with session.joined_as_placed(spark):
+            whole = facts.order_categories(items, options, [])
+            assert whole._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning(") == 2
+            assert sorted(map(str, whole.collect())) == expected and whole.columns == by_line.columns
+            monkeypatch.setattr(facts, "SLICED_LINES", 2)
+            sliced = facts.sliced_orders(items)
+            assert len(sliced) == 2  # the hot one and the one with a repeated line
+            assert sorted(map(str, facts.order_categories(items, options, sliced).collect())) == expected
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
