@@ -21,6 +21,7 @@ from order_analytics.llm import (
     byte_dedup,
     merkle,
     packing,
+    repeats,
     repetition,
     secrets,
     sharding,
@@ -67,7 +68,7 @@ def op4_repetition_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_suffix_tree_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     removed = word_dedup.remove(_table(spark, sf_dir, "documents"))
-    return removed.select("row.doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+    return repeats.few_files(removed.select("row.doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256")))
 
 
 def op6_golay_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -38,6 +38,9 @@ MOST_CONTEXTS = 500
 STEP_TEXT_BYTES = 1 << 20
 #: Bytes of contexts that are compared in one step; the suffix array holds some 300 bytes for each token of them.
 STEP_CONTEXT_BYTES = 1 << 19
+#: A staged table has so many files for each core, or one for so many of the session's shuffle partitions if that is more. Local file
+#: systems start processes for each file that an executor creates, and for a moment such a child counts with all its executor's memory.
+FILES_PER_CORE, PARTITIONS_PER_FILE = 3, 8
 
 #: A position takes 30 bits beside the 34 highest bits of a hash.
 PLACE_BITS = 30
@@ -373,9 +376,20 @@ def compared(contexts_found: DataFrame, passage: Passage, method: Method, by_doc
     return found
 
 
+def few_files(table: DataFrame) -> DataFrame:
+    """The table in fewer partitions than its shuffles have; their number still grows with the session's shuffle partitions."""
+    spark = table.sparkSession
+    shuffled = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return table.coalesce(max(FILES_PER_CORE * spark.sparkContext.defaultParallelism, shuffled // PARTITIONS_PER_FILE))
+
+
 def _kept(table: DataFrame, label: str, written: list[str]) -> DataFrame:
-    """The table once written; the shuffles that made it can go, and its path is noted."""
-    staged, path = staging.write_table(table, label)
+    """The table once written; the shuffles that made it can go, and its path is noted.
+
+    A task writes several shuffle partitions, one after the other. Tasks get equal numbers of them, and each part of a partition
+    that was split counts as one, so a key that very many rows have still goes to several tasks.
+    """
+    staged, path = staging.write_table(few_files(table), label)
     written.append(path)
     staging.forget_shuffles(table.sparkSession)
     return staged

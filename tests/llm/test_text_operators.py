@@ -236,6 +236,30 @@ def test_copies_without_id_list_their_spans_once(table):
     assert {r["n_removed"] for r in byte_dedup.remove(table(rows)).collect() if r["row"]["doc_id"] is None} == {len(text)}
 
 
+def test_staged_tables_have_few_files(spark, table, monkeypatch):
+    words = [f"w{number}" for number in range(4000)]
+    rows = [(doc_id, " ".join(words[40 * (doc_id % 60) : 40 * (doc_id % 60) + 120])) for doc_id in range(180)]
+    held, write = [], repeats.staging.write_table
+
+    def noted(*args):
+        staged, path = write(*args)
+        held.append(len(staged.inputFiles()))
+        return staged, path
+
+    monkeypatch.setattr(repeats.staging, "write_table", noted)
+    settings = {"spark.sql.shuffle.partitions": "64", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {name: spark.conf.get(name) for name in settings}
+    try:
+        for name, value in settings.items():
+            spark.conf.set(name, value)
+        found = {row["row"]["doc_id"]: (row["n_words"], row["n_removed"], bytes(row["kept"])) for row in word_dedup.remove(table(rows)).collect()}
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    assert found == plain.word_dedup(rows, word_dedup.LENGTH)
+    assert max(held) <= repeats.FILES_PER_CORE * spark.sparkContext.defaultParallelism
+
+
 def test_whole_characters_leave_text(table):
     one, two = "é" * 120, "a" + "é" * 120
     found = byte_dedup.remove(table([(1, one), (2, two)]), whole_characters=True).collect()
