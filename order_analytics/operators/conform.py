@@ -51,9 +51,16 @@ def drop_originals(df: DataFrame) -> DataFrame:
     return df.drop(*[name for name in df.columns if name.startswith(ORIGINAL)])
 
 
-def drop_exact_duplicates(df: DataFrame) -> DataFrame:
-    """Copies collapse before the shuffle, so a large group of copies stays cheap."""
-    return df.dropDuplicates()
+def drop_exact_duplicates(df: DataFrame, suspected: bool = True) -> DataFrame:
+    """Copies collapse before the shuffle, so a large group of copies stays cheap.
+
+    Where no two rows share a digest there is no copy, and nothing ``suspected``: the rows stay where they are. Only minus zeros become
+    plain ones, as they do where rows are compared.
+    """
+    if suspected:
+        return df.dropDuplicates()
+    floats = [field for field in df.schema if isinstance(field.dataType, T.FloatType | T.DoubleType)]
+    return df.withColumns({f.name: F.when(F.col(f.name) == 0, F.lit(0).cast(f.dataType)).otherwise(F.col(f.name)) for f in floats})
 
 
 def coerce(df: DataFrame, numeric: list[str] = (), dates: list[str] = ()) -> DataFrame:

@@ -6,6 +6,7 @@ taken before it, so a key that many rows share stays cheap.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 from operator import or_
 
@@ -104,6 +105,12 @@ def key_summary(df: DataFrame, key) -> DataFrame:
     )
 
 
+def key_counts(df: DataFrame, key) -> dict[str, int]:
+    """``key_summary`` as figures. Digests of the keys travel; equal keys have equal digests, so only where some repeat do the keys."""
+    found = key_summary(df.select(F.xxhash64(*key).alias("DIGEST")), ["DIGEST"]).first().asDict()
+    return key_summary(df, key).first().asDict() if found["DUPLICATE_KEYS"] else found
+
+
 def count_duplicate_keys(df: DataFrame, key, rule: str) -> DataFrame:
     return key_summary(df, key).select(F.lit(rule).alias("RULE"), F.col("DUPLICATE_KEYS").alias("VIOLATIONS"))
 
@@ -120,7 +127,7 @@ def invalid_loyalty_values(items: DataFrame) -> DataFrame:
     return items.filter(invalid_loyalty()).groupBy("IS_LOYALTY").agg(F.count(F.lit(1)).alias("VIOLATIONS"))
 
 
-def order_consistency_checks(items: DataFrame) -> DataFrame:
+def order_consistency_checks(items: DataFrame, key=("ORDER_ID", "RESTAURANT_ID")) -> DataFrame:
     """Orders whose lines disagree on user or loyalty; NULLs are no value.
 
     Plain minima and maxima per order, summed ahead of the shuffle, so an order id that millions of users share is one row for
@@ -129,12 +136,19 @@ def order_consistency_checks(items: DataFrame) -> DataFrame:
     user = F.col("USER_ID")
     codes = {"USER_A": F.when(user.isNotNull(), F.xxhash64(user)), "USER_B": F.when(user.isNotNull(), F.hash(user)), "FLAG": loyalty_flag("IS_LOYALTY")}
     ends = [end(code).alias(f"{name}_{number}") for name, code in codes.items() for number, end in enumerate((F.min, F.max))]
-    orders = items.groupBy("ORDER_ID", "RESTAURANT_ID").agg(*ends)
+    orders = items.groupBy(*key).agg(*ends)
     differs = {name: F.col(f"{name}_0") != F.col(f"{name}_1") for name in codes}
     rules = {"ORDER_WITH_SEVERAL_USERS": differs["USER_A"] | differs["USER_B"], "ORDER_WITH_SEVERAL_LOYALTY": differs["FLAG"]}
     return run_checks(orders, rules)
 
 
+def enforce_order_consistency(items: DataFrame, table: str) -> dict[str, int]:
+    """Enforces ``order_consistency_checks``. Orders go by digest first, which can find too much but miss nothing; only then by their key."""
+    digests = items.select(F.xxhash64("ORDER_ID", "RESTAURANT_ID").alias("DIGEST"), "USER_ID", "IS_LOYALTY")
+    found = {row["RULE"]: row["VIOLATIONS"] for row in order_consistency_checks(digests, ["DIGEST"]).collect()}
+    return enforce(order_consistency_checks(items), table) if any(found.values()) else found
+
+
 def user_id_diagnostics(order_fact: DataFrame) -> DataFrame:
     """Anonymous and identified orders, and the number of identified users, as one row."""
     user = F.col("USER_ID")
@@ -164,14 +178,26 @@ def enforce(checks: DataFrame, table: str) -> dict[str, int]:
 
 
 def enforce_rows(
-    df: DataFrame, rules: dict[str, Column], table: str, reported: dict[str, Column] | None = None
+    df: DataFrame,
+    rules: dict[str, Column],
+    table: str,
+    reported: dict[str, Column] | None = None,
+    identity: Sequence[str] | None = None,
 ) -> dict[str, int]:
-    """The row count and all rules from one pass; raise on violations of ``rules``, only count ``reported``."""
+    """The row count and all rules from one pass; raise on violations of ``rules``, only count ``reported``.
+
+    With ``identity`` the same pass counts ``REPEATED_DIGESTS``: digests of these columns that several rows share. Only digests and
+    counts travel. Equal rows share one, so none repeated means that there are no copies; the reverse does not hold.
+    """
     counted = rules | (reported or {})
-    counts = df.agg(
-        F.count(F.lit(1)).alias("ROWS"), *[F.count_if(condition).alias(rule) for rule, condition in counted.items()]
-    )
-    found = counts.first().asDict()
+    counts = [F.count(F.lit(1)).alias("ROWS"), *[F.count_if(condition).alias(rule) for rule, condition in counted.items()]]
+    if identity is None:
+        totals = df.agg(*counts)
+    else:
+        digests = df.groupBy(F.xxhash64(*identity).alias("DIGEST")).agg(*counts)
+        sums = [F.coalesce(F.sum(name), F.lit(0)).alias(name) for name in ("ROWS", *counted)]
+        totals = digests.agg(*sums, F.count_if(F.col("ROWS") > 1).alias("REPEATED_DIGESTS"))
+    found = totals.first().asDict()
     require_none({rule: found[rule] for rule in rules}, table)
     return found
 

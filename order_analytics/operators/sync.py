@@ -158,7 +158,7 @@ def sync(
 
 def key_check(candidate: DataFrame, spec: TableSpec) -> dict[str, int]:
     """Rows and conflicting keys of a merged table; raises on a conflict."""
-    keys = quality.key_summary(candidate, spec.key).first().asDict()
+    keys = quality.key_counts(candidate, spec.key)
     require_unique(keys, spec)
     return keys
 

@@ -68,9 +68,10 @@ def conform_table(raw: DataFrame, spec: TableSpec, summary: RunSummary) -> DataF
     quality.check_columns(named, spec)
     cast = conform.cast_to_schema(named, spec, keep_originals=True)
     rules = quality.cast_rules(spec) | quality.key_rules(spec)
-    counts = quality.enforce_rows(cast, rules, spec.name, reported=quality.rounding_rules(spec))
+    counts = quality.enforce_rows(cast, rules, spec.name, reported=quality.rounding_rules(spec), identity=spec.schema.names)
+    repeated = counts.pop("REPEATED_DIGESTS")
     summary.add("conform", spec.name, **counts)
-    return conform.drop_exact_duplicates(conform.drop_originals(cast))
+    return conform.drop_exact_duplicates(conform.drop_originals(cast), suspected=repeated > 0)
 
 
 def bucketed(spec: TableSpec, number: int) -> buckets.BucketedTable:
@@ -108,13 +109,12 @@ def conform_tables(spark: SparkSession, raw_root: str, typed_root: str, summary:
 def gate_mart_inputs(items: DataFrame, options: DataFrame) -> dict[str, int]:
     """What the facts rely on: unique option join keys, complete prices, known loyalty words."""
     item_rules = quality.item_revenue_rules() | quality.loyalty_rules()
-    keys = quality.count_duplicate_keys(items, facts.LINE_KEY, "UNSAFE_OPTION_JOIN_KEY")
+    keys = quality.key_counts(items, facts.LINE_KEY)
+    found = quality.require_none({"UNSAFE_OPTION_JOIN_KEY": keys["DUPLICATE_KEYS"]}, "order_items")
     checks = [
-        (keys, "order_items"),
         (quality.run_checks(items, item_rules), "order_items"),
         (quality.run_checks(options, quality.option_revenue_rules()), "order_item_options"),
     ]
-    found: dict[str, int] = {}
     for check, table in checks:
         found |= quality.enforce(check, table)
     return found
@@ -126,8 +126,7 @@ def build_marts(spark: SparkSession, typed_root: str, mart_root: str, summary: R
     summary.add("gate", "mart inputs", **gate_mart_inputs(items, options))
     dataset = OrderDataset(items, options)
     try:
-        consistency = quality.order_consistency_checks(items)
-        summary.add("gate", "orders", **quality.enforce(consistency, "orders"))
+        summary.add("gate", "orders", **quality.enforce_order_consistency(items, "orders"))
         summary.add("profile", "orders", **quality.user_id_diagnostics(dataset.orders).first().asDict())
         summary.add("profile", "order_item_options", ORPHANS=facts.orphan_options(items, options).count())
         version = snapshots.next_version(spark, mart_root)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from datetime import date
 from decimal import Decimal
 
@@ -13,7 +14,7 @@ from pyspark.sql.types import DecimalType
 
 from order_analytics.functions.columns import offset_timestamp, short_id
 from order_analytics.operators import conform, quality
-from order_analytics.plans import facts
+from order_analytics.plans import facts, pipeline
 from order_analytics.schemas import DATE_DIM, LINEAGE, ORDER_ITEM_OPTIONS, ORDER_ITEMS
 from order_analytics.sources import fixtures
 
@@ -126,6 +127,52 @@ def test_exact_duplicates_go_and_conflicts_stay(frame):
     assert [int(row["OPTION_QUANTITY"]) for row in shown] == [1, 2]
 
 
+def test_rows_without_copies_are_not_shuffled(frame):
+    def conformed(*rows):
+        summary = pipeline.RunSummary()
+        return pipeline.conform_table(raw_dates(frame, *rows), DATE_DIM, summary), summary.value("conform", "date_dim", "ROWS")
+
+    days = [(f"2024-01-0{day}", "2024", "1", "1") for day in (1, 2, 3)]
+    apart, count = conformed(*days)
+    assert (count, apart.count()) == (3, 3)
+    assert "Exchange" not in apart._jdf.queryExecution().executedPlan().toString()
+    copied, count = conformed(*days, days[0], days[0])
+    assert (count, copied.count()) == (5, 3)
+    assert sorted(copied.collect()) == sorted(apart.collect())
+    assert conformed()[1] == 0
+
+
+def test_counts_beside_digests(frame):
+    df = frame([("a", None), ("a", None), (None, "a"), ("b", "x")], "K string, V string")
+    rules = {"NO_VALUE": F.col("V").isNull()}
+    plain = quality.enforce_rows(df, {}, "t", rules)
+    assert quality.enforce_rows(df, {}, "t", rules, identity=["K", "V"]) == plain | {"REPEATED_DIGESTS": 1}
+    with pytest.raises(quality.QualityError, match="'NO_VALUE': 2"):
+        quality.enforce_rows(df, rules, "t", identity=["K", "V"])
+    assert quality.enforce_rows(df.limit(0), rules, "t", identity=["K"]) == {"ROWS": 0, "NO_VALUE": 0, "REPEATED_DIGESTS": 0}
+
+
+def test_zeros_are_alike_with_and_without_copies(frame):
+    df = frame([(1, -0.0), (2, float("nan")), (3, None), (4, 2.5)], "K int, V float")
+    for suspected in (True, False):
+        found = {row["K"]: row["V"] for row in conform.drop_exact_duplicates(df, suspected).collect()}
+        assert (math.copysign(1, found[1]), math.isnan(found[2]), found[3], found[4]) == (1, True, None, 2.5)
+    assert quality.enforce_rows(frame([(0.0,), (-0.0,)], "V float"), {}, "t", identity=["V"])["REPEATED_DIGESTS"] == 1
+
+
+def test_key_counts_are_those_of_the_keys(frame):
+    for rows in ([], [("a", None), (None, "a")], [("a", "b"), ("a", "b"), ("c", "d")], [(None, None), (None, None)]):
+        keys = frame(rows, "K string, L string")
+        assert quality.key_counts(keys, ["K", "L"]) == quality.key_summary(keys, ["K", "L"]).first().asDict()
+
+
+def test_consistency_is_enforced_by_digest_and_key(frame):
+    clean = frame([item(), item(line="L2", user=None), item(restaurant="R2", user="u2")], ITEM_SCHEMA)
+    assert set(quality.enforce_order_consistency(clean, "orders").values()) == {0}
+    with pytest.raises(quality.QualityError, match="'ORDER_WITH_SEVERAL_USERS': 1}"):
+        quality.enforce_order_consistency(frame([item(), item(line="L2", user="u2")], ITEM_SCHEMA), "orders")
+
+
 def test_key_summary_of_nothing(frame):
     assert quality.key_summary(frame([], OPTION_SCHEMA), ["ORDER_ID"]).first().asDict() == {"ROWS": 0, "DUPLICATE_KEYS": 0}
 
