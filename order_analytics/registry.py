@@ -138,6 +138,14 @@ def parse_offset_timestamps(spark: SparkSession, sf_dir: str) -> DataFrame:
     return texts.select("ORDER_ID", "LINEITEM_ID", offset_timestamp("RAW_TEXT").alias("PARSED_AT"))
 
 
+def _joined_once(spark: SparkSession, sf_dir: str) -> tuple[staging.Stage, DataFrame]:
+    """The lines that two snapshots are made of, written, so that each pass over a snapshot is a scan; and the stage that holds them."""
+    stage = staging.Stage(spark)
+    lines = stage.keep(fixtures.joined_lines(spark, sf_dir), "joined-lines")
+    staging.forget_shuffles(spark)
+    return stage, lines
+
+
 def snapshot_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     older = fixtures.earlier_order_items(spark, sf_dir)
     newer = fixtures.later_order_items(spark, sf_dir)
@@ -286,8 +294,11 @@ def sync_changed_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = staging.new_path(spark, "bucketed")
     table = buckets.BucketedTable.of(ORDER_ITEMS, SYNC_BUCKETS, period="CREATION_TIME_UTC")
     lineage = {field.name: F.lit(None).cast(field.dataType) for field in LINEAGE_FIELDS}
+    stage, lines = _joined_once(spark, sf_dir)
     for build in (fixtures.order_items_before_the_last_week, fixtures.order_items_after_the_last_week):
-        summary = buckets.sync(spark, path, build(spark, sf_dir).withColumns(lineage), table)
+        summary = buckets.sync(spark, path, build(spark, sf_dir, lines).withColumns(lineage), table)
+        staging.forget_shuffles(spark)
+    stage.release()
     changes = buckets.read_changes(spark, path, summary["VERSION"], ORDER_ITEMS.schema)
     named = buckets.bucket_names(changes, table, ORDER_ITEMS.key)
     counted = ("UNCHANGED_ROWS", "FINAL_ROWS", "BUCKETS_READ", "BUCKETS_WRITTEN")

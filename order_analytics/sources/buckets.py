@@ -126,22 +126,51 @@ def _too_old(held: dict[int, Entry]) -> set[int]:
     return {number for number, entry in held.items() if entry.version in gone and entry.rows}
 
 
-def _write_buckets(rows: DataFrame, path: str, version: int, table: BucketedTable, touched: int) -> dict[int, int]:
-    """Write each touched bucket as one folder, sorted by key; the rows in each."""
+def _write_buckets(rows: DataFrame, path: str, version: int, table: BucketedTable, touched: int) -> tuple[DataFrame, dict[int, int]]:
+    """Write each touched bucket as one folder, sorted by key; the rows as they are stored, and how many are in each."""
     placed = rows.repartition(max(1, touched), BUCKET).sortWithinPartitions(BUCKET, *table.spec.key)
     target = _folder(path, version, "rows")
     placed.write.partitionBy(BUCKET).parquet(target, compression=staging.COMPRESSION)
-    stored = StructType([*table.spec.schema.fields, StructField(BUCKET, IntegerType())])
-    counts = rows.sparkSession.read.schema(stored).parquet(target).groupBy(BUCKET).count().collect()
-    return {row[BUCKET]: row["count"] for row in counts}
+    schema = StructType([*table.spec.schema.fields, StructField(BUCKET, IntegerType())])
+    stored = rows.sparkSession.read.schema(schema).parquet(target)
+    return stored, {row[BUCKET]: row["count"] for row in stored.groupBy(BUCKET).count().collect()}
+
+
+def _write_changes(paired: DataFrame, path: str, version: int, schema: StructType) -> None:
+    """``ACTION``, ``OLD`` and ``NEW`` of the rows that differ."""
+    sides = [F.when(F.col(side).isNotNull(), F.struct(*[F.col(f"{side}.{name}") for name in schema.names])).alias(side) for side in ("OLD", "NEW")]
+    paired.filter("ACTION <> 'UNCHANGED'").select("ACTION", *sides).write.parquet(_folder(path, version, "changes"), compression=staging.COMPRESSION)
+
+
+def _insert(new: DataFrame, path: str, version: int, table: BucketedTable, touched: int) -> tuple[dict[str, int], dict[int, int]]:
+    """Write buckets of which the table has no row yet: there is nothing to pair, and what is stored tells the changes."""
+    schema = table.spec.schema
+    stored, written = _write_buckets(new, path, version, table, touched)
+    inserted = stored.select(F.lit("INSERT").alias("ACTION"), F.lit(None).cast(schema).alias("OLD"), F.struct(*schema.names).alias("NEW"))
+    _write_changes(inserted, path, version, schema)
+    return {"INSERT_ROWS": sum(written.values())}, written
+
+
+def _merge(old: DataFrame, new: DataFrame, path: str, version: int, table: BucketedTable, touched: int) -> tuple[dict[str, int], dict[int, int]]:
+    """Pair the rows of buckets by key and write what differs and what becomes of them; the rows of each action and in each bucket."""
+    paired = sync_rows.paired_rows(old.select(new.columns), new, [BUCKET, *table.spec.key], table.compare)
+    merged, staged = staging.write_table(paired.select(BUCKET, "ACTION", "OLD", "NEW"), "merged", staging.COMPRESSION)
+    counted = {f"{row['ACTION']}_ROWS": row["count"] for row in merged.groupBy("ACTION").count().collect()}
+    _write_changes(merged, path, version, table.spec.schema)
+    kept = F.when(F.col("ACTION") == "UNCHANGED", F.col("OLD")).otherwise(F.col("NEW"))  # which keeps its lineage
+    rows = merged.filter("ACTION <> 'DELETE'").select(kept.alias("ROW")).select("ROW.*")
+    written = _write_buckets(rows, path, version, table, touched)[1]
+    staging.drop_table(rows.sparkSession, staged)
+    return counted, written
 
 
 def sync(spark: SparkSession, path: str, source: DataFrame, table: BucketedTable) -> dict[str, int]:
     """Bring the snapshot at ``path`` to the state of ``source``, a complete snapshot; returns what happened.
 
     One aggregate over the source gives a digest of each bucket. Only buckets whose digest differs from the manifest's are read
-    from the source a second time, read from the table, matched by key, and written. Keys must be unique, which is checked in
-    those buckets, the others having passed before. Nothing is written when nothing differs.
+    from the source a second time, read from the table, matched by key, and written. Where the table has no row in them yet, as in a first
+    version, they are written as they come. Keys must be unique, which is checked in those buckets, the others having passed before. Nothing is
+    written when nothing differs.
     """
     current = snapshots.current_version(spark, path)
     held = manifest(spark, path, current) if current is not None else {}
@@ -160,20 +189,17 @@ def sync(spark: SparkSession, path: str, source: DataFrame, table: BucketedTable
     with snapshots.candidate(spark, path, version):
         schema = table.spec.schema
         number = table.number()
-        new = source.select(*schema.names, number.alias(BUCKET)).filter(number.isin(sorted(touched)))
-        keys = quality.key_summary(new, table.spec.key).first().asDict()
+        new = source.select(*schema.names, number.alias(BUCKET))
+        if found.keys() - touched:
+            new = new.filter(number.isin(sorted(touched)))
+        keys = quality.key_counts(new, table.spec.key)
         quality.require_none({f"DUPLICATE_KEY_{table.spec.name.upper()}": keys["DUPLICATE_KEYS"]}, table.spec.name)
-        old = _read(spark, path, {n: held[n] for n in touched if n in held}, schema)
-        paired = sync_rows.paired_rows(old.select(new.columns), new, [BUCKET, *table.spec.key], table.compare)
-        merged, staged = staging.write_table(paired.select(BUCKET, "ACTION", "OLD", "NEW"), "merged", staging.COMPRESSION)
-        for row in merged.groupBy("ACTION").count().collect():
-            summary[f"{row['ACTION']}_ROWS"] = row["count"]
-        changed = [F.when(F.col(side).isNotNull(), F.struct(*[F.col(f"{side}.{name}") for name in schema.names])).alias(side) for side in ("OLD", "NEW")]
-        merged.filter("ACTION <> 'UNCHANGED'").select("ACTION", *changed).write.parquet(_folder(path, version, "changes"), compression=staging.COMPRESSION)
-        kept = F.when(F.col("ACTION") == "UNCHANGED", F.col("OLD")).otherwise(F.col("NEW"))  # which keeps its lineage
-        rows = merged.filter("ACTION <> 'DELETE'").select(kept.alias("ROW")).select("ROW.*")
-        written = _write_buckets(rows, path, version, table, len(touched))
-        staging.drop_table(spark, staged)
+        stored = {n: held[n] for n in touched if n in held and held[n].rows}
+        if stored:
+            counted, written = _merge(_read(spark, path, stored, schema), new, path, version, table, len(touched))
+        else:
+            counted, written = _insert(new, path, version, table, len(touched))
+        summary |= counted
         for bucket in touched:
             quality.assert_row_count(written.get(bucket, 0), found.get(bucket, nothing).rows, f"{table.spec.name}, bucket {bucket}")
         entries = {n: held[n] for n in numbers - touched}
@@ -182,8 +208,7 @@ def sync(spark: SparkSession, path: str, source: DataFrame, table: BucketedTable
         spark.createDataFrame(rows_of, MANIFEST).coalesce(1).write.parquet(_folder(path, version, "manifest"))
     snapshots.publish(spark, path, version)
     summary["UNCHANGED_ROWS"] += sum(held[n].rows for n in numbers - touched)
-    read = sum(1 for n in touched if n in held and held[n].rows)
-    return summary | {"BUCKETS_READ": read, "BUCKETS_WRITTEN": len(written), "VERSION": version}
+    return summary | {"BUCKETS_READ": len(stored), "BUCKETS_WRITTEN": len(written), "VERSION": version}
 
 
 def retire(spark: SparkSession, path: str, keep: int) -> list[int]:

@@ -210,23 +210,24 @@ def repeated_options(spark: SparkSession, sf_dir: str) -> DataFrame:
     return options.unionAll(options.filter(F.col("OPTION_GROUP_NAME") == "PROMO"))
 
 
-def earlier_order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """An older snapshot: without the orders of 2001, and with open lines at another price."""
+def earlier_order_items(spark: SparkSession, sf_dir: str, lines: DataFrame | None = None) -> DataFrame:
+    """An older snapshot: without the orders of 2001, and with open lines at another price. ``lines`` are the ``joined_lines``, where they are there already."""
     price = "CAST(CASE WHEN l_linestatus = 'O' THEN l_extendedprice + 1 ELSE l_extendedprice END AS float)"
-    older = _lines(spark, sf_dir, l_extendedprice=price).filter("o_orderdate < DATE'2001-01-01'")
-    return _select(older, ITEM_COLUMNS)
+    older = _lines(spark, sf_dir, l_extendedprice=price) if lines is None else lines.withColumn("l_extendedprice", F.expr(price))
+    return _select(older.filter("o_orderdate < DATE'2001-01-01'"), ITEM_COLUMNS)
 
 
-def later_order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A newer snapshot: returned lines are gone."""
-    return _select(_lines(spark, sf_dir, **AS_PRICED).filter("l_returnflag <> 'R'"), ITEM_COLUMNS)
+def later_order_items(spark: SparkSession, sf_dir: str, lines: DataFrame | None = None) -> DataFrame:
+    """A newer snapshot: returned lines are gone. ``lines`` as above."""
+    newer = _lines(spark, sf_dir, **AS_PRICED) if lines is None else lines
+    return _select(newer.filter("l_returnflag <> 'R'"), ITEM_COLUMNS)
 
 
 LAST_MONTH, LAST_WEEK = "o_orderdate >= DATE'2001-07-01'", "o_orderdate >= DATE'2001-07-25'"
 
 
 def joined_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Lines with their order and part, by the columns that the snapshots around the last week are made of."""
+    """Lines with their order and part, by the columns that pairs of snapshots are made of."""
     columns = [
         *("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_returnflag", "l_linestatus", "l_shipdate"),
         *("o_custkey", "o_orderstatus", "o_orderdate", "p_name", "p_type", "p_size"),

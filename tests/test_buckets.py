@@ -7,13 +7,14 @@ from datetime import UTC, datetime
 from pathlib import Path
 
 import pytest
-from builders import OPTION_SCHEMA, option
+from builders import ITEM_SCHEMA, OPTION_SCHEMA, item, option
 from conftest import SMALL
 from pyspark.sql import functions as F
 
+from order_analytics import registry
 from order_analytics.operators import quality, sync
 from order_analytics.plans import pipeline
-from order_analytics.schemas import ORDER_ITEM_OPTIONS, ORDER_ITEMS
+from order_analytics.schemas import LINEAGE_FIELDS, ORDER_ITEM_OPTIONS, ORDER_ITEMS
 from order_analytics.sources import buckets, fixtures, snapshots
 
 SPEC = ORDER_ITEM_OPTIONS
@@ -68,6 +69,36 @@ def test_only_changed_buckets_are_written(spark, options, tmp_path):
     assert max(hours, key=lambda row: row["count"])["H"] == 0  # a row that did not change keeps its lineage
 
 
+def test_buckets_without_rows_are_not_paired(spark, frame, tmp_path, monkeypatch):
+    """A first version, and months that are new, are written as they come: no row of theirs is staged with its pair."""
+
+    def staged(*_):
+        raise AssertionError("rows were staged")
+
+    table = buckets.BucketedTable.of(ORDER_ITEMS, 3, period="CREATION_TIME_UTC")
+    lineage = {field.name: F.lit(None).cast(field.dataType) for field in LINEAGE_FIELDS}
+    blank = {name: F.lit(None).cast("string") for name in ("APP_NAME", "PRINTED_CARD_NUMBER", "CURRENCY")}
+    path, names = str(tmp_path / "t"), ORDER_ITEMS.schema.names
+    old = [item(order=f"O{k}", time="2024-05-01 10:00:00", user=None) for k in range(40)]
+    new = [item(order=f"O{k}", time="2024-06-01 10:00:00", price=None) for k in range(30)]
+    monkeypatch.setattr(buckets.staging, "write_table", staged)
+    for version, rows, added in ((1, old, old), (2, old + new, new)):
+        source = frame(rows, ITEM_SCHEMA).withColumns(blank | lineage).select(names)
+        found = buckets.sync(spark, path, source, table)
+        assert counts(found) == [len(added), 0, 0, len(rows) - len(added)] and found["BUCKETS_READ"] == 0
+        assert sorted(map(str, buckets.read_current(spark, path, ORDER_ITEMS.schema).collect())) == sorted(map(str, source.collect()))
+        changes = buckets.read_changes(spark, path, version, ORDER_ITEMS.schema).collect()
+        assert {(row["ACTION"], row["OLD"]) for row in changes} == {("INSERT", None)}
+        assert sorted(str(row["NEW"]) for row in changes) == sorted(map(str, frame(added, ITEM_SCHEMA).withColumns(blank | lineage).select(names).collect()))
+
+
+def test_lines_of_both_snapshots_are_joined_once(spark, monkeypatch):
+    joined, lines = [], fixtures._lines
+    monkeypatch.setattr(fixtures, "_lines", lambda *given, **narrowed: joined.append(given) or lines(*given, **narrowed))
+    assert registry.sync_changed_buckets(spark, SMALL).count() > 0
+    assert len(joined) == 1
+
+
 def test_nothing_is_written_without_changes(spark, options, tmp_path):
     path, rows = str(tmp_path / "t"), rows_of(60)
     buckets.sync(spark, path, options(rows.values()), TABLE)
