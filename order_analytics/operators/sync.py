@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,26 +22,38 @@ def snapshot_changes(
 ) -> DataFrame:
     """The key and what happens to its row.
 
-    Every matched row is an update unless ``compare`` names the columns that decide it. Only the key
-    and those columns travel through the join.
+    Every matched row is an update unless ``compare`` names the columns that decide it. Only the key travels through the join, and
+    two digests of those columns (128 bits) where both sides have them in the same types, else the columns.
     """
     compared = [name for name in compare or [] if name not in key]
+    alike = len(compared) < 63 and all(target.schema[name].dataType == source.schema[name].dataType for name in compared)
+
+    def contents(name: str) -> list[str]:
+        return [f"{name}_{number}" for number in range(2 if compared and alike else 1)]
 
     def side(df: DataFrame, name: str) -> DataFrame:
-        content = F.struct(*compared) if compared else F.lit(True)
-        return df.select(*key, content.alias(name), F.lit(True).alias(f"IN_{name}"))
+        content = row_digests(compared) if alike else [F.struct(*compared)]
+        named = dict(zip(contents(name), content if compared else [F.lit(True)], strict=True))
+        return df.select(*key, *[column.alias(label) for label, column in named.items()])
 
     matched = side(target, "TARGET").join(side(source, "SOURCE"), on=list(key), how="full_outer")
-    unchanged = F.col("TARGET").eqNullSafe(F.col("SOURCE")) if compared else F.lit(False)
+    same = [F.col(before).eqNullSafe(F.col(after)) for before, after in zip(contents("TARGET"), contents("SOURCE"), strict=True)]
+    unchanged = reduce(and_, same) if compared else F.lit(False)
     action = (
-        F.when(F.col("IN_TARGET").isNull(), "INSERT")
-        .when(F.col("IN_SOURCE").isNull(), "DELETE")
+        F.when(F.col("TARGET_0").isNull(), "INSERT")
+        .when(F.col("SOURCE_0").isNull(), "DELETE")
         .when(unchanged, "UNCHANGED")
         .otherwise("UPDATE")
     )
     return matched.select(*key, action.alias("ACTION"))
 
 
+def row_digests(columns: Sequence[str]) -> list[Column]:
+    """Two digests of a row's ``columns``, none of them NULL. Hashes skip NULLs, so which columns are NULL is hashed as well."""
+    empty = sum((F.when(F.col(name).isNull(), 1 << place).otherwise(0).cast("bigint") for place, name in enumerate(columns)), F.lit(0))
+    return [F.xxhash64(F.lit(salt), empty, *columns) for salt in (1, 2)]
+
+
 def paired_rows(old: DataFrame, new: DataFrame, key: Sequence[str], compare: Sequence[str]) -> DataFrame:
     """The key, ``ACTION``, and the row before (``OLD``) and after (``NEW``), NULL where there is none, of every key of two snapshots."""
     compared = [name for name in compare if name not in key]

@@ -147,8 +147,9 @@ def _joined_once(spark: SparkSession, sf_dir: str) -> tuple[staging.Stage, DataF
 
 
 def snapshot_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    older = fixtures.earlier_order_items(spark, sf_dir)
-    newer = fixtures.later_order_items(spark, sf_dir)
+    _, lines = _joined_once(spark, sf_dir)
+    older = fixtures.earlier_order_items(spark, sf_dir, lines)
+    newer = fixtures.later_order_items(spark, sf_dir, lines)
     return sync.snapshot_changes(older, newer, ORDER_ITEMS.key, ORDER_ITEMS.business_columns)
 
 

@@ -71,10 +71,8 @@ class BucketedTable:
 
 
 def _digests(rows: DataFrame, table: BucketedTable) -> dict[int, Entry]:
-    """Row count and digest of each bucket that has rows. Hashes skip NULLs, so which columns are NULL is hashed as well."""
-    columns = [F.col(name) for name in table.compare]
-    empty = sum((F.when(column.isNull(), 1 << place).otherwise(0).cast("bigint") for place, column in enumerate(columns)), F.lit(0))
-    sums = [F.sum(F.xxhash64(F.lit(salt), empty, *columns).cast("decimal(38,0)")) for salt in (1, 2)]
+    """Row count and digest of each bucket that has rows."""
+    sums = [F.sum(digest.cast("decimal(38,0)")) for digest in sync_rows.row_digests(table.compare)]
     found = rows.groupBy(table.number().alias(BUCKET)).agg(F.count(F.lit(1)).alias("ROWS"), *sums)
     return {number: Entry(0, count, tuple(digest)) for number, count, *digest in found.collect()}
 

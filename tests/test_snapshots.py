@@ -9,7 +9,7 @@ from builders import OPTION_SCHEMA, option
 from conftest import SMALL
 from pyspark.sql import functions as F
 
-from order_analytics import session
+from order_analytics import registry, session
 from order_analytics.operators import quality, sync
 from order_analytics.plans import pipeline
 from order_analytics.schemas import ORDER_ITEM_OPTIONS
@@ -82,6 +82,27 @@ def test_unchanged_compares_null_safely(frame):
     assert found == {"a": "UNCHANGED", "b": "UPDATE"}
 
 
+def test_compared_columns_travel_as_digests(frame):
+    """Digests agree where the columns do: on zeros of either sign, NaN and NULLs in the same place. Types that differ are compared themselves."""
+    schema = "K int, F float, S string, T string"
+    old = [(1, 0.0, "a", None), (2, float("nan"), None, None), (3, 1.0, "a", None), (4, 1.0, "", "b"), (5, None, "x", "y"), (6, 2.0, "x", "y")]
+    new = [(1, -0.0, "a", None), (2, float("nan"), None, None), (3, 1.0, None, "a"), (4, 1.0, None, "b"), (5, None, "x", "y"), (7, 2.0, "x", "y")]
+    expected = {1: "UNCHANGED", 2: "UNCHANGED", 3: "UPDATE", 4: "UPDATE", 5: "UNCHANGED", 6: "DELETE", 7: "INSERT"}
+    before, after = frame(old, schema), frame(new, schema)
+    for source in (after, after.withColumn("F", F.col("F").cast("double"))):
+        changes = sync.snapshot_changes(before, source, ["K"], ["K", "F", "S", "T"])
+        assert {row["K"]: row["ACTION"] for row in changes.collect()} == expected
+    changes = sync.snapshot_changes(before, after, ["K"], ["F", "S", "T"])
+    assert changes._jdf.queryExecution().executedPlan().toString().count("xxhash64(") == 4
+
+
+def test_lines_of_the_compared_snapshots_are_joined_once(spark, monkeypatch):
+    joined, lines = [], fixtures._lines
+    monkeypatch.setattr(fixtures, "_lines", lambda *given, **narrowed: joined.append(given) or lines(*given, **narrowed))
+    assert registry.queries()["snapshot_sync_changes"](spark, SMALL).count() > 0
+    assert len(joined) == 1
+
+
 def test_missing_snapshot(spark, tmp_path):
     with pytest.raises(FileNotFoundError):
         snapshots.read_current(spark, str(tmp_path / "none"))
