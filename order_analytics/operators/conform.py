@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -51,18 +52,43 @@ def drop_originals(df: DataFrame) -> DataFrame:
     return df.drop(*[name for name in df.columns if name.startswith(ORIGINAL)])
 
 
-def drop_exact_duplicates(df: DataFrame, suspected: bool = True) -> DataFrame:
+#: Classes that rows are counted in by their digest, and rows from which on a class may hold very many copies of one.
+CLASSES, MANY_COPIES = 1 << 16, 100_000
+
+
+def drop_exact_duplicates(df: DataFrame, suspected: bool = True, placed: tuple[int, Sequence[str]] | None = None) -> DataFrame:
     """Copies collapse before the shuffle, so a large group of copies stays cheap.
 
+    With ``placed``, a number of partitions and the columns to place rows by, all rows travel once, to the partitions that whoever works
+    on those columns needs, and copies collapse there. Only rows of which there may be very many copies collapse ahead.
+
     Where no two rows share a digest there is no copy, and nothing ``suspected``: the rows stay where they are. Only minus zeros become
     plain ones, as they do where rows are compared.
     """
-    if suspected:
+    if suspected and placed is None:
         return df.dropDuplicates()
+    if suspected:
+        number, columns = placed
+        return _many_collapsed(df).repartition(number, *columns).dropDuplicates()
     floats = [field for field in df.schema if isinstance(field.dataType, T.FloatType | T.DoubleType)]
     return df.withColumns({f.name: F.when(F.col(f.name) == 0, F.lit(0).cast(f.dataType)).otherwise(F.col(f.name)) for f in floats})
 
 
+def _many_collapsed(df: DataFrame) -> DataFrame:
+    """The same rows, without copies of those that may have very many: one pass counts rows in classes of their digest.
+
+    A class is full when it has ``MANY_COPIES`` rows and four times its share, so few are, whatever the number of rows.
+    """
+    number = F.pmod(F.xxhash64(*df.columns), F.lit(CLASSES)).cast("int")
+    sizes = df.groupBy(number.alias("CLASS")).agg(F.count(F.lit(1)).alias("ROWS"))
+    total = sizes.agg(F.sum("ROWS").alias("TOTAL"))
+    fair = F.col("TOTAL") * 4 / CLASSES
+    full = [row["CLASS"] for row in sizes.crossJoin(total).filter((F.col("ROWS") >= MANY_COPIES) & (F.col("ROWS") >= fair)).collect()]
+    if not full:
+        return df
+    return df.filter(~number.isin(full)).unionAll(df.filter(number.isin(full)).dropDuplicates())
+
+
 def coerce(df: DataFrame, numeric: list[str] = (), dates: list[str] = ()) -> DataFrame:
     """Numbers and dates where the text allows it, NULL elsewhere; absent columns are ignored."""
     changes = {name: number_or_null(name) for name in numeric if name in df.columns}

@@ -313,14 +313,17 @@ KEYED_BUCKETS = 8
 def _keyed_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """Two snapshots of the lines and the options in buckets of the line key, in a session for work on keys."""
     own = keyed.key_session(spark)
+    stage, lines = _joined_once(own, sf_dir)
     built = {
-        "older": (fixtures.earlier_order_items(own, sf_dir), ORDER_ITEMS.key),
-        "newer": (fixtures.later_order_items(own, sf_dir), ORDER_ITEMS.key),
+        "older": (fixtures.earlier_order_items(own, sf_dir, lines), ORDER_ITEMS.key),
+        "newer": (fixtures.later_order_items(own, sf_dir, lines), ORDER_ITEMS.key),
         "options": (fixtures.repeated_options(own, sf_dir), ORDER_ITEM_OPTIONS.key),
     }
-    distinct = {name: (conform.drop_exact_duplicates(rows), key) for name, (rows, key) in built.items()}
     number = max(KEYED_BUCKETS, int(own.conf.get("spark.sql.shuffle.partitions")))
-    return keyed.write_all(distinct, staging.new_path(spark, "keyed"), facts.LINE_KEY, number)
+    distinct = {name: (conform.drop_exact_duplicates(rows, placed=(number, facts.LINE_KEY)), key) for name, (rows, key) in built.items()}
+    tables = keyed.write_all(distinct, staging.new_path(spark, "keyed"), facts.LINE_KEY, number)
+    stage.release()
+    return tables
 
 
 def keyed_work(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:

@@ -4,8 +4,9 @@ A table is written in hash buckets of some key columns, each sorted by the whole
 partitioned and ordered: the key gate, the merge join with another table of the same layout and the join of lines with their options read it as
 it lies. One exchange, at the write, replaces two for a join and one for each gate.
 
-Rows are deduplicated before they are laid out, with partial aggregation, so that copies of one row do not meet in one bucket. Buckets are even when the
-columns are nearly unique; a key that many rows share, which the gates refuse, would be one bucket's.
+Rows that ``conform.drop_exact_duplicates`` has placed by the bucket columns already stay where they are: they travel once to be deduplicated and laid out. Rows with
+very many copies have collapsed before, so that copies of one row do not meet in one bucket. Buckets are even when the columns are nearly unique; a key that
+many rows share, which the gates refuse, would be one bucket's.
 
 Joins on more columns than the buckets have rely on a setting that would let other joins keep uneven partitions, so it
 holds in a session of its own, ``key_session``, in which such tables are read. The catalogue entry is only how Spark learns of the layout; it is
@@ -78,8 +79,10 @@ def drop(spark: SparkSession, path: str) -> None:
 
 
 def write_all(tables: dict[str, tuple[DataFrame, Sequence[str]]], folder: str, columns: Sequence[str], buckets: int) -> dict[str, DataFrame]:
-    """Several tables with their keys in buckets of the same columns, so that each joins with each as it lies."""
-    return {
-        name: write(rows, f"{folder}/{name}", Layout(tuple(columns), (*columns, *[part for part in key if part not in columns]), buckets))
-        for name, (rows, key) in tables.items()
-    }
+    """Several tables with their keys in buckets of the same columns, so that each joins with each as it lies. The shuffle files of one go before the next is written."""
+    written = {}
+    for name, (rows, key) in tables.items():
+        layout = Layout(tuple(columns), (*columns, *[part for part in key if part not in columns]), buckets)
+        written[name] = write(rows, f"{folder}/{name}", layout)
+        staging.forget_shuffles(rows.sparkSession)
+    return written

@@ -8,9 +8,10 @@ import pytest
 from conftest import SMALL
 
 from order_analytics import registry
+from order_analytics.operators import conform
 from order_analytics.plans import facts
 from order_analytics.schemas import ORDER_ITEMS
-from order_analytics.sources import keyed
+from order_analytics.sources import fixtures, keyed
 
 
 @pytest.fixture
@@ -53,6 +54,27 @@ def test_a_table_is_read_by_another_session(spark, frame, tmp_path):
     assert not (tmp_path / "t").exists()
 
 
+def test_rows_travel_once_to_be_deduplicated_and_laid_out(spark, frame, monkeypatch):
+    rows = [(k % 50, k % 5, str(k % 10), (0.0, -0.0, float("nan"), None)[k % 4]) for k in range(400)] + [(7, 7, None, 1.0)] * 60
+    df = frame(rows, "A int, B int, S string, F float").repartition(3)
+    whole = sorted(map(str, df.dropDuplicates().collect()))
+    placed = conform.drop_exact_duplicates(df, placed=(4, ["A", "B"]))
+    assert sorted(map(str, placed.collect())) == whole
+    assert placed.repartition(4, "A", "B")._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+    monkeypatch.setattr(conform, "MANY_COPIES", 50)  # the row that comes 60 times collapses ahead
+    apart = conform.drop_exact_duplicates(df, placed=(4, ["A", "B"]))
+    assert sorted(map(str, apart.collect())) == whole
+    assert apart.select("*")._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 2
+    assert apart.rdd.getNumPartitions() == 4
+
+
+def test_keyed_lines_are_joined_once(spark, monkeypatch):
+    joined, lines = [], fixtures._lines
+    monkeypatch.setattr(fixtures, "_lines", lambda *given, **narrowed: joined.append(given) or lines(*given, **narrowed))
+    assert set(registry._keyed_tables(spark, SMALL)) == {"older", "newer", "options"}
+    assert len(joined) == 1
+
+
 def test_the_order_starts_with_the_bucket_columns():
     with pytest.raises(ValueError, match="start with"):
         keyed.Layout(facts.LINE_KEY, ORDER_ITEMS.key[2:], 4)
