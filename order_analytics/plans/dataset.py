@@ -13,6 +13,7 @@ from order_analytics.operators import ranking
 from order_analytics.operators.selection import Found, Wanted, values_at
 from order_analytics.operators.staging import Stage
 from order_analytics.plans import facts, marts, order_sets, reports
+from order_analytics.sources import keyed
 
 
 class OrderDataset:
@@ -30,15 +31,27 @@ class OrderDataset:
         self.stage = Stage(self.spark)
 
     def release(self) -> None:
+        if "placed_lines" in self.__dict__:
+            keyed.drop(self.spark, self.placed_lines.path)
         self.stage.release()
 
     @cached_property
     def lines(self) -> DataFrame:
         return facts.line_fact(self.items, self.options)
 
+    @cached_property
+    def placed_lines(self) -> facts.PlacedLines:
+        """The line fact as work per order needs it. Order categories that are built later come from it."""
+        return facts.place_lines(self.items, self.options, self.stage)
+
+    @cached_property
+    def line_sales(self) -> DataFrame:
+        placed = self.placed_lines
+        return facts.placed_line_sales(self.items, self.options, self.orders, placed)
+
     @cached_property
     def order_categories(self) -> DataFrame:
-        return facts.staged_order_categories(self.items, self.options, self.stage)
+        return facts.staged_order_categories(self.items, self.options, self.stage, self.__dict__.get("placed_lines"))
 
     @cached_property
     def order_sets(self) -> DataFrame:

@@ -77,8 +77,7 @@ def loyalty_normalized(data: OrderDataset) -> DataFrame:
 
 
 def line_sales_fact(data: OrderDataset) -> DataFrame:
-    sales = facts.line_sales_fact(data.lines, data.orders)
-    return sales.select(
+    return data.line_sales.select(
         "ORDER_ID", "LINEITEM_ID", "RESTAURANT_ID", "ITEM_CATEGORY", "LINE_REVENUE", "ORDER_TIMESTAMP", "ORDER_DATE"
     )
 

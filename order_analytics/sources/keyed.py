@@ -39,11 +39,12 @@ class Layout:
 
 
 def key_session(spark: SparkSession) -> SparkSession:
-    """A session of the same application in which partitions by part of a key serve work on the key."""
+    """A session of the same application, with the settings of ``spark``, in which partitions by part of a key serve work on the key."""
     own = spark.newSession()
-    for name, value in session.SESSION_SETTINGS.items():
-        own.conf.set(name, value)
-    own.conf.set("spark.sql.shuffle.partitions", spark.conf.get("spark.sql.shuffle.partitions"))
+    for name, value in {**session.SESSION_SETTINGS, **spark.conf.getAll}.items():
+        if name.startswith("spark.sql.") and own.conf.isModifiable(name):
+            own.conf.set(name, value)
+    session.use_utc(own)
     own.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "false")
     own.conf.set("spark.sql.sources.bucketing.autoBucketedScan.enabled", "false")
     return own

@@ -257,3 +257,40 @@ def test_whole_orders_travel_once_and_sliced_ones_give_the_same(spark, frame, mo
             assert sorted(map(str, facts.order_categories(items, options, sliced).collect())) == expected
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def placed_rows():
+    items = [item(order=f"O{k % 40}", line=f"L{k}", restaurant=f"R{k % 3}", time=f"2024-05-{1 + k % 28:02d} 10:00:00", category=f"c{k % 4}") for k in range(400)]
+    items += [item(order="hot", line=f"L{k}", category=None, quantity=None) for k in range(300)] + [item(order=None, line="L1"), item(line=None)]
+    options = [option(order=f"O{k % 40}", line=f"L{k}", price=k % 5) for k in range(0, 400, 3)] + [option(order="hot", line="L7", price=9)] * 2
+    return items, options
+
+
+def test_dated_lines_travel_once(spark, data, monkeypatch):
+    """Lines are placed by order once for their orders' figures and their own dates; only orders travel to them."""
+    monkeypatch.setattr(facts, "BUCKET_LINES", 1000)
+    names = ("ORDER_ID", "LINEITEM_ID", "RESTAURANT_ID", "ITEM_CATEGORY", "LINE_REVENUE", "ORDER_TIMESTAMP", "ORDER_DATE")
+    plain = data(*placed_rows())
+    expected = sorted(map(str, facts.line_sales_fact(plain.lines, plain.orders).select(*names).collect()))
+    categories = sorted(map(str, plain.order_categories.collect()))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for least, apart in ((1000, 0), (200, 1)):
+            monkeypatch.setattr(facts, "BUCKET_LINES", least)
+            built = data(*placed_rows())
+            plan = built.line_sales.select(*names)._jdf.queryExecution().executedPlan().toString()
+            assert len(built.placed_lines.apart) == apart
+            if not apart:
+                assert plan.count("Exchange hashpartitioning(") == 1 and "Bucketed: true" in plan
+            assert sorted(map(str, built.line_sales.select(*names).collect())) == expected
+            assert sorted(map(str, built.order_categories.collect())) == categories
+            built.release()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_an_order_beyond_the_share_of_a_bucket_is_apart(frame, monkeypatch):
+    monkeypatch.setattr(facts, "BUCKET_LINES", 5)
+    items = frame([item(order="big", line=f"L{k}") for k in range(30)] + [item(order=f"O{k}") for k in range(90)], ITEM_SCHEMA)
+    assert len(facts.sliced_orders(items, 8)) == 1  # 120 / 8 lines are a share
+    assert facts.sliced_orders(items, 2) == facts.sliced_orders(items) == []
